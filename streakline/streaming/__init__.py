@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The system this package re-creates has no streaming input, state or
+watermarks; it processes finished log files in batch.  Its stages are
+restartable batch jobs (see ``streakline.plans.staged``).
+"""
