@@ -10,12 +10,13 @@ from .reports import (
     type_spans,
     type_summary,
 )
-from .segments import assign_buckets, segment_runs
+from .segments import assign_buckets, ordinal, segment_runs
 
 __all__ = [
     "GOOD_COLUMNS",
     "assign_buckets",
     "is_valid",
+    "ordinal",
     "segment_runs",
     "span_table",
     "split_valid",

@@ -269,3 +269,22 @@ def _segment_bucketed(columns, df, bcols, split, order_by, change_on, partition_
                   - F.coalesce(F.col(f"{_P}m"), F.lit(0))).cast("long"),
     })
     return result.select(*columns, *lag_of.keys(), flag_col, run_col)
+
+
+def ordinal(
+    df: DataFrame,
+    order_by: Sequence[str],
+    partition_by: Sequence[str] = (),
+    *,
+    col: str = "position",
+    bucketed: bool = True,
+    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+) -> DataFrame:
+    """1-based position of each row in ``order_by`` order (``order_by`` must be unique).
+
+    A segmentation where every row starts a run, so ``run_id`` is the row
+    number -- computed bucket by bucket, never in one task for a large input.
+    """
+    flag = f"{_P}pos_flag"
+    return segment_runs(df, order_by, change_on=order_by, partition_by=partition_by, flag_col=flag,
+                        run_col=col, bucketed=bucketed, rows_per_bucket=rows_per_bucket).drop(flag)
