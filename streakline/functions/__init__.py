@@ -8,6 +8,8 @@ from .parsing import (
     TYPE_MARKERS,
     first_segment,
     lenient_int,
+    line_is_valid,
+    marker_regex,
     parse_lines,
     parse_timestamp,
     segment_after,
@@ -23,6 +25,8 @@ __all__ = [
     "in_order",
     "join_ints",
     "lenient_int",
+    "line_is_valid",
+    "marker_regex",
     "parse_lines",
     "parse_timestamp",
     "segment_after",

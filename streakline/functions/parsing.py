@@ -80,6 +80,29 @@ def parse_timestamp(c: str | Column, fmt: str = TIMESTAMP_FORMAT) -> Column:
     return F.try_to_timestamp(_col(c), F.lit(fmt))
 
 
+def marker_regex(markers: Sequence[str]) -> str:
+    """Regex matching ``/<marker>/<non-empty segment>/`` for any of ``markers``."""
+    return "|".join(f"/{re.escape(m)}/[^/]+/" for m in markers)
+
+
+def line_is_valid(
+    *,
+    type_markers: Sequence[str] = TYPE_MARKERS,
+    level_marker: str = LEVEL_MARKER,
+) -> Column:
+    """Predicate over a parsed table: timestamp parsed, a type segment and a level segment present.
+
+    Equal to "timestamp not NULL, type not NULL/empty, level not NULL/empty"
+    for ``parse_lines`` output, but written so that each parse step appears
+    once: when the optimizer pushes the filter below the parse projection it
+    substitutes column definitions, and a filter (unlike a projection) does
+    not share repeated sub-expressions.
+    """
+    # one regex, two look-aheads: "has a type segment" and "has a level segment"
+    both = f"(?s)^(?=.*(?:{marker_regex(type_markers)}))(?=.*(?:{marker_regex([level_marker])}))"
+    return F.col("timestamp").isNotNull() & F.col("url").rlike(both)
+
+
 def parse_lines(
     lines: DataFrame,
     *,

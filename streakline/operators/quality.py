@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.parsing import LEVEL_MARKER, TYPE_MARKERS, line_is_valid
+
 GOOD_COLUMNS = (
     "timestamp",
     "arrival_id",
@@ -16,19 +20,22 @@ GOOD_COLUMNS = (
 )
 
 
-def is_valid(parsed: DataFrame | None = None) -> Column:
+def is_valid(*, type_markers: Sequence[str] = TYPE_MARKERS, level_marker: str = LEVEL_MARKER) -> Column:
     """Timestamp parsed, type present and non-empty, level text present and non-empty.
 
     The level only has to be non-empty text: a non-numeric level is a good line
-    that contributes no number to level lists.
+    that contributes no number to level lists.  Markers must be those given
+    to ``parse_lines``.
     """
-    def present(c: str) -> Column:
-        return F.col(c).isNotNull() & (F.col(c) != "")
-
-    return F.col("timestamp").isNotNull() & present("breakdown_type") & present("breakdown_level")
+    return line_is_valid(type_markers=type_markers, level_marker=level_marker)
 
 
-def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_valid(
+    parsed: DataFrame,
+    *,
+    type_markers: Sequence[str] = TYPE_MARKERS,
+    level_marker: str = LEVEL_MARKER,
+) -> tuple[DataFrame, DataFrame]:
     """(good, bad) from a parsed table.
 
     ``good`` keeps the columns of ``GOOD_COLUMNS``.  ``bad`` is the set of
@@ -38,7 +45,7 @@ def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     of the bad lines only, instead of an anti-join that shuffles every line.
     ``coalesce(valid, false)`` sends rows whose validity is NULL to ``bad``.
     """
-    ok = F.coalesce(is_valid(), F.lit(False))
+    ok = F.coalesce(is_valid(type_markers=type_markers, level_marker=level_marker), F.lit(False))
     good = parsed.filter(ok).select(*GOOD_COLUMNS)
     bad = parsed.filter(~ok).select("value").distinct()
     return good, bad

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .parallel import spread
+
 # --- fixed rendering rules (the SQL oracle uses the same values) ---
 URL_PREFIX = "/map/1.0/"
 # event_id divisible by ... -> defect (first match wins)
@@ -28,8 +30,13 @@ def _every(n: int) -> Column:
     return F.col("event_id") % n == 0
 
 
-def lines_from_events(events: DataFrame) -> DataFrame:
-    """events -> (arrival_id = event_id, value = rendered line). Narrow, no shuffle."""
+def lines_from_events(events: DataFrame, *, min_partitions: int | None = None) -> DataFrame:
+    """events -> (arrival_id = event_id, value = rendered line).
+
+    Narrow projection; the events are first spread over the cluster when the
+    scan yields fewer tasks than cores (see ``spread``).
+    """
+    events = spread(events.select("event_id", "ts", "event_type", "props"), min_partitions)
     ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     marker = F.when(_every(MULTI_DESCR_EVERY), F.lit("multi-descr")).otherwise(F.lit("slab"))
     level = F.get_json_object("props", "$.k")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .parallel import spread
+
 
 def arrival_key() -> F.Column:
     """Ordering key for lines of a file scan: (file path, split start, row id).
@@ -22,10 +24,12 @@ def arrival_key() -> F.Column:
     )
 
 
-def read_log_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_log_lines(spark: SparkSession, path: str | list[str], *, min_partitions: int | None = None) -> DataFrame:
     """Scan text files: ``value`` (the whole line, empty lines kept) and ``arrival_id``.
 
     A missing path fails eagerly with PATH_NOT_FOUND, before any job runs.
-    Splittable (uncompressed) files are read in parallel splits.
+    Splittable (uncompressed) files are read in parallel splits; when there
+    are fewer splits than cores (a small log, a few gzip files) the lines are
+    spread after the arrival key is fixed, so parsing still runs in parallel.
     """
-    return spark.read.text(path).select("value", arrival_key().alias("arrival_id"))
+    return spread(spark.read.text(path).select("value", arrival_key().alias("arrival_id")), min_partitions)
