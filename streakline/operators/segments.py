@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 #: Largest bucket (rows) one window task handles; partitions above are split.
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
@@ -95,11 +95,18 @@ def _child_index(x1: Column, x2: Column | None, st: Mapping[str, Column]) -> Col
     return F.when(st["hi1"] > st["lo1"], on_k1).otherwise(on_k2)
 
 
-def _materialize_small(small: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint a small derived table (lineage cut, survives executor loss); return it and its size."""
-    ensure_checkpoint_dir(small.sparkSession)
-    small = small.checkpoint(eager=True)
-    return small, small.count()
+def _materialize_small(small: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write a small derived table once to the shared scratch folder; return it re-read and its size.
+
+    One job computes it (``checkpoint()`` on an unpersisted plan would compute
+    it twice); the written table cuts the lineage, so a lost executor never
+    re-runs the statistics pass, and later jobs read a few KB instead.
+    """
+    spark = small.sparkSession
+    path = scratch_path(spark, name)
+    small.write.parquet(path)
+    table = spark.read.parquet(path)
+    return table, table.count()
 
 
 def _join_small(big: DataFrame, small: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
@@ -165,9 +172,10 @@ def assign_buckets(
             cur = cur.withColumn(name, _child_index(kx1, kx2, st))
             split = F.lit(True)
         else:
-            small, n_hot = _materialize_small(stats.withColumnRenamed("n", f"{_P}n"))
-            if n_hot == 0:
+            # Usually nothing is hot: one bounded collect answers that without writing anything.
+            if not stats.limit(1).collect():
                 break
+            small, n_hot = _materialize_small(stats.withColumnRenamed("n", f"{_P}n"), f"bucket-stats-{level}")
             cur = _join_small(cur, small, n_hot, groups)
             st = {k: F.col(k).cast("double") for k in ("lo1", "hi1", "lo2", "hi2", "m") if k in cur.columns}
             hot = F.col(f"{_P}n").isNotNull()
@@ -259,7 +267,7 @@ def _segment_bucketed(columns, df, bcols, split, order_by, change_on, partition_
         fixed[f"{_P}prev"] = F.lag("last_lag").over(wb)
     bnd = bnd.withColumns(fixed).select(*keys, f"{_P}m", *fixed.keys())
 
-    bnd, n_bnd = _materialize_small(bnd)
+    bnd, n_bnd = _materialize_small(bnd, "bucket-edges")
     out = _join_small(local(df), bnd, n_bnd, keys)
     at_edge = F.col(f"{_P}first") & F.col(f"{_P}m").isNotNull()
     result = out.withColumns({

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -14,6 +17,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     pass through untouched, without a shuffle.  Default: the cluster's
     default parallelism.  Order-carrying columns (arrival keys) must be
     computed before this call; row order itself is not kept.
+
+    The spread rows are observed (metric ``rows``): besides counting the
+    input, the observation keeps later filters from being pushed below the
+    repartition into the few pre-shuffle tasks.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want).observe(f"spread_{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("rows"))
