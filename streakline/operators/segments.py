@@ -110,16 +110,18 @@ def _materialize_small(small: DataFrame, name: str) -> tuple[DataFrame, int]:
 
 
 def _join_small(big: DataFrame, small: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
-    """Left join a materialized small table on NULL-safe ``keys``.
+    """Left join a materialized small table on ``keys`` (NULL-safe for partition keys).
 
     Broadcast only when its checked row count ``n`` is under ``BROADCAST_ROW_LIMIT``;
-    beyond that the planner's shuffle join is used.
+    beyond that the planner's shuffle join is used.  Bucket ids are never NULL
+    and use plain equality.
     """
     renamed = small.select(*[F.col(k).alias(f"{_P}k_{k}") for k in keys],
                            *[c for c in small.columns if c not in keys])
     if n <= BROADCAST_ROW_LIMIT:
         renamed = F.broadcast(renamed)
-    cond = [big[k].eqNullSafe(renamed[f"{_P}k_{k}"]) for k in keys]
+    cond = [(big[k] == renamed[f"{_P}k_{k}"]) if k.startswith(f"{_P}b") else big[k].eqNullSafe(renamed[f"{_P}k_{k}"])
+            for k in keys]
     joined = big.join(renamed, on=reduce(lambda a, b: a & b, cond), how="left")
     return joined.drop(*[f"{_P}k_{k}" for k in keys])
 
