@@ -10,13 +10,14 @@ from .reports import (
     type_spans,
     type_summary,
 )
-from .segments import assign_buckets, ordinal, segment_runs
+from .segments import assign_buckets, ordinal, run_keys, segment_runs
 
 __all__ = [
     "GOOD_COLUMNS",
     "assign_buckets",
     "is_valid",
     "ordinal",
+    "run_keys",
     "segment_runs",
     "span_table",
     "split_valid",

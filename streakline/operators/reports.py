@@ -1,4 +1,4 @@
-"""Run reports built on ``segment_runs``.
+"""Run reports built on ``segment_runs`` / ``run_keys``.
 
 * ``type_ordered``  -- every good row with its previous timestamp within the type,
   run flag and run id (one span per type);
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import in_order, join_ints, sorted_distinct
-from .segments import DEFAULT_ROWS_PER_BUCKET, segment_runs
+from .segments import DEFAULT_ROWS_PER_BUCKET, run_keys, segment_runs
 
 ORDER = ("timestamp", "arrival_id")
 
@@ -119,23 +119,27 @@ def timeline_runs(
 
     Columns: Breakdown_Type, Count_Successive, Breakdowns_Level (levels of the
     run's rows in order, comma-joined, NULLs skipped), sorted by run.  With
-    ``keep_order_columns`` the partition columns, ``run_id`` and ``run_start``
-    are kept too.  The level list of a run is one value whose size is the run's
-    length; ``with_levels=False`` leaves it out for logs with enormous runs.
+    ``keep_order_columns`` the partition columns, ``run_key`` (orders the runs;
+    not a dense number) and ``run_start`` are kept too.  The level list of a
+    run is one value whose size is the run's length; ``with_levels=False``
+    leaves it out for logs with enormous runs.
+
+    Runs are labelled with ``run_keys`` (one sort + window pass even when the
+    timeline is cut into buckets), then grouped with partial aggregation.
     """
     cols = list(dict.fromkeys([*partition_by, *order_by, type_col] + ([level_col] if with_levels else [])))
-    seg = segment_runs(good.select(*cols), order_by, change_on=(type_col,), partition_by=partition_by,
-                       bucketed=bucketed, rows_per_bucket=rows_per_bucket)
+    seg = run_keys(good.select(*cols), order_by, change_on=(type_col,), partition_by=partition_by,
+                   bucketed=bucketed, rows_per_bucket=rows_per_bucket)
     aggs = [F.count(F.lit(1)).alias("Count_Successive"), F.min(order_by[0]).alias("run_start")]
     if with_levels:
         levels = in_order(F.col(level_col), *[F.col(c) for c in order_by])
         aggs.append(join_ints(levels).alias("Breakdowns_Level"))
     runs = (
-        seg.groupBy(*partition_by, "run_id", F.col(type_col).alias("Breakdown_Type"))
+        seg.groupBy(*partition_by, "run_key", F.col(type_col).alias("Breakdown_Type"))
         .agg(*aggs)
-        .orderBy(*partition_by, "run_id")
+        .orderBy(*partition_by, "run_key")
     )
     out = ["Breakdown_Type", "Count_Successive"] + (["Breakdowns_Level"] if with_levels else [])
     if keep_order_columns:
-        out = [*partition_by, "run_id", *out, "run_start"]
+        out = [*partition_by, "run_key", *out, "run_start"]
     return runs.select(*out)

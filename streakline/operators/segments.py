@@ -79,6 +79,13 @@ def _numeric_key(c: str, dtype: T.DataType) -> Column | None:
     return None
 
 
+def _parallelism(df: DataFrame) -> int:
+    try:
+        return int(df.sparkSession.sparkContext.defaultParallelism)
+    except Exception:  # no SparkContext in this client
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def _cell(x: Column, lo: Column, hi: Column, m: Column) -> Column:
     """Equi-width cell 0..m-1 of x in [lo, hi]; non-decreasing in x."""
     idx = F.floor((x - lo) / (hi - lo) * m)
@@ -170,7 +177,9 @@ def assign_buckets(
             rows = stats.collect()
             if not rows:
                 break
-            st = {k: F.lit(rows[0][k]).cast("double") for k in stats.columns if k != "n"}
+            st = {k: F.lit(rows[0][k]).cast("double") for k in stats.columns if k not in ("n", "m")}
+            # the whole table is one hot group: use every core, whatever the threshold
+            st["m"] = F.lit(float(max(rows[0]["m"], _parallelism(df)))).cast("double")
             cur = cur.withColumn(name, _child_index(kx1, kx2, st))
             split = F.lit(True)
         else:
@@ -298,3 +307,71 @@ def ordinal(
     flag = f"{_P}pos_flag"
     return segment_runs(df, order_by, change_on=order_by, partition_by=partition_by, flag_col=flag,
                         run_col=col, bucketed=bucketed, rows_per_bucket=rows_per_bucket).drop(flag)
+
+
+def run_keys(
+    df: DataFrame,
+    order_by: Sequence[str],
+    change_on: Sequence[str],
+    partition_by: Sequence[str] = (),
+    *,
+    key_col: str = "run_key",
+    bucketed: bool = True,
+    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+    max_levels: int = MAX_LEVELS,
+) -> DataFrame:
+    """Label each row's run with ``key_col``: a struct that is equal within a run
+    and increases from run to run (inside a partition) -- not a dense number.
+
+    Enough for reports that group and order runs, and cheaper than dense ids
+    at scale: the cross-bucket edge table is a plain aggregate (first, last,
+    min and max change value per bucket; no sort), so the sort + window runs
+    once.  A bucket's runs are keyed ``(bucket, local run number)``; its last
+    run gets ``(bucket, +inf)``; a first run that continues the previous
+    bucket's last run takes the key of the bucket where that run began.
+    """
+    got = assign_buckets(df, order_by, partition_by, rows_per_bucket, max_levels) if bucketed else None
+    if got is None:
+        seg = _segment_plain(df, order_by, change_on, partition_by, {}, f"{_P}flag", f"{_P}run")
+        return seg.withColumn(key_col, F.struct(F.col(f"{_P}run").alias("idx"))).drop(f"{_P}flag", f"{_P}run")
+    bdf, bcols, split = got
+    part = list(partition_by)
+    keys = part + bcols
+    order_struct = F.struct(*order_by)
+    chg = F.struct(*change_on)
+
+    # edge table: one row per bucket of a split partition, from an aggregate only
+    edges = (
+        bdf.filter(split).groupBy(*keys)
+        .agg(F.min_by(chg, order_struct).alias("first_chg"), F.max_by(chg, order_struct).alias("last_chg"),
+             F.min(chg).alias("lo_chg"), F.max(chg).alias("hi_chg"))
+    )
+    wb = Window.partitionBy(*part).orderBy(*bcols)
+    cont = (F.row_number().over(wb) > 1) & F.lag("last_chg").over(wb).eqNullSafe(F.col("first_chg"))
+    single = F.col("lo_chg").eqNullSafe(F.col("hi_chg"))
+    bucket_key = F.struct(*[F.col(b).alias(b) for b in bcols])
+    edges = edges.withColumns({f"{_P}cont": cont, f"{_P}single": single})
+    anchor = F.when(~(F.col(f"{_P}single") & F.col(f"{_P}cont")), bucket_key)
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.withColumn(f"{_P}origin", F.last(anchor, ignorenulls=True).over(before))
+    edges, n_edges = _materialize_small(edges.select(*keys, f"{_P}cont", f"{_P}origin"), "run-key-edges")
+
+    w = Window.partitionBy(*keys).orderBy(*order_by)
+    first = F.row_number().over(w) == 1
+    changed = _nullsafe_differs([F.lag(c).over(w) for c in change_on], [F.col(c) for c in change_on])
+    local = bdf.withColumn(f"{_P}lflag", F.when(first | changed, 1).otherwise(0))
+    local = local.withColumn(f"{_P}l", F.sum(f"{_P}lflag").over(w.rowsBetween(Window.unboundedPreceding,
+                                                                              Window.currentRow)))
+    local = local.withColumn(f"{_P}n", F.max(f"{_P}l").over(w.rowsBetween(Window.unboundedPreceding,
+                                                                           Window.unboundedFollowing)))
+    out = _join_small(local, edges, n_edges, keys)
+    last_idx = F.lit(2**63 - 1)
+    origin = F.col(f"{_P}origin")
+    key = (
+        F.when((F.col(f"{_P}l") == 1) & F.coalesce(F.col(f"{_P}cont"), F.lit(False)),
+               F.struct(*[origin[b].alias(b) for b in bcols], last_idx.alias("idx")))
+        .when(F.col(f"{_P}cont").isNotNull() & (F.col(f"{_P}l") == F.col(f"{_P}n")),
+              F.struct(*[F.col(b).alias(b) for b in bcols], last_idx.alias("idx")))
+        .otherwise(F.struct(*[F.col(b).alias(b) for b in bcols], F.col(f"{_P}l").alias("idx")))
+    )
+    return out.withColumn(key_col, key).select(*df.columns, key_col)

@@ -16,7 +16,13 @@ from pyspark.sql import SparkSession
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint directory of the session, set from ``spark.checkpoint.dir`` when needed."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext in this client (Spark Connect): the conf must name the folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -22,7 +22,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     input, the observation keeps later filters from being pushed below the
     repartition into the few pre-shuffle tasks.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the input as it is
+        return df
+    if have >= want:
         return df
     return df.repartition(want).observe(f"spread_{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("rows"))

@@ -119,3 +119,16 @@ def test_ordinal_is_row_number(spark):
     out = ordinal(df, ("timestamp", "arrival_id"), rows_per_bucket=40).collect()
     expect = sorted(out, key=lambda r: (r["timestamp"], r["arrival_id"]))
     assert [r["position"] for r in expect] == list(range(1, len(out) + 1))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_timeline_run_keys_bucketed_equals_plain(spark, seed):
+    """timeline_runs keys runs without dense ids; bucketed output equals the plain window's."""
+    df = tie_heavy(spark, seed, 2 + 2 * (seed % 2))
+    plain = timeline_runs(df, bucketed=False).collect()
+    for rpb in (5, 40):
+        assert timeline_runs(df, rows_per_bucket=rpb).collect() == plain
+    strip = lambda rows: [(r["key"], r["Breakdown_Type"], r["Count_Successive"], r["Breakdowns_Level"]) for r in rows]
+    kw = dict(partition_by=("key",), keep_order_columns=True)
+    assert strip(timeline_runs(df, rows_per_bucket=20, **kw).collect()) == strip(
+        timeline_runs(df, bucketed=False, **kw).collect())
