@@ -24,12 +24,23 @@ def arrival_key() -> F.Column:
     )
 
 
-def read_log_lines(spark: SparkSession, path: str | list[str], *, min_partitions: int | None = None) -> DataFrame:
+def read_log_lines(spark: SparkSession, path: str | list[str], *, order: str = "files",
+                   min_partitions: int | None = None) -> DataFrame:
     """Scan text files: ``value`` (the whole line, empty lines kept) and ``arrival_id``.
 
+    ``order="files"`` (default): ``arrival_key()``, file name then line --
+    reproducible whatever the cluster's split size or core count.
+    ``order="scan"``: ``monotonically_increasing_id()``, a bigint in Spark's
+    scan order (line order for one file; largest file first for several).
+    Numeric, so when one second holds a large share of all lines the bucketed
+    segmentation can still cut that second into ranges of it.
+
     A missing path fails eagerly with PATH_NOT_FOUND, before any job runs.
     Splittable (uncompressed) files are read in parallel splits; when there
     are fewer splits than cores (a small log, a few gzip files) the lines are
     spread after the arrival key is fixed, so parsing still runs in parallel.
     """
-    return spread(spark.read.text(path).select("value", arrival_key().alias("arrival_id")), min_partitions)
+    if order not in ("files", "scan"):
+        raise ValueError("order must be 'files' or 'scan'")
+    arrival = arrival_key() if order == "files" else F.monotonically_increasing_id()
+    return spread(spark.read.text(path).select("value", arrival.alias("arrival_id")), min_partitions)

@@ -132,3 +132,23 @@ def test_timeline_run_keys_bucketed_equals_plain(spark, seed):
     kw = dict(partition_by=("key",), keep_order_columns=True)
     assert strip(timeline_runs(df, rows_per_bucket=20, **kw).collect()) == strip(
         timeline_runs(df, bucketed=False, **kw).collect())
+
+
+def test_hot_second_in_text_log_is_split_with_scan_order(spark, tmp_dir):
+    """Every line in one second: with the numeric scan-order arrival the second is still cut."""
+    import os
+
+    from streakline.functions import parse_lines
+    from streakline.operators import split_valid
+    from streakline.sources import read_log_lines
+
+    log = os.path.join(tmp_dir, "hot.log")
+    with open(log, "w") as f:
+        for i in range(300):
+            f.write(f"2017-10-05 00:01:09@/m/slab/t{(i // 7) % 3}/256/{i % 5}/x\n")
+    good, _ = split_valid(parse_lines(read_log_lines(spark, log, order="scan")))
+    got = assign_buckets(good, ("timestamp", "arrival_id"), rows_per_bucket=40)
+    assert got is not None
+    bucketed, bcols, _ = got
+    assert max(r["count"] for r in bucketed.groupBy(*bcols).count().collect()) <= 40
+    assert timeline_runs(good, rows_per_bucket=40).collect() == timeline_runs(good, bucketed=False).collect()
