@@ -24,6 +24,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--bad", help="bad-line folder")
     parser.add_argument("--stage", choices=STAGES)
     parser.add_argument("--stage_dir", help="shared folder for stage tables")
+    parser.add_argument("--order", choices=("files", "scan"), default="files",
+                        help="tie order of equal timestamps: file name then line (default), or scan order")
     args = parser.parse_args(argv)
     needs = {None: ("input", "output", "bad"), "read": ("input", "stage_dir", "bad"),
              "sort": ("stage_dir",), "compute": ("stage_dir",), "save": ("stage_dir", "output")}[args.stage]
@@ -33,10 +35,10 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("streakline").getOrCreate()
     try:
         if args.stage is None:
-            run_once(spark, args.input, args.output, args.bad)
+            run_once(spark, args.input, args.output, args.bad, order=args.order)
         else:
             run_stage(spark, args.stage, input_path=args.input, stage_dir=args.stage_dir, bad_dir=args.bad,
-                      output_dir=args.output)
+                      output_dir=args.output, order=args.order)
     finally:
         spark.stop()
 

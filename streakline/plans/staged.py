@@ -48,9 +48,10 @@ def bad_rows(spark: SparkSession, stage_dir: str) -> DataFrame:
 
 
 def stage_read(spark: SparkSession, input_path: str, stage_dir: str, bad_dir: str, *,
-               keep_history: bool = True, lines: DataFrame | None = None) -> str:
-    """Parse + quarantine. ``lines`` (value, arrival_id) overrides the text scan."""
-    raw = read_log_lines(spark, input_path) if lines is None else lines
+               keep_history: bool = True, lines: DataFrame | None = None, order: str = "files") -> str:
+    """Parse + quarantine. ``lines`` (value, arrival_id) overrides the text scan;
+    ``order`` is the arrival order of ``read_log_lines``."""
+    raw = read_log_lines(spark, input_path, order=order) if lines is None else lines
     parsed = parse_lines(raw)
     quality = F.when(F.coalesce(is_valid(), F.lit(False)), F.lit("good")).otherwise(F.lit("bad"))
     write_table(parsed.select(*GOOD_COLUMNS, quality.alias("quality")), f"{stage_dir}/lines",
@@ -88,10 +89,10 @@ def stage_save(spark: SparkSession, stage_dir: str, output_dir: str, *,
 
 
 def run_stage(spark: SparkSession, name: str, *, input_path: str | None = None, stage_dir: str,
-              bad_dir: str | None = None, output_dir: str | None = None) -> None:
+              bad_dir: str | None = None, output_dir: str | None = None, order: str = "files") -> None:
     """Dispatch one named stage (``read``, ``sort``, ``compute`` or ``save``)."""
     if name == "read":
-        stage_read(spark, input_path, stage_dir, bad_dir)
+        stage_read(spark, input_path, stage_dir, bad_dir, order=order)
     elif name == "sort":
         stage_sort(spark, stage_dir)
     elif name == "compute":
@@ -103,7 +104,8 @@ def run_stage(spark: SparkSession, name: str, *, input_path: str | None = None,
 
 
 def run_once(spark: SparkSession, input_path: str, output_dir: str, bad_dir: str, *,
-             lines: DataFrame | None = None, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> None:
+             lines: DataFrame | None = None, order: str = "files",
+             rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> None:
     """One-shot job: all outputs from one parse of the input.
 
     Writes ``output_dir/stage/*`` Parquet (``stage/ordered`` is the per-row
@@ -112,7 +114,7 @@ def run_once(spark: SparkSession, input_path: str, output_dir: str, bad_dir: str
     this mode reads its file order.
     """
     stage_dir = f"{output_dir}/stage"
-    stage_read(spark, input_path, stage_dir, bad_dir, keep_history=False, lines=lines)
+    stage_read(spark, input_path, stage_dir, bad_dir, keep_history=False, lines=lines, order=order)
     stage_compute(spark, stage_dir, source="lines", rows_per_bucket=rows_per_bucket)
     write_csv(spark.read.parquet(f"{stage_dir}/runs"), f"{output_dir}/runs", single_part=True)
     write_csv(spark.read.parquet(f"{stage_dir}/summary"), f"{output_dir}/summary", single_part=True)
