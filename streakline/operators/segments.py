@@ -145,6 +145,26 @@ def assign_buckets(
     Returns ``(df, bucket_columns, split)`` where ``split`` is true on rows of a
     partition that was cut, or None when no partition exceeds the threshold.
     """
+    got = _assign(df, order_by, partition_by, rows_per_bucket, max_levels)
+    return None if got is None else got[:3]
+
+
+def _assign(
+    df: DataFrame,
+    order_by: Sequence[str],
+    partition_by: Sequence[str],
+    rows_per_bucket: int,
+    max_levels: int,
+    cell_aggs: Mapping[str, Column] | None = None,
+) -> tuple[DataFrame, list[str], Column, DataFrame | None] | None:
+    """``assign_buckets`` plus, optionally, a per-bucket table of ``cell_aggs``.
+
+    With no ``partition_by`` the cells of the whole table are few (one per
+    bucket), so each refinement level aggregates *every* cell once, writes
+    that small table and reads the hot cells from it.  When no cell is hot the
+    same table, carrying ``cell_aggs``, is returned as the per-bucket table of
+    the final buckets -- the caller needs no further pass for it.
+    """
     schema = {f.name: f.dataType for f in df.schema.fields}
     x1 = _numeric_key(order_by[0], schema[order_by[0]])
     if x1 is None:
@@ -156,50 +176,61 @@ def assign_buckets(
     kx1 = F.col(f"{_P}x1")
     kx2 = F.col(f"{_P}x2") if x2 is not None else None
 
-    def stats_of(groups: Sequence[str]) -> DataFrame:
+    def figures() -> list[Column]:
         aggs = [F.count(F.lit(1)).alias("n"), F.min(kx1).alias("lo1"), F.max(kx1).alias("hi1")]
         if kx2 is not None:
             aggs += [F.min(kx2).alias("lo2"), F.max(kx2).alias("hi2")]
-        return (
-            cur.groupBy(*groups).agg(*aggs)
-            .filter(F.col("n") > rows_per_bucket)
-            .withColumn("m", F.ceil(F.col("n") / rows_per_bucket) * OVERSPLIT)
-        )
+        return aggs
+
+    def hot_only(stats: DataFrame) -> DataFrame:
+        return (stats.filter(F.col("n") > rows_per_bucket)
+                .withColumn("m", F.ceil(F.col("n") / rows_per_bucket) * OVERSPLIT))
 
     groups = list(partition_by)
     bcols: list[str] = []
     split: Column | None = None
+    cells: DataFrame | None = None
     for level in range(max_levels):
         name = f"{_P}b{level}"
-        stats = stats_of(groups)
         if not groups:
             # one group (the whole table): its figures are a handful of numbers
-            rows = stats.collect()
+            rows = hot_only(cur.agg(*figures())).collect()
             if not rows:
                 break
-            st = {k: F.lit(rows[0][k]).cast("double") for k in stats.columns if k not in ("n", "m")}
+            st = {k: F.lit(rows[0][k]).cast("double") for k in rows[0].asDict() if k not in ("n", "m")}
             # the whole table is one hot group: use every core, whatever the threshold
             st["m"] = F.lit(float(max(rows[0]["m"], _parallelism(df)))).cast("double")
             cur = cur.withColumn(name, _child_index(kx1, kx2, st))
             split = F.lit(True)
         else:
-            # Usually nothing is hot: one bounded collect answers that without writing anything.
-            if not stats.limit(1).collect():
-                break
-            small, n_hot = _materialize_small(stats.withColumnRenamed("n", f"{_P}n"), f"bucket-stats-{level}")
+            if cell_aggs is not None and not partition_by:
+                every, _ = _materialize_small(
+                    cur.groupBy(*groups).agg(*figures(), *[c.alias(k) for k, c in cell_aggs.items()]),
+                    f"bucket-cells-{level}")
+                hot = hot_only(every)
+                if not hot.limit(1).collect():
+                    cells = every.select(*groups, *cell_aggs)
+                    break
+                small, n_hot = hot.drop(*cell_aggs).withColumnRenamed("n", f"{_P}n"), hot.count()
+            else:
+                # Usually nothing is hot: one bounded collect answers that without writing anything.
+                stats = hot_only(cur.groupBy(*groups).agg(*figures()))
+                if not stats.limit(1).collect():
+                    break
+                small, n_hot = _materialize_small(stats.withColumnRenamed("n", f"{_P}n"), f"bucket-stats-{level}")
             cur = _join_small(cur, small, n_hot, groups)
             st = {k: F.col(k).cast("double") for k in ("lo1", "hi1", "lo2", "hi2", "m") if k in cur.columns}
-            hot = F.col(f"{_P}n").isNotNull()
-            cur = cur.withColumn(name, F.when(hot, _child_index(kx1, kx2, st)).otherwise(F.lit(0).cast("long")))
+            hot_row = F.col(f"{_P}n").isNotNull()
+            cur = cur.withColumn(name, F.when(hot_row, _child_index(kx1, kx2, st)).otherwise(F.lit(0).cast("long")))
             if level == 0:
-                cur = cur.withColumn(f"{_P}split", hot)
+                cur = cur.withColumn(f"{_P}split", hot_row)
                 split = F.col(f"{_P}split")
             cur = cur.drop(f"{_P}n", "lo1", "hi1", "lo2", "hi2", "m")
         groups.append(name)
         bcols.append(name)
     if not bcols:
         return None
-    return cur.drop(f"{_P}x1", f"{_P}x2"), bcols, split
+    return cur.drop(f"{_P}x1", f"{_P}x2"), bcols, split, cells
 
 
 def segment_runs(
@@ -330,22 +361,22 @@ def run_keys(
     run gets ``(bucket, +inf)``; a first run that continues the previous
     bucket's last run takes the key of the bucket where that run began.
     """
-    got = assign_buckets(df, order_by, partition_by, rows_per_bucket, max_levels) if bucketed else None
+    order_struct = F.struct(*order_by)
+    chg = F.struct(*change_on)
+    edge_aggs = {"first_chg": F.min_by(chg, order_struct), "last_chg": F.max_by(chg, order_struct),
+                 "lo_chg": F.min(chg), "hi_chg": F.max(chg)}
+    got = _assign(df, order_by, partition_by, rows_per_bucket, max_levels, edge_aggs) if bucketed else None
     if got is None:
         seg = _segment_plain(df, order_by, change_on, partition_by, {}, f"{_P}flag", f"{_P}run")
         return seg.withColumn(key_col, F.struct(F.col(f"{_P}run").alias("idx"))).drop(f"{_P}flag", f"{_P}run")
-    bdf, bcols, split = got
+    bdf, bcols, split, edges = got
     part = list(partition_by)
     keys = part + bcols
-    order_struct = F.struct(*order_by)
-    chg = F.struct(*change_on)
 
     # edge table: one row per bucket of a split partition, from an aggregate only
-    edges = (
-        bdf.filter(split).groupBy(*keys)
-        .agg(F.min_by(chg, order_struct).alias("first_chg"), F.max_by(chg, order_struct).alias("last_chg"),
-             F.min(chg).alias("lo_chg"), F.max(chg).alias("hi_chg"))
-    )
+    # (already computed by the last bucket-statistics pass when the table is one partition)
+    if edges is None:
+        edges = bdf.filter(split).groupBy(*keys).agg(*[c.alias(k) for k, c in edge_aggs.items()])
     wb = Window.partitionBy(*part).orderBy(*bcols)
     cont = (F.row_number().over(wb) > 1) & F.lag("last_chg").over(wb).eqNullSafe(F.col("first_chg"))
     single = F.col("lo_chg").eqNullSafe(F.col("hi_chg"))
