@@ -18,6 +18,10 @@ Two physical forms, same result:
   no ``partition_by`` that is an ``Exchange SinglePartition``: every row goes
   through one task.  Used when no partition is larger than
   ``rows_per_bucket`` -- then a partition is small by definition.
+``run_keys`` is the cheaper variant for reports: it labels runs with an
+order-preserving key instead of a dense number, so its cross-bucket edge table
+is a plain aggregate and the sort + window runs once.
+
 * **bucketed**: partitions larger than ``rows_per_bucket`` ("hot") are cut into
   contiguous ranges of the order ("buckets") and the window runs per bucket in
   parallel; a tiny per-bucket boundary table carries the last change value,
@@ -87,9 +91,14 @@ def _parallelism(df: DataFrame) -> int:
 
 
 def _cell(x: Column, lo: Column, hi: Column, m: Column) -> Column:
-    """Equi-width cell 0..m-1 of x in [lo, hi]; non-decreasing in x."""
+    """Equi-width cell 0..m-1 of x in [lo, hi]; non-decreasing in x.
+
+    NULL sorts first in an ascending order, so it gets a cell of its own, -1:
+    a cell then never mixes NULL and non-NULL keys (min/max skip NULLs, so such
+    a cell could look single-valued and be cut on the tie-break key).
+    """
     idx = F.floor((x - lo) / (hi - lo) * m)
-    return F.least(F.greatest(idx, F.lit(0)), m - 1).cast("long")
+    return F.when(x.isNull(), F.lit(-1)).otherwise(F.least(F.greatest(idx, F.lit(0)), m - 1)).cast("long")
 
 
 def _child_index(x1: Column, x2: Column | None, st: Mapping[str, Column]) -> Column:

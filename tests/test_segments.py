@@ -152,3 +152,26 @@ def test_hot_second_in_text_log_is_split_with_scan_order(spark, tmp_dir):
     bucketed, bcols, _ = got
     assert max(r["count"] for r in bucketed.groupBy(*bcols).count().collect()) <= 40
     assert timeline_runs(good, rows_per_bucket=40).collect() == timeline_runs(good, bucketed=False).collect()
+
+
+def test_null_order_keys_sort_first_in_both_forms(spark):
+    rnd = random.Random(7)
+    rows = [(None if i % 9 == 0 else BASE + dt.timedelta(seconds=rnd.randrange(20)), i, f"t{rnd.randrange(2)}")
+            for i in range(150)]
+    df = spark.createDataFrame(rows, "ts timestamp, id long, t string")
+    kw = dict(order_by=("ts", "id"), type_col="t", level_col="id")
+    assert timeline_runs(df, rows_per_bucket=10, **kw).collect() == timeline_runs(df, bucketed=False, **kw).collect()
+    cols = ["id", "is_new_run", "run_id"]
+    assert _rows(segment_runs(df, ("ts", "id"), change_on=("t",), rows_per_bucket=10), cols) == _rows(
+        segment_runs(df, ("ts", "id"), change_on=("t",), bucketed=False), cols)
+
+
+def test_null_order_keys_in_a_hot_partition(spark):
+    rnd = random.Random(11)
+    rows = [("hot" if i % 4 else f"k{i}", None if i % 7 == 0 else BASE + dt.timedelta(seconds=rnd.randrange(5)), i,
+             rnd.randrange(2)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, id long, s int")
+    kw = dict(change_on=("s",), partition_by=("k",), lag_of={"prev_ts": "ts"})
+    cols = ["id", "prev_ts", "is_new_run", "run_id"]
+    assert _rows(segment_runs(df, ("ts", "id"), rows_per_bucket=15, **kw), cols) == _rows(
+        segment_runs(df, ("ts", "id"), bucketed=False, **kw), cols)
