@@ -266,8 +266,10 @@ def segment_runs(
     if bucketed:
         got = assign_buckets(df, order_by, partition_by, rows_per_bucket, max_levels)
         if got is not None:
+            # change columns covering the whole (unique) order: every row starts a run
+            every_row_new = bool(change_on) and set(order_by) <= set(change_on)
             return _segment_bucketed(df.columns, *got, order_by, change_on, partition_by,
-                                     lag_of, flag_col, run_col)
+                                     lag_of, flag_col, run_col, every_row_new)
     return _segment_plain(df, order_by, change_on, partition_by, lag_of, flag_col, run_col)
 
 
@@ -282,7 +284,7 @@ def _segment_plain(df, order_by, change_on, partition_by, lag_of, flag_col, run_
 
 
 def _segment_bucketed(columns, df, bcols, split, order_by, change_on, partition_by,
-                      lag_of, flag_col, run_col) -> DataFrame:
+                      lag_of, flag_col, run_col, every_row_new: bool = False) -> DataFrame:
     part = list(partition_by)
     keys = part + bcols
     w = Window.partitionBy(*keys).orderBy(*order_by)
@@ -299,15 +301,24 @@ def _segment_bucketed(columns, df, bcols, split, order_by, change_on, partition_
         return out.withColumn(f"{_P}l", F.sum(f"{_P}lflag").over(running))
 
     # Boundary table: one row per bucket of a split partition; only key columns are read.
+    # Its run count n needs the local window -- except when it is known without
+    # one: no change columns (a bucket is one run) or every row a run (n = rows).
     order_struct = F.struct(*order_by)
     key_cols = list(dict.fromkeys(keys + list(order_by) + list(change_on) + list(lag_of.values())))
-    aggs = [F.max(f"{_P}l").alias("n")]
+    edge_src = df.filter(split).select(*key_cols)
+    if not change_on:
+        aggs = [F.max(F.lit(1)).cast("long").alias("n")]
+    elif every_row_new:
+        aggs = [F.count(F.lit(1)).alias("n")]
+    else:
+        aggs = [F.max(f"{_P}l").alias("n")]
+        edge_src = local(edge_src)
     if change_on:
         aggs += [F.min_by(F.struct(*change_on), order_struct).alias("first_chg"),
                  F.max_by(F.struct(*change_on), order_struct).alias("last_chg")]
     if lag_of:
         aggs += [F.max_by(F.struct(*[F.col(v).alias(k) for k, v in lag_of.items()]), order_struct).alias("last_lag")]
-    bnd = local(df.filter(split).select(*key_cols)).groupBy(*keys).agg(*aggs)
+    bnd = edge_src.groupBy(*keys).agg(*aggs)
     wb = Window.partitionBy(*part).orderBy(*bcols)
     has_prev = F.row_number().over(wb) > 1
     cont = has_prev & F.lag("last_chg").over(wb).eqNullSafe(F.col("first_chg")) if change_on else has_prev

@@ -175,3 +175,11 @@ def test_null_order_keys_in_a_hot_partition(spark):
     cols = ["id", "prev_ts", "is_new_run", "run_id"]
     assert _rows(segment_runs(df, ("ts", "id"), rows_per_bucket=15, **kw), cols) == _rows(
         segment_runs(df, ("ts", "id"), bucketed=False, **kw), cols)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_type_ordered_bucketed_equals_plain(spark, seed):
+    """Span semantics (no change columns): edge table is a plain aggregate; lag crosses bucket edges."""
+    df = tie_heavy(spark, seed, 3)
+    cols = df.columns + ["prev_ts", "is_new_run", "run_id"]
+    assert _rows(type_ordered(df, rows_per_bucket=12), cols) == _rows(type_ordered(df, bucketed=False), cols)
