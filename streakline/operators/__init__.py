@@ -3,6 +3,7 @@
 from .quality import GOOD_COLUMNS, is_valid, split_valid
 from .reports import (
     span_table,
+    timeline_run_pieces,
     timeline_runs,
     type_levels,
     type_levels_by_rows,
@@ -21,6 +22,7 @@ __all__ = [
     "segment_runs",
     "span_table",
     "split_valid",
+    "timeline_run_pieces",
     "timeline_runs",
     "type_levels",
     "type_levels_by_rows",

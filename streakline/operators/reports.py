@@ -6,7 +6,8 @@
 * ``type_summary``  -- one row per type: totals, run count, max/avg run length, levels;
 * ``type_levels``   -- minimal summary: type, max run length, levels;
 * ``timeline_runs`` -- one row per maximal run of equal type on the whole
-  timeline, with the levels of its rows in time order (duplicates kept).
+  timeline, with the levels of its rows in time order (duplicates kept);
+* ``timeline_run_pieces`` -- the same levels in bounded per-bucket pieces.
 
 All are aggregations Spark pre-aggregates map-side; none needs a self-join.
 """
@@ -143,3 +144,33 @@ def timeline_runs(
     if keep_order_columns:
         out = [*partition_by, "run_key", *out, "run_start"]
     return runs.select(*out)
+
+
+def timeline_run_pieces(
+    good: DataFrame,
+    *,
+    order_by: Sequence[str] = ORDER,
+    type_col: str = "breakdown_type",
+    level_col: str = "breakdown_level_int",
+    partition_by: Sequence[str] = (),
+    bucketed: bool = True,
+    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+) -> DataFrame:
+    """``timeline_runs`` with each run's level list in bounded pieces.
+
+    One row per (run, bucket piece): partition columns, ``run_key`` (orders the
+    runs), ``piece`` (orders a run's pieces), Breakdown_Type, Count_In_Piece and
+    Breakdowns_Level of the piece's rows in order.  A piece holds at most
+    ``rows_per_bucket`` rows, so no row or task has to hold a whole run; the
+    pieces of a run, concatenated in order, give its ``timeline_runs`` levels,
+    and their counts add up to ``Count_Successive``.
+    """
+    cols = list(dict.fromkeys([*partition_by, *order_by, type_col, level_col]))
+    seg = run_keys(good.select(*cols), order_by, change_on=(type_col,), partition_by=partition_by,
+                   piece_col="piece", bucketed=bucketed, rows_per_bucket=rows_per_bucket)
+    return (
+        seg.groupBy(*partition_by, "run_key", "piece", F.col(type_col).alias("Breakdown_Type"))
+        .agg(F.count(F.lit(1)).alias("Count_In_Piece"),
+             join_ints(in_order(F.col(level_col), *[F.col(c) for c in order_by])).alias("Breakdowns_Level"))
+        .orderBy(*partition_by, "run_key", "piece")
+    )

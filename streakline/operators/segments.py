@@ -367,12 +367,16 @@ def run_keys(
     partition_by: Sequence[str] = (),
     *,
     key_col: str = "run_key",
+    piece_col: str | None = None,
     bucketed: bool = True,
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     max_levels: int = MAX_LEVELS,
 ) -> DataFrame:
     """Label each row's run with ``key_col``: a struct that is equal within a run
     and increases from run to run (inside a partition) -- not a dense number.
+    With ``piece_col`` the row's own bucket is added too (a struct; constant
+    when nothing was cut): a run's rows in one bucket form one piece, at most
+    ``rows_per_bucket`` rows, and pieces sort in run order.
 
     Enough for reports that group and order runs, and cheaper than dense ids
     at scale: the cross-bucket edge table is a plain aggregate (first, last,
@@ -388,7 +392,10 @@ def run_keys(
     got = _assign(df, order_by, partition_by, rows_per_bucket, max_levels, edge_aggs) if bucketed else None
     if got is None:
         seg = _segment_plain(df, order_by, change_on, partition_by, {}, f"{_P}flag", f"{_P}run")
-        return seg.withColumn(key_col, F.struct(F.col(f"{_P}run").alias("idx"))).drop(f"{_P}flag", f"{_P}run")
+        seg = seg.withColumn(key_col, F.struct(F.col(f"{_P}run").alias("idx")))
+        if piece_col:
+            seg = seg.withColumn(piece_col, F.struct(F.lit(0).cast("long").alias("b")))
+        return seg.drop(f"{_P}flag", f"{_P}run")
     bdf, bcols, split, edges = got
     part = list(partition_by)
     keys = part + bcols
@@ -425,4 +432,8 @@ def run_keys(
               F.struct(*[F.col(b).alias(b) for b in bcols], last_idx.alias("idx")))
         .otherwise(F.struct(*[F.col(b).alias(b) for b in bcols], F.col(f"{_P}l").alias("idx")))
     )
-    return out.withColumn(key_col, key).select(*df.columns, key_col)
+    out = out.withColumn(key_col, key)
+    if piece_col:
+        return out.withColumn(piece_col, F.struct(*[F.col(b).alias(b) for b in bcols])).select(
+            *df.columns, key_col, piece_col)
+    return out.select(*df.columns, key_col)

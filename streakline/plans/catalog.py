@@ -23,6 +23,7 @@ from ..operators import (
     segment_runs,
     span_table,
     split_valid,
+    timeline_run_pieces,
     timeline_runs,
     type_levels,
     type_levels_by_rows,
@@ -105,6 +106,11 @@ def q_timeline_runs(spark, sf_dir):
     return timeline_runs(_good(spark, sf_dir))
 
 
+def q_timeline_run_pieces(spark, sf_dir):
+    """Bounded-piece form of the timeline report (keys dropped: they are opaque structs)."""
+    return timeline_run_pieces(_good(spark, sf_dir)).select("Breakdown_Type", "Count_In_Piece", "Breakdowns_Level")
+
+
 def q_timeline_runs_raw(spark, sf_dir):
     """Timeline runs straight on ``events`` (microsecond times, event_id tie-break)."""
     ev = _table(spark, sf_dir, "events").select(
@@ -203,6 +209,7 @@ QUERIES: dict[str, Query] = {
     "type_summary_left_join": q_type_summary_left_join,
     "type_levels": q_type_levels,
     "timeline_runs": q_timeline_runs,
+    "timeline_run_pieces": q_timeline_run_pieces,
     "timeline_runs_raw": q_timeline_runs_raw,
     "timeline_sorted": q_timeline_sorted,
     "status_runs_by_customer": q_status_runs_by_customer,
@@ -335,6 +342,9 @@ ORACLE_SQL: dict[str, str] = {
     "type_summary_left_join": _SUMMARY_SQL,
     "type_levels": _LEVELS_SQL,
     "timeline_runs": _TIMELINE_SQL,
+    # below the bucket threshold every run is a single piece
+    "timeline_run_pieces": _with(*_BASE, _TIMELINE_GOOD) + (
+        "SELECT Breakdown_Type, Count_Successive AS Count_In_Piece, Breakdowns_Level FROM timeline"),
     "timeline_runs_raw": _with(
         "ev AS (SELECT ts, event_id, event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS level "
         "FROM events)",

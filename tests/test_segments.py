@@ -183,3 +183,27 @@ def test_type_ordered_bucketed_equals_plain(spark, seed):
     df = tie_heavy(spark, seed, 3)
     cols = df.columns + ["prev_ts", "is_new_run", "run_id"]
     assert _rows(type_ordered(df, rows_per_bucket=12), cols) == _rows(type_ordered(df, bucketed=False), cols)
+
+
+@pytest.mark.parametrize("rpb", [8, 10_000])
+def test_timeline_pieces_concatenate_to_runs(spark, rpb):
+    """Pieces of a run, in order, give the run's level list and length; each piece is bounded."""
+    from streakline.operators import timeline_run_pieces
+
+    rows = [(BASE + dt.timedelta(seconds=i // 3), i, "long" if 20 <= i < 90 else f"t{i % 2}", i % 4)
+            for i in range(150)]
+    df = spark.createDataFrame(rows, "timestamp timestamp, arrival_id long, breakdown_type string, "
+                                     "breakdown_level_int int")
+    runs = timeline_runs(df, bucketed=False).collect()
+    pieces = timeline_run_pieces(df, rows_per_bucket=rpb).collect()
+    merged = []
+    for p in pieces:
+        if merged and merged[-1][0] == p["run_key"]:
+            merged[-1][2] += p["Count_In_Piece"]
+            merged[-1][3] = ",".join(x for x in (merged[-1][3], p["Breakdowns_Level"]) if x)
+        else:
+            merged.append([p["run_key"], p["Breakdown_Type"], p["Count_In_Piece"], p["Breakdowns_Level"]])
+    assert [tuple(m[1:]) for m in merged] == [tuple(r) for r in runs]
+    if rpb == 8:
+        assert max(p["Count_In_Piece"] for p in pieces) <= 8 * 2  # one cell per bucket, bounded
+        assert sum(1 for p in pieces if p["Breakdown_Type"] == "long") > 1
