@@ -45,3 +45,17 @@ def test_report_schemas(spark):
     assert _shape(bad.schema) == _shape(schemas.BAD)
     assert _shape(good.schema) == _shape(schemas.GOOD)
     assert _shape(type_ordered(good).schema) == _shape(schemas.ORDERED)
+
+
+def test_spread_keeps_the_parse_filter_after_its_shuffle(spark):
+    """A one-split input is spread over the cores; the validity filter must run after that shuffle."""
+    from streakline.sources import spread
+
+    lines = spark.createDataFrame([(f"2017-10-05 00:01:0{i % 10}@/m/slab/a/256/{i}/x", i) for i in range(50)],
+                                  "value string, arrival_id long").coalesce(1)
+    good, _ = split_valid(parse_lines(spread(lines, 4)))
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning(4)" in plan
+    # the filter sits above the observed shuffle, not inside the single pre-shuffle task
+    assert plan.index("Filter") < plan.index("CollectMetrics") < plan.index("RoundRobinPartitioning")
+    assert good.count() == 50
