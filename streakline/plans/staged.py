@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import parse_lines
+from ..functions import join_ints, parse_lines
 from ..operators import (
     GOOD_COLUMNS,
     is_valid,
@@ -29,7 +29,6 @@ from ..operators import (
     timeline_runs,
     type_levels,
     type_ordered,
-    type_spans,
     type_summary,
 )
 from ..operators.segments import DEFAULT_ROWS_PER_BUCKET
@@ -37,6 +36,7 @@ from ..sinks import write_bad_lines, write_csv, write_table
 from ..sources import read_log_lines
 
 STAGES = ("read", "sort", "compute", "save")
+SPAN_COLUMNS = ("breakdown_type", "run_id", "run_length", "run_start", "run_end", "levels_in_run_str")
 
 
 def good_rows(spark: SparkSession, stage_dir: str) -> DataFrame:
@@ -73,8 +73,15 @@ def stage_compute(spark: SparkSession, stage_dir: str, *, source: str = "sorted"
     good = spark.read.parquet(f"{stage_dir}/sorted") if source == "sorted" else good_rows(spark, stage_dir)
     write_table(type_ordered(good, rows_per_bucket=rows_per_bucket), f"{stage_dir}/ordered")
     ordered = spark.read.parquet(f"{stage_dir}/ordered")
-    write_table(type_spans(ordered), f"{stage_dir}/runs")
-    write_table(type_summary(span_table(ordered)), f"{stage_dir}/summary")
+    # spans once (with the level array the summary needs); the summary aggregates that small table
+    spans = span_table(ordered).withColumn("levels_in_run_str", join_ints(F.col("levels_in_run_int")))
+    write_table(spans, f"{stage_dir}/runs")
+    write_table(type_summary(spark.read.parquet(f"{stage_dir}/runs")), f"{stage_dir}/summary")
+
+
+def spans_report(spark: SparkSession, stage_dir: str) -> DataFrame:
+    """The span report columns of the ``runs`` stage table."""
+    return spark.read.parquet(f"{stage_dir}/runs").select(*SPAN_COLUMNS)
 
 
 def stage_save(spark: SparkSession, stage_dir: str, output_dir: str, *,
@@ -83,7 +90,7 @@ def stage_save(spark: SparkSession, stage_dir: str, output_dir: str, *,
     summary = spark.read.parquet(f"{stage_dir}/summary")
     write_csv(summary, f"{output_dir}/final.csv", single_part=True)
     write_csv(type_levels(summary), f"{output_dir}/exo_output.csv", single_part=True)
-    write_csv(spark.read.parquet(f"{stage_dir}/runs"), f"{output_dir}/runs.csv", single_part=True)
+    write_csv(spans_report(spark, stage_dir), f"{output_dir}/runs.csv", single_part=True)
     ordered = spark.read.parquet(f"{stage_dir}/ordered")
     write_csv(timeline_runs(ordered, rows_per_bucket=rows_per_bucket), f"{output_dir}/exo_runs_output.csv")
 
@@ -116,6 +123,6 @@ def run_once(spark: SparkSession, input_path: str, output_dir: str, bad_dir: str
     stage_dir = f"{output_dir}/stage"
     stage_read(spark, input_path, stage_dir, bad_dir, keep_history=False, lines=lines, order=order)
     stage_compute(spark, stage_dir, source="lines", rows_per_bucket=rows_per_bucket)
-    write_csv(spark.read.parquet(f"{stage_dir}/runs"), f"{output_dir}/runs", single_part=True)
+    write_csv(spans_report(spark, stage_dir), f"{output_dir}/runs", single_part=True)
     write_csv(spark.read.parquet(f"{stage_dir}/summary"), f"{output_dir}/summary", single_part=True)
     stage_save(spark, stage_dir, output_dir, rows_per_bucket=rows_per_bucket)

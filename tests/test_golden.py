@@ -99,6 +99,15 @@ def test_one_shot_and_staged_agree(spark, tmp_dir):
     header = open(glob.glob(f"{tmp_dir}/once/final.csv/part-*.csv")[0]).readline().strip()
     assert header == "breakdown_type,total_events,runs_count,max_run_length,avg_run_length,distinct_levels_str"
     assert len(glob.glob(f"{tmp_dir}/once/final.csv/part-*.csv")) == 1
+    # fixed values: report headers
+    headers = {
+        "runs.csv": "breakdown_type,run_id,run_length,run_start,run_end,levels_in_run_str",
+        "exo_output.csv": "breakdown_type,max_run_length,levels",
+        "exo_runs_output.csv": "Breakdown_Type,Count_Successive,Breakdowns_Level",
+    }
+    for name, header in headers.items():
+        first = sorted(glob.glob(f"{tmp_dir}/once/{name}/part-*.csv"))[0]
+        assert open(first).readline().strip() == header, name
 
 
 def test_bad_line_history(spark, tmp_dir):
