@@ -54,6 +54,8 @@ from ..session import scratch_path
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
 #: A hot cell is cut into ceil(rows / rows_per_bucket) * OVERSPLIT equi-width cells.
 OVERSPLIT = 2
+#: A hot whole-table partition gets at least this many cells per core.
+CELLS_PER_CORE = 4
 #: Refinement rounds; after the last one a still-hot cell just stays big.
 MAX_LEVELS = 4
 #: Driver-made lookup tables up to this many rows are broadcast, larger ones shuffle-joined.
@@ -207,8 +209,9 @@ def _assign(
             if not rows:
                 break
             st = {k: F.lit(rows[0][k]).cast("double") for k in rows[0].asDict() if k not in ("n", "m")}
-            # the whole table is one hot group: use every core, whatever the threshold
-            st["m"] = F.lit(float(max(rows[0]["m"], _parallelism(df)))).cast("double")
+            # the whole table is one hot group: several cells per core, whatever the
+            # threshold, so hashing cells to tasks cannot leave cores idle
+            st["m"] = F.lit(float(max(rows[0]["m"], CELLS_PER_CORE * _parallelism(df)))).cast("double")
             cur = cur.withColumn(name, _child_index(kx1, kx2, st))
             split = F.lit(True)
         else:
