@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m streakline`` / ``python -m streakline``.
+"""Command line: ``python -m streakline`` locally, ``spark-submit job.py`` on a cluster.
 
 One-shot:  --input LOGS --output DIR --bad DIR
 Staged:    --stage read --input LOGS --stage_dir DIR --bad DIR
