@@ -27,9 +27,9 @@ LEVEL_MARKER = "256"
 
 # Bytes a lenient number may be padded with: ASCII control characters,
 # space and DEL (what Spark's legacy string-to-int cast trims).
-_PAD = r"[\x00-\x20\x7f]*"
-_FRACTION_ONLY = rf"^{_PAD}[+-]?\.[0-9]*{_PAD}$"
-_INT_WITH_FRACTION = rf"^{_PAD}([+-]?[0-9]+)(\.[0-9]*)?{_PAD}$"
+PAD = r"[\x00-\x20\x7f]*"
+_FRACTION_ONLY = rf"^{PAD}[+-]?\.[0-9]*{PAD}$"
+_INT_WITH_FRACTION = rf"^{PAD}([+-]?[0-9]+)(\.[0-9]*)?{PAD}$"
 
 
 def _col(c: str | Column) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import first_segment, lenient_int, parse_lines
+from ..functions.parsing import PAD
 from ..operators import (
     ordinal,
     segment_runs,
@@ -224,7 +225,7 @@ QUERIES: dict[str, Query] = {
 
 
 # ----------------------------------------------------------------- SQL oracle
-_PAD = r"[\x00-\x20\x7f]*"
+_PAD = PAD  # same padding class as lenient_int
 
 _LINES = r"""
 lines AS (
