@@ -110,7 +110,14 @@ def _child_index(x1: Column, x2: Column | None, st: Mapping[str, Column]) -> Col
         on_k2 = F.lit(0).cast("long")
     else:
         on_k2 = F.when(st["hi2"] > st["lo2"], _cell(x2, st["lo2"], st["hi2"], st["m"])).otherwise(F.lit(0).cast("long"))
-    return F.when(st["hi1"] > st["lo1"], on_k1).otherwise(on_k2)
+    # All first keys NULL: they tie, so the tie-break key orders the group.
+    # Otherwise a NULL first key sorts before every other row: cell -1 of its own.
+    return (
+        F.when(st["lo1"].isNull(), on_k2)
+        .when(x1.isNull(), F.lit(-1).cast("long"))
+        .when(st["hi1"] > st["lo1"], on_k1)
+        .otherwise(on_k2)
+    )
 
 
 def _materialize_small(small: DataFrame, name: str) -> tuple[DataFrame, int]:

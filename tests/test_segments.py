@@ -207,3 +207,14 @@ def test_timeline_pieces_concatenate_to_runs(spark, rpb):
     if rpb == 8:
         assert max(p["Count_In_Piece"] for p in pieces) <= 8 * 2  # one cell per bucket, bounded
         assert sum(1 for p in pieces if p["Breakdown_Type"] == "long") > 1
+
+
+def test_null_first_key_next_to_single_value_cell(spark):
+    """Regression (found by hypothesis): NULL key + one other value in a hot cell; tie-break split must not mix them."""
+    df = spark.createDataFrame([(BASE, 0, "b"), (None, 1, None)], "ts timestamp, id long, c string")
+    kw = dict(change_on=("c",), lag_of={"prev_c": "c"})
+    cols = ["id", "prev_c", "is_new_run", "run_id"]
+    assert _rows(segment_runs(df, ("ts", "id"), rows_per_bucket=1, **kw), cols) == _rows(
+        segment_runs(df, ("ts", "id"), bucketed=False, **kw), cols) == [(0, None, 1, 2), (1, None, 1, 1)]
+    tk = dict(order_by=("ts", "id"), type_col="c", level_col="id")
+    assert timeline_runs(df, rows_per_bucket=1, **tk).collect() == timeline_runs(df, bucketed=False, **tk).collect()
