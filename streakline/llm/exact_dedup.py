@@ -114,12 +114,13 @@ def _chunks(chunk_bytes: int, label: str):
 def exact_groups(
     docs: DataFrame, primes: tuple[int, int, int] = PRIMES, chunk_bytes: int = CHUNK_BYTES, members_per_salt: int = MEMBERS_PER_SALT
 ) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, anything else): doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per row of ``docs`` (doc_id, text, anything else): doc_id, keep_id, group_size, kept, text_sha256, row_id.
 
     Null text counts as empty, and empty texts are equal to each other.  Of
     equal texts the row with the smallest doc_id stays (a null doc_id sorts
     last); of repeated rows with that same doc_id exactly one has ``kept``
-    true.  ``docs`` is read twice and must give the same rows in the same
+    true.  ``row_id`` is ``monotonically_increasing_id()`` over ``docs``, which
+    tells repeated rows apart.  ``docs`` is read several times and must give the same rows in the same
     partitions each time (a stored table does).
     """
     if chunk_bytes > CHUNK_BYTES:
@@ -197,6 +198,6 @@ def exact_groups(
         .join(sizes, "keep_row")
         .select(
             "doc_id", "keep_id", "group_size", (F.col("row_id") == F.col("keep_row")).alias("kept"),
-            F.lower(F.hex("digest")).alias("text_sha256"),
+            F.lower(F.hex("digest")).alias("text_sha256"), "row_id",
         )
     )

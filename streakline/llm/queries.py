@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from streakline.llm.decontaminate import build_index, contamination
 from streakline.llm.exact_dedup import exact_groups
 from streakline.llm.simhash import simhash_components
 
@@ -20,9 +21,15 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_read(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = build_index(_read(spark, sf_dir, "documents"))
+    return contamination(index, _read(spark, sf_dir, "benchmark")).drop("row")
+
+
 QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_decontaminate": op7_decontaminate,
 }
 
 ORACLE_SQL = {

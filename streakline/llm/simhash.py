@@ -35,7 +35,8 @@ def _fingerprints(shingle_words: int):
     def run(batches):
         for rows, data, offsets in blocks(batches, "text"):
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(block_fingerprints(data, offsets, shingle_words).view(np.int64))], names=["doc_id", "fp"]
+                [rows.column(0), rows.column(1), pa.array(block_fingerprints(data, offsets, shingle_words).view(np.int64))],
+                names=["row_id", "doc_id", "fp"],
             )
 
     return run
@@ -208,27 +209,33 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, members: int = MEMBERS) -> D
 def simhash_components(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, members: int = MEMBERS
 ) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, anything else): doc_id, fingerprint (16 hex digits), component_id.
+    """One row per row of ``docs`` (doc_id, text, anything else): doc_id, fingerprint (16 hex digits), component_id, kept, row_id.
 
     ``component_id`` is the smallest doc_id reachable over links of at most
     ``max_bits`` differing bits, the document itself included.  Null and empty
-    texts have fingerprint zero and link like any other; rows with a null
-    doc_id link but never name a component.
+    texts have fingerprint zero and link like any other.  A null doc_id names a
+    component only when no other is in it.  One row of each component has
+    ``kept`` true: its smallest doc_id, of repeated rows the first.  ``row_id``
+    is ``monotonically_increasing_id()`` over ``docs``, which must give the
+    same rows in the same partitions each time (a stored table does).
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("two segments find links of up to 3 bits")
     id_type = dict(docs.dtypes)["doc_id"]
     printed = stored(
-        docs.select("doc_id", F.col("text").cast("string").alias("text"))
-        .mapInArrow(_fingerprints(shingle_words), f"doc_id {id_type}, fp long"),
+        docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", F.col("text").cast("string").alias("text"))
+        .mapInArrow(_fingerprints(shingle_words), f"row_id long, doc_id {id_type}, fp long"),
         "simhash",
     )
-    distinct = stored(printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "row_id")
+    distinct = stored(printed.groupBy("fp").agg(F.min(order).alias("first")), "distinct")
     root = components(links(distinct, max_bits, members)).select(F.col("node").alias("fp"), "root")
-    rooted = distinct.join(root, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    named = stored(rooted, "rooted")
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = stored(distinct.join(root, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted")
+    least = named.groupBy("root").agg(F.min("first").alias("least"))
     return (
-        printed.join(named.join(least, "root").select("fp", "component_id"), "fp")
-        .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        printed.join(named.join(least, "root").select("fp", "least"), "fp")
+        .select(
+            "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least.doc_id").alias("component_id"),
+            (F.col("row_id") == F.col("least.row_id")).alias("kept"), "row_id",
+        )
     )

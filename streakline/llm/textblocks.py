@@ -18,7 +18,6 @@ BLOCK_BYTES = 2 << 20
 
 #: Odd base of the word and window hashes (arithmetic modulo 2**64).
 BASE = 0x9E3779B97F4A7C15
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -101,12 +100,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class SpanHash:
-    """Hashes of arbitrary spans of one byte array from prefix sums: ``sum((byte + 1) * BASE**i)`` shifted to start 0."""
+    """Hashes of arbitrary spans of one byte array from prefix sums: ``sum((byte + 1) * base**i)`` shifted to start 0."""
 
-    def __init__(self, data: np.ndarray):
-        power = powers(BASE, len(data))
+    def __init__(self, data: np.ndarray, base: int = BASE):
+        power = powers(base, len(data))
         self.prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power)))
-        self.inverse = powers(BASE_INVERSE, len(data) + 1)
+        self.inverse = powers(pow(base, -1, 1 << 64), len(data) + 1)
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
         raw = (self.prefix[ends] - self.prefix[starts]) * self.inverse[starts]
