@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from streakline.llm.decontaminate import build_index, contamination
 from streakline.llm.exact_dedup import exact_groups
+from streakline.llm.packing import pack_documents
 from streakline.llm.simhash import simhash_components
 
 
@@ -26,10 +28,15 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(index, _read(spark, sf_dir, "benchmark")).drop("row")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_decontaminate": op7_decontaminate,
+    "op9_packing": op9_packing,
 }
 
 ORACLE_SQL = {
