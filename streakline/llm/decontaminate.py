@@ -29,7 +29,7 @@ from streakline.llm.textblocks import BASE, LOWER, SpanHash, blocks, column_byte
 WINDOW_WORDS = 13
 #: A document is contaminated when at least one word in so many is inside a window.
 HIT_SHARE = 20
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 1 << 20
 #: Bytes of query texts compiled at once; more are answered in several passes over the index.
 QUERY_BYTES = 8 << 20
 
@@ -44,7 +44,8 @@ def _words(data: np.ndarray, offsets: np.ndarray):
     """Two independent hashes and the row of each word."""
     data = LOWER[data]
     starts, ends, row = word_spans(data, offsets, WORD)
-    return SpanHash(data, BASE)(starts, ends), SpanHash(data, SECOND_BASE)(starts, ends), row
+    one = SpanHash(data, BASE)(starts, ends)  # released before the second one is made
+    return one, SpanHash(data, SECOND_BASE)(starts, ends), row
 
 
 def _index(batches):
@@ -176,7 +177,8 @@ def _query_blocks(items: DataFrame, query_bytes: int) -> list[DataFrame]:
 
 def _segments(batches):
     for batch in batches:
-        for row in batch.to_pylist():
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1).to_pylist()[0]
             yield row, Segment(row)
 
 
