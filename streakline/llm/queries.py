@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from streakline.llm.decontaminate import build_index, contamination
 from streakline.llm.exact_dedup import exact_groups
 from streakline.llm.packing import pack_documents
+from streakline.llm.resampling import importance_weights, resample
 from streakline.llm.simhash import simhash_components
 
 
@@ -15,6 +16,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(importance_weights(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))).drop("row_id")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_read(spark, sf_dir, "documents"))
 
@@ -33,6 +38,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_resampling": op1_resampling,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_decontaminate": op7_decontaminate,
