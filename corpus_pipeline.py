@@ -1,33 +1,72 @@
-"""Corpus preparation pipeline over ``documents``: each stage calls one operator of ``streakline.llm``."""
+"""Corpus preparation pipeline over ``documents``: each stage calls one operator of ``streakline.llm``.
+
+Every stage reads the written result of the one before and keeps the columns of
+``documents``, whatever further columns there are; the last one returns packed
+pieces.  Stages decide on rows, not on ids: rows with a null or repeated
+doc_id are kept or dropped one by one.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streakline.llm.decontaminate import build_index, contamination
 from streakline.llm.exact_dedup import exact_groups
+from streakline.llm.packing import pack_documents
+from streakline.llm.resampling import importance_weights, resample
 from streakline.llm.simhash import simhash_components
-from streakline.llm.tables import stored
+from streakline.llm.tables import free_name, small_side, stored
+
+
+def _only(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``monotonically_increasing_id()`` is in ``dropped`` (row_id)."""
+    row = free_name(docs.columns, "row_id")
+    gone = stored(dropped.select(F.col("row_id").alias(row)), "dropped")
+    return (
+        docs.withColumn(row, F.monotonically_increasing_id())
+        .join(small_side(gone, gone.count(), 16), row, "left_anti").drop(row)
+    )
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling towards the good labelled documents keeps."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _only(docs, resample(importance_weights(docs, labels)).filter(~F.col("kept")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row with the smallest doc_id of each group of equal texts."""
-    kept = exact_groups(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """One row, that with the smallest doc_id, of each group of equal texts."""
+    return _only(docs, exact_groups(docs).filter(~F.col("kept")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each SimHash component."""
-    kept = simhash_components(docs).filter("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """One row, that with the smallest doc_id, of each SimHash component."""
+    return _only(docs, simhash_components(docs).filter(~F.col("kept")))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that benchmark passages do not contaminate."""
+    rows = docs.select(F.monotonically_increasing_id().alias("doc_id"), "text")
+    found = contamination(build_index(rows), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _only(docs, found.filter("contaminated").select(F.col("doc_id").alias("row_id")))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of the documents and their places in sequences."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
+    ("quality", quality),
     ("exact_dedup", exact_dedup),
     ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("packing", packing),
 ]
 
-#: Hashing n-grams, SimHash components and packing have no SQL form; tests hold the rows against brute force.
+#: Hashed n-gram models, SimHash components and packing have no SQL form; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
