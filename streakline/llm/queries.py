@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from streakline.llm.decontaminate import build_index, contamination
 from streakline.llm.exact_dedup import exact_groups
 from streakline.llm.packing import pack_documents
 from streakline.llm.resampling import importance_weights, resample
 from streakline.llm.simhash import simhash_components
+from streakline.llm.suffix_dedup import remove_repeats
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,6 +35,15 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(index, _read(spark, sf_dir, "benchmark")).drop("row")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(_read(spark, sf_dir, "documents"))
+    length = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, run: n + run["end"] - run["start"])
+    return kept.select(
+        "doc_id", "n_bytes", length.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -42,6 +53,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_decontaminate": op7_decontaminate,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
 }
 
