@@ -12,6 +12,7 @@ from streakline.llm.packing import pack_documents
 from streakline.llm.resampling import importance_weights, resample
 from streakline.llm.simhash import simhash_components
 from streakline.llm.suffix_dedup import remove_repeats
+from streakline.llm.warc import archive
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -48,6 +49,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive(_read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 QUERIES = {
     "op1_resampling": op1_resampling,
     "op4_simhash": op4_simhash,
@@ -55,6 +60,7 @@ QUERIES = {
     "op7_decontaminate": op7_decontaminate,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
+    "op10_warc": op10_warc,
 }
 
 ORACLE_SQL = {
