@@ -35,7 +35,7 @@ GROUPS = 40
 #: Rows of one length are ranked in parts of about so many rows.
 RANK_ROWS = 200_000
 #: Distinct words a task keeps the ids of; a full store is emptied and filled anew.
-KEPT_WORDS = 1_500_000
+KEPT_WORDS = 1_000_000
 
 
 #: Byte classes: white space, letters (and all of any multi-byte character), digits, other ASCII.
@@ -86,8 +86,8 @@ class WordIds:
 
     def _empty(self):
         self.key = np.zeros(0, np.uint64)
-        self.start = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
+        self.start = np.zeros(0, np.int32)
+        self.size = np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint32)
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
@@ -96,7 +96,7 @@ class WordIds:
         start = len(self.pool) + np.cumsum(size) - size
         self.pool = np.concatenate((self.pool, np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(size.sum()))))
         at = np.searchsorted(self.key, keys)
-        self.key, self.start, self.size = np.insert(self.key, at, keys), np.insert(self.start, at, start), np.insert(self.size, at, size)
+        self.key, self.start, self.size = np.insert(self.key, at, keys), np.insert(self.start, at, start.astype(np.int32)), np.insert(self.size, at, size.astype(np.int32))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after the other, each row closed by END_ID, and the offset of each row."""
@@ -117,7 +117,7 @@ class WordIds:
             spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
             self._learn(keys[new], [raw[a:b].decode() for a, b in spans])
             at = np.searchsorted(self.key, keys)
-        size = self.size[at][word]
+        size = self.size[at][word].astype(np.int64)
         source = np.repeat(self.start[at][word] - (np.cumsum(size) - size), size) + np.arange(size.sum())
         per_row = np.bincount(row, size, n_rows).astype(np.int64) + 1
         bounds = np.concatenate(([0], np.cumsum(per_row)))
