@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streakline.llm.chat import events_of, format_chats, read_back
 from streakline.llm.decontaminate import build_index, contamination
 from streakline.llm.exact_dedup import exact_groups
+from streakline.llm.html_text import extract
 from streakline.llm.packing import pack_documents
 from streakline.llm.resampling import importance_weights, resample
 from streakline.llm.simhash import simhash_components
@@ -23,6 +25,21 @@ def op1_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(importance_weights(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))).drop("row_id")
 
 
+#: Says what the template's control strings say.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], rows.columns)
+    rows = rows.union(more.select(*(F.col(c).cast(rows.schema[c].dataType) for c in rows.columns)))
+    return read_back(format_chats(events_of(rows)))
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_read(spark, sf_dir, "pages"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_read(spark, sf_dir, "documents"))
 
@@ -55,6 +72,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_resampling": op1_resampling,
+    "op2_chat": op2_chat,
+    "op3_html": op3_html,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_decontaminate": op7_decontaminate,
