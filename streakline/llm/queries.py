@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streakline.llm.backoff_lm import backoff_scores
 from streakline.llm.chat import events_of, format_chats, read_back
 from streakline.llm.decontaminate import build_index, contamination
 from streakline.llm.exact_dedup import exact_groups
@@ -48,6 +49,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_read(spark, sf_dir, "documents"))
 
 
+def op6_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_scores(_read(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = build_index(_read(spark, sf_dir, "documents"))
     return contamination(index, _read(spark, sf_dir, "benchmark")).drop("row")
@@ -76,6 +81,7 @@ QUERIES = {
     "op3_html": op3_html,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_backoff_lm": op6_backoff_lm,
     "op7_decontaminate": op7_decontaminate,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
