@@ -15,11 +15,12 @@ from streakline.llm.packing import pack_documents
 from streakline.llm.resampling import importance_weights, resample
 from streakline.llm.simhash import simhash_components
 from streakline.llm.suffix_dedup import remove_repeats
+from streakline.llm.tables import short_batches
 from streakline.llm.warc import archive
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return short_batches(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def op1_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

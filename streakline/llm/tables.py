@@ -13,6 +13,17 @@ from streakline.session import scratch_path
 BROADCAST_BYTES = 24 << 20
 
 
+#: Rows per Arrow batch: texts are long, and both the executor and its Python workers hold whole batches.
+BATCH_ROWS = 1000
+
+
+def short_batches(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches of at most BATCH_ROWS rows from now on."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, BATCH_ROWS + 1):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
