@@ -17,7 +17,7 @@ from streakline.llm.exact_dedup import exact_groups
 from streakline.llm.packing import pack_documents
 from streakline.llm.resampling import importance_weights, resample
 from streakline.llm.simhash import simhash_components
-from streakline.llm.tables import free_name, small_side, stored
+from streakline.llm.tables import free_name, short_batches, small_side, stored
 
 
 def _only(docs: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -32,22 +32,26 @@ def _only(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling towards the good labelled documents keeps."""
+    short_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return _only(docs, resample(importance_weights(docs, labels)).filter(~F.col("kept")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that with the smallest doc_id, of each group of equal texts."""
+    short_batches(spark)
     return _only(docs, exact_groups(docs).filter(~F.col("kept")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that with the smallest doc_id, of each SimHash component."""
+    short_batches(spark)
     return _only(docs, simhash_components(docs).filter(~F.col("kept")))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark passages do not contaminate."""
+    short_batches(spark)
     rows = docs.select(F.monotonically_increasing_id().alias("doc_id"), "text")
     found = contamination(build_index(rows), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return _only(docs, found.filter("contaminated").select(F.col("doc_id").alias("row_id")))
@@ -55,6 +59,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the documents and their places in sequences."""
+    short_batches(spark)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
