@@ -42,6 +42,8 @@ PREFIX_BYTES = (4, 5, 6, 7, 8)
 WORD_SHARE = 0.2
 #: Kinds of labelled rows; the first is the target.
 KINDS = ("good", "toxic", "poor")
+#: Weights are raised to 1 / TEMPERATURE before sampling; 1 samples by the plain ratio.
+TEMPERATURE = 0.25
 SEED = 1
 #: Keys that the search for the k-th largest may fetch at once.
 FEW_KEYS = 5_000
@@ -170,7 +172,7 @@ def _weights(buckets: int, shares: np.ndarray, ratios: list[np.ndarray]):
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column(0), rows.column(1), pa.array(log_weight),
-                    pa.array(np.minimum(1.0, shares[0] * np.exp(log_weight))), pa.array(log_weight + gumbel),
+                    pa.array(np.minimum(1.0, shares[0] * np.exp(log_weight))), pa.array(log_weight / TEMPERATURE + gumbel),
                 ],
                 names=["row_id", "doc_id", "log_weight", "p_target", "sample_key"],
             )
