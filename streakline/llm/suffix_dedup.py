@@ -382,27 +382,31 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, group_contexts: int =
     return out
 
 
-def _merged(pairs: list[dict]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for a, b in sorted((p["a"], p["b"]) for p in pairs):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+def _merged(batches):
+    """Spans of each row (row_id, starts, ends) to its maximal runs."""
+    for batch in batches:
+        runs = []
+        for starts, ends in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            a, b = np.array(starts), np.array(ends)
+            by = np.argsort(a, kind="stable")
+            a, reach = a[by], np.maximum.accumulate(b[by])
+            first = np.flatnonzero(np.concatenate(([True], a[1:] > reach[:-1])))
+            runs.append([{"start": x, "end": y} for x, y in zip(a[first].tolist(), reach[np.append(first[1:], len(a)) - 1].tolist())])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], names=["row_id", "runs"]
+        )
 
 
 def _removed(batches):
     for rows, data, offsets in blocks(batches, "text"):
         view = data.tobytes()
-        spans = rows.column(rows.schema.get_field_index("spans")).to_pylist()
         found, kept = [], []
-        for a, b, pairs in zip(offsets[:-1].tolist(), offsets[1:].tolist(), spans):
-            runs, at, parts = _merged(pairs or []), 0, []
-            for x, y in runs:
-                parts.append(view[a + at : a + x])
-                at = y
-            found.append([{"start": x, "end": y} for x, y in runs])
+        for a, b, runs in zip(offsets[:-1].tolist(), offsets[1:].tolist(), rows.column(rows.schema.get_field_index("runs")).to_pylist()):
+            at, parts = 0, []
+            for run in runs or []:
+                parts.append(view[a + at : a + run["start"]])
+                at = run["end"]
+            found.append(runs or [])
             kept.append(b"".join([*parts, view[a + at : b]]))
         yield pa.RecordBatch.from_arrays(
             [
@@ -422,12 +426,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group_contexts: int =
     the same rows in the same partitions each time (a stored table does).
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", F.col("text").cast("string").alias("text"))
-    spans = stored(repeated_spans(rows, length, group_contexts), "spans")
-    by_row = stored(spans.distinct().groupBy("row_id").agg(F.collect_list(F.struct("a", "b")).alias("spans"), F.count("*").alias("m")), "by_row")
-    n_rows, n_spans = by_row.agg(F.count("*"), F.sum("m")).first()
+    spans = repeated_spans(rows, length, group_contexts)
+    runs = stored(
+        spans.groupBy("row_id").agg(F.collect_list("a").alias("starts"), F.collect_list("b").alias("ends"))
+        .mapInArrow(_merged, "row_id long, runs array<struct<start: bigint, end: bigint>>"),
+        "runs",
+    )
+    n_rows, n_runs = runs.agg(F.count("*"), F.sum(F.size("runs"))).first()
     id_type = dict(docs.dtypes)["doc_id"]
     return (
-        rows.join(small_side(by_row.drop("m"), 1, 24 * n_rows + 16 * (n_spans or 0)), "row_id", "left")
-        .select("doc_id", "spans", "text")
+        rows.join(small_side(runs, 1, 24 * n_rows + 16 * (n_runs or 0)), "row_id", "left")
+        .select("doc_id", "runs", "text")
         .mapInArrow(_removed, f"doc_id {id_type}, n_bytes long, removed array<struct<start: bigint, end: bigint>>, kept binary")
     )
