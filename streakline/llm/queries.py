@@ -43,11 +43,11 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_components(_read(spark, sf_dir, "documents"))
+    return simhash_components(_read(spark, sf_dir, "documents")).drop("row_id")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_groups(_read(spark, sf_dir, "documents"))
+    return exact_groups(_read(spark, sf_dir, "documents")).drop("row_id")
 
 
 def op6_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ LABELLED_ROWS = 12_000
 #: Strength of the corpus in a kind's smoothed model, in documents per bucket.
 PRIOR = 0.5
 #: Standard errors by which two counts must differ to count, and by which the difference is then cut.
-SIGNIFICANT, CAUTION = 6.0, 3.0
+SIGNIFICANT, CAUTION = 5.0, 2.5
 #: Log ratios under this, after the cut, are the make-up of a kind (its languages and topics) rather than a sign of it.
 EFFECT = 0.7
 #: Bytes of the word-initial character n-grams.
