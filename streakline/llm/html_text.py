@@ -236,6 +236,8 @@ def features(nodes: list[Node]) -> None:
         kind = "t" if node.text is not None else "c"
         out = [f"{kind}:{node.tag}", f"{kind}l:{share}", f"{kind}s:{_bucket(size[k])}", kind]
         out += [f"n:{p}" for p in node.names]
+        if node.parent >= 0:
+            out.append(f"{nodes[node.parent].tag}>{node.tag}")
         if node.text is not None:
             ends = node.text[-1] in ".!?…\"”»:"
             out.append(f"e:{ends}:{min(_bucket(size[k]), 7)}")
@@ -363,6 +365,8 @@ def _made_page(rng: random.Random) -> tuple[str, list[str]]:
     content: list[str] = []
 
     def kept(tag: str, text: str, close: bool = True) -> str:
+        if rng.random() < 0.03:
+            text = f"{text} \u00a9 {words(1, 2)}" if rng.random() < 0.5 else f"{words(1, 2)} \u00a9"
         content.append(text)
         inner = f"<b>{text}<br>" if rng.random() < 0.15 else f"<em>{text}</em>" if rng.random() < 0.1 else text
         return f"<{tag}>{inner}" + (f"</{tag}>" if close and rng.random() < 0.9 else "" if tag in ("p", "li") else f"</{tag}>")
@@ -414,7 +418,7 @@ def _made_page(rng: random.Random) -> tuple[str, list[str]]:
             elif kind < 0.76:
                 out.append(kept(rng.choice(["h2", "h3"]), words(1, 8)))
             elif kind < 0.84:
-                out.append("<ul>" + "".join(kept("li", sentence(2, 14)) for _ in range(rng.randint(1, 5))) + "</ul>")
+                out.append("<ul>" + "".join(kept("li", rng.choice([sentence(2, 14), words(1, 3)])) for _ in range(rng.randint(1, 5))) + "</ul>")
             elif kind < 0.88:
                 out.append("<blockquote>" + kept("p", sentences(1, 4)) + "</blockquote>")
             elif kind < 0.91:
