@@ -7,18 +7,19 @@ from .reports import (
     timeline_runs,
     type_levels,
     type_levels_by_rows,
+    type_levels_of_spans,
     type_ordered,
     type_spans,
     type_summary,
 )
-from .segments import assign_buckets, ordinal, run_keys, segment_runs
+from .segments import cut_in_order, ordinal, run_pieces, segment_runs
 
 __all__ = [
     "GOOD_COLUMNS",
-    "assign_buckets",
+    "cut_in_order",
     "is_valid",
     "ordinal",
-    "run_keys",
+    "run_pieces",
     "segment_runs",
     "span_table",
     "split_valid",
@@ -26,6 +27,7 @@ __all__ = [
     "timeline_runs",
     "type_levels",
     "type_levels_by_rows",
+    "type_levels_of_spans",
     "type_ordered",
     "type_spans",
     "type_summary",

@@ -1,4 +1,4 @@
-"""Run reports built on ``segment_runs`` / ``run_keys``.
+"""Run reports built on ``segment_runs`` / ``run_pieces``.
 
 * ``type_ordered``  -- every good row with its previous timestamp within the type,
   run flag and run id (one span per type);
@@ -7,7 +7,7 @@
 * ``type_levels``   -- minimal summary: type, max run length, levels;
 * ``timeline_runs`` -- one row per maximal run of equal type on the whole
   timeline, with the levels of its rows in time order (duplicates kept);
-* ``timeline_run_pieces`` -- the same levels in bounded per-bucket pieces.
+* ``timeline_run_pieces`` -- the same levels in pieces of a fixed number of rows.
 
 All are aggregations Spark pre-aggregates map-side; none needs a self-join.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import in_order, join_ints, sorted_distinct
-from .segments import DEFAULT_ROWS_PER_BUCKET, run_keys, segment_runs
+from .segments import DEFAULT_ROWS_PER_BUCKET, run_pieces, segment_runs
 
 ORDER = ("timestamp", "arrival_id")
 
@@ -31,16 +31,17 @@ def type_ordered(
     order_by: Sequence[str] = ORDER,
     bucketed: bool = True,
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+    ranges: str | None = None,
 ) -> DataFrame:
     """good + ``prev_ts, is_new_run, run_id`` per type, in (timestamp, arrival) order.
 
     A run starts only on the first row of a type, so ``run_id`` is 1 throughout
-    (span semantics).  Hot types are split into buckets, so one frequent type
+    (span semantics).  Frequent types are cut into ranges of the order, so one of them
     never lands in a single task.
     """
     return segment_runs(
         good, order_by, change_on=(), partition_by=("breakdown_type",),
-        lag_of={"prev_ts": order_by[0]}, bucketed=bucketed, rows_per_bucket=rows_per_bucket,
+        lag_of={"prev_ts": order_by[0]}, bucketed=bucketed, rows_per_bucket=rows_per_bucket, ranges=ranges,
     )
 
 
@@ -78,6 +79,12 @@ def type_levels_by_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+def type_levels_of_spans(spans: DataFrame) -> DataFrame:
+    """``type_levels_by_rows`` from ``span_table`` output, so that one scan of the rows feeds both sides of the summary join."""
+    level = spans.select("breakdown_type", F.explode_outer("levels_in_run_int").alias("_level"))
+    return level.groupBy("breakdown_type").agg(join_ints(sorted_distinct(F.col("_level"))).alias("distinct_levels_str"))
+
+
 def type_summary(spans: DataFrame, levels: DataFrame | None = None) -> DataFrame:
     """Per-type summary from ``span_table`` output (an aggregate of an aggregate).
 
@@ -115,37 +122,45 @@ def timeline_runs(
     keep_order_columns: bool = False,
     bucketed: bool = True,
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+    ranges: str | None = None,
 ) -> DataFrame:
     """One row per maximal run of equal ``type_col`` along ``order_by``.
 
     Columns: Breakdown_Type, Count_Successive, Breakdowns_Level (levels of the
     run's rows in order, comma-joined, NULLs skipped), sorted by run.  With
-    ``keep_order_columns`` the partition columns, ``run_key`` (orders the runs;
-    not a dense number) and ``run_start`` are kept too.  The level list of a
-    run is one value whose size is the run's length; ``with_levels=False``
-    leaves it out for logs with enormous runs.
+    ``keep_order_columns`` the partition columns, ``run_id`` (1, 2, ..) and
+    ``run_start`` are kept too.  The level list of a run is one value whose size
+    is the run's length; ``with_levels=False`` leaves it out for logs with
+    enormous runs, ``timeline_run_pieces`` gives it in bounded parts.
 
-    Runs are labelled with ``run_keys`` (one sort + window pass even when the
-    timeline is cut into buckets), then grouped with partial aggregation.
+    Each range of the timeline gives one row per run of its own; only these rows are
+    grouped again, so a task collects the levels of a range, not of a run.
     """
-    cols = list(dict.fromkeys([*partition_by, *order_by, type_col] + ([level_col] if with_levels else [])))
-    seg = run_keys(good.select(*cols), order_by, change_on=(type_col,), partition_by=partition_by,
-                   bucketed=bucketed, rows_per_bucket=rows_per_bucket)
-    aggs = [F.count(F.lit(1)).alias("Count_Successive"), F.min(order_by[0]).alias("run_start")]
+    cols = list(dict.fromkeys([*partition_by, *order_by, type_col] + ([level_col] if with_levels else []) + ([ranges] if ranges else [])))
+    aggs = {"run_start": F.min(order_by[0])}
+    if with_levels:
+        aggs["levels"] = join_ints(in_order(F.col(level_col), *[F.col(c) for c in order_by]))
+    pieces = run_pieces(good.select(*cols), order_by, type_col, aggs, partition_by,
+                        bucketed=bucketed, rows_per_bucket=rows_per_bucket, ranges=ranges)
+    total = [F.sum("_sl_count").alias("Count_Successive"), F.min("run_start").alias("run_start")]
     if with_levels:
-        levels = in_order(F.col(level_col), *[F.col(c) for c in order_by])
-        aggs.append(join_ints(levels).alias("Breakdowns_Level"))
+        parts = F.array_sort(F.collect_list(F.struct("_sl_range", "levels")))
+        total.append(F.array_join(F.filter(parts["levels"], lambda x: x != ""), ",").alias("Breakdowns_Level"))
     runs = (
-        seg.groupBy(*partition_by, "run_key", F.col(type_col).alias("Breakdown_Type"))
-        .agg(*aggs)
-        .orderBy(*partition_by, "run_key")
+        pieces.groupBy(*partition_by, "run_id", F.col(type_col).alias("Breakdown_Type"))
+        .agg(*total)
+        .orderBy(*partition_by, "run_id")
     )
     out = ["Breakdown_Type", "Count_Successive"] + (["Breakdowns_Level"] if with_levels else [])
     if keep_order_columns:
-        out = [*partition_by, "run_key", *out, "run_start"]
+        out = [*partition_by, "run_id", *out, "run_start"]
     return runs.select(*out)
 
 
+#: Rows of a run per piece of its level list.
+DEFAULT_PIECE_ROWS = 1_000_000
+
+
 def timeline_run_pieces(
     good: DataFrame,
     *,
@@ -153,24 +168,26 @@ def timeline_run_pieces(
     type_col: str = "breakdown_type",
     level_col: str = "breakdown_level_int",
     partition_by: Sequence[str] = (),
+    piece_rows: int = DEFAULT_PIECE_ROWS,
     bucketed: bool = True,
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+    ranges: str | None = None,
 ) -> DataFrame:
-    """``timeline_runs`` with each run's level list in bounded pieces.
-
-    One row per (run, bucket piece): partition columns, ``run_key`` (orders the
-    runs), ``piece`` (orders a run's pieces), Breakdown_Type, Count_In_Piece and
-    Breakdowns_Level of the piece's rows in order.  A piece holds at most
-    ``rows_per_bucket`` rows, so no row or task has to hold a whole run; the
-    pieces of a run, concatenated in order, give its ``timeline_runs`` levels,
-    and their counts add up to ``Count_Successive``.
+    """``timeline_runs`` with each run's level list in pieces of ``piece_rows`` rows, counted from the run's start.
+
+    Partition columns, ``run_id`` (1, 2, ..), ``piece`` (0, 1, ..; all but a
+    run's last have ``piece_rows`` rows), Breakdown_Type, Count_In_Piece and
+    Breakdowns_Level of the piece's rows in order.  The pieces depend on the data
+    and ``piece_rows`` alone.  Concatenated in order they give a run's
+    ``timeline_runs`` levels, and no row or task has to hold a whole run.
     """
-    cols = list(dict.fromkeys([*partition_by, *order_by, type_col, level_col]))
-    seg = run_keys(good.select(*cols), order_by, change_on=(type_col,), partition_by=partition_by,
-                   piece_col="piece", bucketed=bucketed, rows_per_bucket=rows_per_bucket)
+    cols = list(dict.fromkeys([*partition_by, *order_by, type_col, level_col] + ([ranges] if ranges else [])))
+    seg = segment_runs(good.select(*cols), order_by, (type_col,), partition_by, position="_position",
+                       bucketed=bucketed, rows_per_bucket=rows_per_bucket, ranges=ranges)
+    piece = F.floor((F.col("_position") - 1) / piece_rows).alias("piece")
     return (
-        seg.groupBy(*partition_by, "run_key", "piece", F.col(type_col).alias("Breakdown_Type"))
+        seg.groupBy(*partition_by, "run_id", piece, F.col(type_col).alias("Breakdown_Type"))
         .agg(F.count(F.lit(1)).alias("Count_In_Piece"),
              join_ints(in_order(F.col(level_col), *[F.col(c) for c in order_by])).alias("Breakdowns_Level"))
-        .orderBy(*partition_by, "run_key", "piece")
+        .orderBy(*partition_by, "run_id", "piece")
     )

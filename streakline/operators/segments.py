@@ -7,249 +7,143 @@ row.  Added columns:
 
 * ``is_new_run`` int 0/1 -- the run-start flag;
 * ``run_id`` bigint -- running count of starts, so 1, 1, 2, 2, 2, 3 ...;
-* one ``lag`` column per entry of ``lag_of`` -- the previous row's value.
+* one ``lag`` column per entry of ``lag_of`` -- the previous row's value;
+* optionally the row's position in its run (``position``), from 1.
 
 With ``change_on=()`` there is one run per partition ("span" semantics: the
 flag is 1 only on the partition's first row).
 
 Two physical forms, same result:
 
-* **plain**: one window ``PARTITION BY partition_by ORDER BY order_by``.  With
-  no ``partition_by`` that is an ``Exchange SinglePartition``: every row goes
-  through one task.  Used when no partition is larger than
-  ``rows_per_bucket`` -- then a partition is small by definition.
-``run_keys`` is the cheaper variant for reports: it labels runs with an
-order-preserving key instead of a dense number, so its cross-bucket edge table
-is a plain aggregate and the sort + window runs once.
-
-* **bucketed**: partitions larger than ``rows_per_bucket`` ("hot") are cut into
-  contiguous ranges of the order ("buckets") and the window runs per bucket in
-  parallel; a tiny per-bucket boundary table carries the last change value,
-  last lag values and local run count across bucket edges.  Exact, because a
-  bucket id is a non-decreasing function of the order key, so buckets are
-  contiguous slices of each partition's order.
-
-Bucket ids come from equi-width cells over the first order key (timestamps as
-microseconds), refined level by level: a cell still holding more than
-``rows_per_bucket`` rows is cut again, on the first key while it spans several
-values, else on the second (tie-break) key when that is numeric.  So one hot
-partition key, one hot second or one hot cell are all split; only a single
-value of the *whole* order key can not be split, and that is one row.  Each
-level costs one aggregate over the key columns; the per-cell tables it
-collects hold only cells above the threshold, at most rows / rows_per_bucket.
+* **plain**: one window ``PARTITION BY partition_by ORDER BY order_by``, used
+  when no partition has more than ``rows_per_bucket`` rows;
+* **bucketed**: the rows are cut into contiguous ranges of
+  ``(partition_by, order_by)`` by Spark's range partitioner, whatever the keys'
+  types, and the window runs per partition and range.  Runs are then joined up
+  across the ranges by a table of one row per range of a cut partition: its
+  first and last change values and lag values, its run count and the length of
+  its last run.
+
+The range of a row is its partition number after the range exchange.  That
+number is only good within one job, so the job that assigns it writes the rows
+with their ranges (and whatever was computed per range) to the shared folder,
+and everything else reads that table.  A stored table that already carries range
+numbers along its order (``ranges``; see :func:`cut_in_order`) is used as it is.
+Any key of a *total* order can be cut, so with a unique ``order_by`` no range
+stays above ``rows_per_bucket``: should the sampled bounds leave one, the rows are
+cut again, finer.  Helper columns begin with ``_sl_``; inputs must not use that prefix.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import scratch_path
 
-#: Largest bucket (rows) one window task handles; partitions above are split.
+#: Largest range (rows) of a partition that one window task handles; partitions above are cut.
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
-#: A hot cell is cut into ceil(rows / rows_per_bucket) * OVERSPLIT equi-width cells.
-OVERSPLIT = 2
-#: A hot whole-table partition gets at least this many cells per core.
-CELLS_PER_CORE = 4
-#: Refinement rounds; after the last one a still-hot cell just stays big.
-MAX_LEVELS = 4
-#: Driver-made lookup tables up to this many rows are broadcast, larger ones shuffle-joined.
-BROADCAST_ROW_LIMIT = 1_000_000
+#: Ranges are aimed at this part of ``rows_per_bucket``, since their sampled bounds are only about even.
+AIM = 0.5
 
 _P = "_sl_"  # prefix of helper columns
+RANGE = f"{_P}range"
 
 
 def _nullsafe_differs(a: Sequence[Column], b: Sequence[Column]) -> Column:
-    if not a:
-        return F.lit(False)
-    return reduce(lambda x, y: x | y, [~x.eqNullSafe(y) for x, y in zip(a, b)])
-
-
-def _numeric_key(c: str, dtype: T.DataType) -> Column | None:
-    """A double that never decreases when ``c`` increases (None if there is none)."""
-    col = F.col(c)
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(col).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        # zone-free: wall-clock micros since the epoch (no DST jumps)
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(dtype, (T.NumericType,)):
-        return col.cast("double")
-    return None
-
-
-def _parallelism(df: DataFrame) -> int:
-    try:
-        return int(df.sparkSession.sparkContext.defaultParallelism)
-    except Exception:  # no SparkContext in this client
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def _cell(x: Column, lo: Column, hi: Column, m: Column) -> Column:
-    """Equi-width cell 0..m-1 of x in [lo, hi]; non-decreasing in x.
-
-    NULL sorts first in an ascending order, so it gets a cell of its own, -1:
-    a cell then never mixes NULL and non-NULL keys (min/max skip NULLs, so such
-    a cell could look single-valued and be cut on the tie-break key).
-    """
-    idx = F.floor((x - lo) / (hi - lo) * m)
-    return F.when(x.isNull(), F.lit(-1)).otherwise(F.least(F.greatest(idx, F.lit(0)), m - 1)).cast("long")
-
-
-def _child_index(x1: Column, x2: Column | None, st: Mapping[str, Column]) -> Column:
-    """Cell of a row inside a hot group: split on key 1 if it varies, else key 2."""
-    on_k1 = _cell(x1, st["lo1"], st["hi1"], st["m"])
-    if x2 is None:
-        on_k2 = F.lit(0).cast("long")
-    else:
-        on_k2 = F.when(st["hi2"] > st["lo2"], _cell(x2, st["lo2"], st["hi2"], st["m"])).otherwise(F.lit(0).cast("long"))
-    # All first keys NULL: they tie, so the tie-break key orders the group.
-    # Otherwise a NULL first key sorts before every other row: cell -1 of its own.
-    return (
-        F.when(st["lo1"].isNull(), on_k2)
-        .when(x1.isNull(), F.lit(-1).cast("long"))
-        .when(st["hi1"] > st["lo1"], on_k1)
-        .otherwise(on_k2)
-    )
-
+    return reduce(lambda x, y: x | y, [~x.eqNullSafe(y) for x, y in zip(a, b)], F.lit(False))
 
-def _materialize_small(small: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write a small derived table once to the shared scratch folder; return it re-read and its size.
-
-    One job computes it (``checkpoint()`` on an unpersisted plan would compute
-    it twice); the written table cuts the lineage, so a lost executor never
-    re-runs the statistics pass, and later jobs read a few KB instead.
-    """
-    spark = small.sparkSession
-    path = scratch_path(spark, name)
-    small.write.parquet(path)
-    table = spark.read.parquet(path)
-    return table, table.count()
 
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back with its schema."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def _join_small(big: DataFrame, small: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
-    """Left join a materialized small table on ``keys`` (NULL-safe for partition keys).
 
-    Broadcast only when its checked row count ``n`` is under ``BROADCAST_ROW_LIMIT``;
-    beyond that the planner's shuffle join is used.  Bucket ids are never NULL
-    and use plain equality.
-    """
-    renamed = small.select(*[F.col(k).alias(f"{_P}k_{k}") for k in keys],
-                           *[c for c in small.columns if c not in keys])
-    if n <= BROADCAST_ROW_LIMIT:
-        renamed = F.broadcast(renamed)
-    cond = [(big[k] == renamed[f"{_P}k_{k}"]) if k.startswith(f"{_P}b") else big[k].eqNullSafe(renamed[f"{_P}k_{k}"])
-            for k in keys]
-    joined = big.join(renamed, on=reduce(lambda a, b: a & b, cond), how="left")
-    return joined.drop(*[f"{_P}k_{k}" for k in keys])
+def rows_to_cut(df: DataFrame, partition_by: Sequence[str], rows_per_bucket: int) -> int | None:
+    """Rows of ``df`` when some partition has more than ``rows_per_bucket``, else None (one pre-aggregated count)."""
+    if not partition_by:
+        n = df.count()
+        return n if n > rows_per_bucket else None
+    largest, n = df.groupBy(*partition_by).agg(F.count("*").alias(f"{_P}n")).agg(F.max(f"{_P}n"), F.sum(f"{_P}n")).first()
+    return n if (largest or 0) > rows_per_bucket else None
 
 
-def assign_buckets(
+def cut_in_order(
     df: DataFrame,
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
+    *,
+    rows: int,
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-    max_levels: int = MAX_LEVELS,
-) -> tuple[DataFrame, list[str], Column] | None:
-    """Add bucket columns ``_sl_b0.._sl_bK`` (see module doc).
+    then: Callable[[DataFrame], DataFrame] = lambda cut: cut,
+    in_range: Column | None = None,
+) -> DataFrame:
+    """``then(df with its range number)``, stored; range numbers never decrease along ``(partition_by, order_by)``.
 
-    Returns ``(df, bucket_columns, split)`` where ``split`` is true on rows of a
-    partition that was cut, or None when no partition exceeds the threshold.
+    ``in_range`` counts a stored row's input rows (default one each), for a ``then`` that aggregates.
     """
-    got = _assign(df, order_by, partition_by, rows_per_bucket, max_levels)
-    return None if got is None else got[:3]
-
-
-def _assign(
-    df: DataFrame,
-    order_by: Sequence[str],
-    partition_by: Sequence[str],
-    rows_per_bucket: int,
-    max_levels: int,
-    cell_aggs: Mapping[str, Column] | None = None,
-) -> tuple[DataFrame, list[str], Column, DataFrame | None] | None:
-    """``assign_buckets`` plus, optionally, a per-bucket table of ``cell_aggs``.
-
-    With no ``partition_by`` the cells of the whole table are few (one per
-    bucket), so each refinement level aggregates *every* cell once, writes
-    that small table and reads the hot cells from it.  When no cell is hot the
-    same table, carrying ``cell_aggs``, is returned as the per-bucket table of
-    the final buckets -- the caller needs no further pass for it.
+    n = math.ceil(rows / (AIM * rows_per_bucket))
+    while True:
+        cut = df.repartitionByRange(n, *partition_by, *order_by).withColumn(RANGE, F.spark_partition_id())
+        out = stored_table(then(cut), "ranges")
+        largest = out.groupBy(RANGE).agg(F.sum(F.lit(1) if in_range is None else in_range).alias(f"{_P}n")).agg(F.max(f"{_P}n")).first()[0]
+        if (largest or 0) <= rows_per_bucket or n >= rows:
+            return out
+        n = min(rows, 2 * n)
+
+
+def _join_ranges(big: DataFrame, small: DataFrame, part: Sequence[str]) -> DataFrame:
+    """Left join a table of one row per range of a cut partition; its stored size lets the planner choose the join."""
+    keys = [*part, RANGE]
+    renamed = small.select(*[F.col(k).alias(f"{_P}k{i}") for i, k in enumerate(keys)], *[c for c in small.columns if c not in keys])
+    same = [big[k].eqNullSafe(renamed[f"{_P}k{i}"]) for i, k in enumerate(part)] + [big[RANGE] == renamed[f"{_P}k{len(part)}"]]
+    return big.join(renamed, reduce(lambda a, b: a & b, same), "left").drop(*[f"{_P}k{i}" for i in range(len(keys))])
+
+
+def _across_ranges(edges: DataFrame, part: Sequence[str], by_change: bool) -> DataFrame:
+    """Range edges (n runs, tail = rows of the last one, first and last change values) to what each range takes over.
+
+    Adds ``_sl_cont`` 0/1 (its first run goes on from the range before),
+    ``_sl_off`` (runs that ended up before its own), ``_sl_carried`` (rows of the
+    run it goes on with).  Only partitions of several ranges are kept.
     """
-    schema = {f.name: f.dataType for f in df.schema.fields}
-    x1 = _numeric_key(order_by[0], schema[order_by[0]])
-    if x1 is None:
-        return None
-    x2 = _numeric_key(order_by[1], schema[order_by[1]]) if len(order_by) > 1 else None
-    cur = df.withColumn(f"{_P}x1", x1)
-    if x2 is not None:
-        cur = cur.withColumn(f"{_P}x2", x2)
-    kx1 = F.col(f"{_P}x1")
-    kx2 = F.col(f"{_P}x2") if x2 is not None else None
-
-    def figures() -> list[Column]:
-        aggs = [F.count(F.lit(1)).alias("n"), F.min(kx1).alias("lo1"), F.max(kx1).alias("hi1")]
-        if kx2 is not None:
-            aggs += [F.min(kx2).alias("lo2"), F.max(kx2).alias("hi2")]
-        return aggs
-
-    def hot_only(stats: DataFrame) -> DataFrame:
-        return (stats.filter(F.col("n") > rows_per_bucket)
-                .withColumn("m", F.ceil(F.col("n") / rows_per_bucket) * OVERSPLIT))
-
-    groups = list(partition_by)
-    bcols: list[str] = []
-    split: Column | None = None
-    cells: DataFrame | None = None
-    for level in range(max_levels):
-        name = f"{_P}b{level}"
-        if not groups:
-            # one group (the whole table): its figures are a handful of numbers
-            rows = hot_only(cur.agg(*figures())).collect()
-            if not rows:
-                break
-            st = {k: F.lit(rows[0][k]).cast("double") for k in rows[0].asDict() if k not in ("n", "m")}
-            # the whole table is one hot group: several cells per core, whatever the
-            # threshold, so hashing cells to tasks cannot leave cores idle
-            st["m"] = F.lit(float(max(rows[0]["m"], CELLS_PER_CORE * _parallelism(df)))).cast("double")
-            cur = cur.withColumn(name, _child_index(kx1, kx2, st))
-            split = F.lit(True)
-        else:
-            if cell_aggs is not None and not partition_by:
-                every, _ = _materialize_small(
-                    cur.groupBy(*groups).agg(*figures(), *[c.alias(k) for k, c in cell_aggs.items()]),
-                    f"bucket-cells-{level}")
-                hot = hot_only(every)
-                if not hot.limit(1).collect():
-                    cells = every.select(*groups, *cell_aggs)
-                    break
-                small, n_hot = hot.drop(*cell_aggs).withColumnRenamed("n", f"{_P}n"), hot.count()
-            else:
-                # Usually nothing is hot: one bounded collect answers that without writing anything.
-                stats = hot_only(cur.groupBy(*groups).agg(*figures()))
-                if not stats.limit(1).collect():
-                    break
-                small, n_hot = _materialize_small(stats.withColumnRenamed("n", f"{_P}n"), f"bucket-stats-{level}")
-            cur = _join_small(cur, small, n_hot, groups)
-            st = {k: F.col(k).cast("double") for k in ("lo1", "hi1", "lo2", "hi2", "m") if k in cur.columns}
-            hot_row = F.col(f"{_P}n").isNotNull()
-            cur = cur.withColumn(name, F.when(hot_row, _child_index(kx1, kx2, st)).otherwise(F.lit(0).cast("long")))
-            if level == 0:
-                cur = cur.withColumn(f"{_P}split", hot_row)
-                split = F.col(f"{_P}split")
-            cur = cur.drop(f"{_P}n", "lo1", "hi1", "lo2", "hi2", "m")
-        groups.append(name)
-        bcols.append(name)
-    if not bcols:
-        return None
-    return cur.drop(f"{_P}x1", f"{_P}x2"), bcols, split, cells
+    along = Window.partitionBy(*part).orderBy(RANGE)
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    later = F.lag(F.lit(1)).over(along).isNotNull()
+    goes_on = later & F.lag(f"{_P}last").over(along).eqNullSafe(F.col(f"{_P}first_chg")) if by_change else later
+    out = edges.withColumn(f"{_P}parts", F.count("*").over(Window.partitionBy(*part))).filter(F.col(f"{_P}parts") > 1)
+    out = out.withColumn(f"{_P}cont", F.when(goes_on, 1).otherwise(0))
+    out = out.withColumn(f"{_P}off", F.coalesce(F.sum(F.col(f"{_P}n") - F.col(f"{_P}cont")).over(before), F.lit(0)))
+    # the last runs of ranges belong together while ranges are one run that goes on
+    fresh = F.when((F.col(f"{_P}n") > 1) | (F.col(f"{_P}cont") == 0), 1).otherwise(0)
+    out = out.withColumn(f"{_P}tails", F.sum(fresh).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    chain = Window.partitionBy(*part, f"{_P}tails").orderBy(RANGE).rowsBetween(Window.unboundedPreceding, 0)
+    out = out.withColumn(f"{_P}sofar", F.sum(f"{_P}tail").over(chain))
+    carried = F.when(F.col(f"{_P}cont") == 1, F.lag(f"{_P}sofar").over(along)).otherwise(0)
+    return out.withColumn(f"{_P}carried", carried).drop(f"{_P}tails", f"{_P}sofar", f"{_P}parts", f"{_P}tail", f"{_P}n")
+
+
+def _windowed(df: DataFrame, keys: Sequence[str], order_by, change_on, lag_of, every_row: bool) -> DataFrame:
+    """Flags, run numbers, positions and lags within each group of ``keys`` (one sort)."""
+    w = Window.partitionBy(*keys).orderBy(*order_by)
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    row = F.row_number().over(w)
+    changed = F.lit(True) if every_row else _nullsafe_differs([F.lag(c).over(w) for c in change_on], [F.col(c) for c in change_on])
+    out = df.withColumns({
+        **{f"{_P}lag{i}": F.lag(v).over(w) for i, v in enumerate(lag_of.values())},
+        f"{_P}row": row,
+        f"{_P}flag": F.when((row == 1) | changed, 1).otherwise(0),
+    })
+    return out.withColumns({
+        f"{_P}run": F.sum(f"{_P}flag").over(running),
+        f"{_P}pos": F.col(f"{_P}row") - F.max(F.when(F.col(f"{_P}flag") == 1, F.col(f"{_P}row"))).over(running) + 1,
+    })
 
 
 def segment_runs(
@@ -261,94 +155,61 @@ def segment_runs(
     *,
     flag_col: str = "is_new_run",
     run_col: str = "run_id",
+    position: str | None = None,
     bucketed: bool = True,
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-    max_levels: int = MAX_LEVELS,
+    ranges: str | None = None,
+    every_row: bool = False,
 ) -> DataFrame:
     """Add run flag, run id and lag columns; see the module docstring.
 
     ``order_by`` must be a total order inside a partition (end it with a unique
     key), otherwise ties make the result depend on the shuffle.
     ``lag_of`` maps output column -> source column, e.g. ``{"prev_ts": "timestamp"}``.
-    ``bucketed=False`` forces the plain window (test oracle, small inputs).
+    ``ranges`` names a column of range numbers that a stored ``df`` already has.
+    ``every_row`` starts a run on every row.  ``bucketed=False`` forces the plain window.
     """
-    lag_of = dict(lag_of or {})
-    if bucketed:
-        got = assign_buckets(df, order_by, partition_by, rows_per_bucket, max_levels)
-        if got is not None:
-            # change columns covering the whole (unique) order: every row starts a run
-            every_row_new = bool(change_on) and set(order_by) <= set(change_on)
-            return _segment_bucketed(df.columns, *got, order_by, change_on, partition_by,
-                                     lag_of, flag_col, run_col, every_row_new)
-    return _segment_plain(df, order_by, change_on, partition_by, lag_of, flag_col, run_col)
-
-
-def _segment_plain(df, order_by, change_on, partition_by, lag_of, flag_col, run_col) -> DataFrame:
-    w = Window.partitionBy(*partition_by).orderBy(*order_by)
-    first = F.row_number().over(w) == 1
-    changed = _nullsafe_differs([F.lag(c).over(w) for c in change_on], [F.col(c) for c in change_on])
-    out = df.withColumns({**{k: F.lag(v).over(w) for k, v in lag_of.items()},
-                          flag_col: F.when(first | changed, 1).otherwise(0)})
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return out.withColumn(run_col, F.sum(flag_col).over(running))
+    lag_of, part = dict(lag_of or {}), list(partition_by)
+    names = [*df.columns, *lag_of, flag_col, run_col, *([position] if position else [])]
+    window = lambda frame, keys: _windowed(frame, keys, order_by, change_on, lag_of, every_row)
 
-
-def _segment_bucketed(columns, df, bcols, split, order_by, change_on, partition_by,
-                      lag_of, flag_col, run_col, every_row_new: bool = False) -> DataFrame:
-    part = list(partition_by)
-    keys = part + bcols
-    w = Window.partitionBy(*keys).orderBy(*order_by)
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def local(frame: DataFrame) -> DataFrame:
-        first = F.row_number().over(w) == 1
-        changed = _nullsafe_differs([F.lag(c).over(w) for c in change_on], [F.col(c) for c in change_on])
-        out = frame.withColumns({
-            **{f"{_P}lag_{k}": F.lag(v).over(w) for k, v in lag_of.items()},
-            f"{_P}first": first,
-            f"{_P}lflag": F.when(first | changed, 1).otherwise(0),
-        })
-        return out.withColumn(f"{_P}l", F.sum(f"{_P}lflag").over(running))
-
-    # Boundary table: one row per bucket of a split partition; only key columns are read.
-    # Its run count n needs the local window -- except when it is known without
-    # one: no change columns (a bucket is one run) or every row a run (n = rows).
-    order_struct = F.struct(*order_by)
-    key_cols = list(dict.fromkeys(keys + list(order_by) + list(change_on) + list(lag_of.values())))
-    edge_src = df.filter(split).select(*key_cols)
-    if not change_on:
-        aggs = [F.max(F.lit(1)).cast("long").alias("n")]
-    elif every_row_new:
-        aggs = [F.count(F.lit(1)).alias("n")]
+    if ranges is not None:
+        local = window(df.withColumn(RANGE, F.col(ranges)), [*part, RANGE])
     else:
-        aggs = [F.max(f"{_P}l").alias("n")]
-        edge_src = local(edge_src)
-    if change_on:
-        aggs += [F.min_by(F.struct(*change_on), order_struct).alias("first_chg"),
-                 F.max_by(F.struct(*change_on), order_struct).alias("last_chg")]
-    if lag_of:
-        aggs += [F.max_by(F.struct(*[F.col(v).alias(k) for k, v in lag_of.items()]), order_struct).alias("last_lag")]
-    bnd = edge_src.groupBy(*keys).agg(*aggs)
-    wb = Window.partitionBy(*part).orderBy(*bcols)
-    has_prev = F.row_number().over(wb) > 1
-    cont = has_prev & F.lag("last_chg").over(wb).eqNullSafe(F.col("first_chg")) if change_on else has_prev
-    bnd = bnd.withColumn(f"{_P}m", F.when(cont, 1).otherwise(0))
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    fixed = {f"{_P}off": F.coalesce(F.sum(F.col("n") - F.col(f"{_P}m")).over(before), F.lit(0))}
-    if lag_of:
-        fixed[f"{_P}prev"] = F.lag("last_lag").over(wb)
-    bnd = bnd.withColumns(fixed).select(*keys, f"{_P}m", *fixed.keys())
-
-    bnd, n_bnd = _materialize_small(bnd, "bucket-edges")
-    out = _join_small(local(df), bnd, n_bnd, keys)
-    at_edge = F.col(f"{_P}first") & F.col(f"{_P}m").isNotNull()
-    result = out.withColumns({
-        **{k: F.when(at_edge, F.col(f"{_P}prev")[k]).otherwise(F.col(f"{_P}lag_{k}")) for k in lag_of},
-        flag_col: F.when(at_edge, 1 - F.col(f"{_P}m")).otherwise(F.col(f"{_P}lflag")),
-        run_col: (F.col(f"{_P}l") + F.coalesce(F.col(f"{_P}off"), F.lit(0))
-                  - F.coalesce(F.col(f"{_P}m"), F.lit(0))).cast("long"),
-    })
-    return result.select(*columns, *lag_of.keys(), flag_col, run_col)
+        rows = rows_to_cut(df, part, rows_per_bucket) if bucketed else None
+        if rows is None:
+            out = window(df, part).withColumns({
+                **{k: F.col(f"{_P}lag{i}") for i, k in enumerate(lag_of)},
+                flag_col: F.col(f"{_P}flag"), run_col: F.col(f"{_P}run"), **({position: F.col(f"{_P}pos")} if position else {}),
+            })
+            return out.select(*names)
+        local = cut_in_order(df, order_by, part, rows=rows, rows_per_bucket=rows_per_bucket, then=lambda cut: window(cut, [*part, RANGE]))
+
+    order = F.struct(*order_by)
+    change = F.struct(*change_on) if change_on else F.struct(F.lit(0))
+    edges = local.groupBy(*part, RANGE).agg(
+        F.max(f"{_P}run").alias(f"{_P}n"),
+        F.max_by(f"{_P}pos", f"{_P}row").alias(f"{_P}tail"),
+        F.min_by(change, order).alias(f"{_P}first_chg"),
+        F.max_by(change, order).alias(f"{_P}last"),
+        F.max_by(F.struct(*[F.col(v).alias(f"_{i}") for i, v in enumerate(lag_of.values())], F.lit(0)), order).alias(f"{_P}lags"),
+    )
+    if every_row:
+        edges = edges.withColumns({f"{_P}first_chg": F.lit(0), f"{_P}last": F.lit(1)})
+    edges = _across_ranges(edges, part, by_change=bool(change_on) or every_row)
+    edges = edges.withColumn(f"{_P}prev", F.lag(f"{_P}lags").over(Window.partitionBy(*part).orderBy(RANGE)))
+    edges = stored_table(edges.drop(f"{_P}lags", f"{_P}first_chg", f"{_P}last"), "range-edges")
+
+    out = _join_ranges(local, edges, part)
+    known = lambda c: F.coalesce(F.col(f"{_P}{c}"), F.lit(0))
+    at_edge = (F.col(f"{_P}row") == 1) & F.col(f"{_P}cont").isNotNull()
+    in_first = F.col(f"{_P}run") == 1
+    return out.withColumns({
+        **{k: F.when(at_edge, F.col(f"{_P}prev")[f"_{i}"]).otherwise(F.col(f"{_P}lag{i}")) for i, k in enumerate(lag_of)},
+        flag_col: F.when(at_edge, 1 - F.col(f"{_P}cont")).otherwise(F.col(f"{_P}flag")),
+        run_col: (F.col(f"{_P}run") + known("off") - known("cont")).cast("long"),
+        **({position: (F.col(f"{_P}pos") + F.when(in_first, known("carried")).otherwise(0)).cast("long")} if position else {}),
+    }).select(*names)
 
 
 def ordinal(
@@ -360,90 +221,52 @@ def ordinal(
     bucketed: bool = True,
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """1-based position of each row in ``order_by`` order (``order_by`` must be unique).
+    """1-based position of each row in ``order_by`` order, 1..N also where the order has ties.
 
-    A segmentation where every row starts a run, so ``run_id`` is the row
-    number -- computed bucket by bucket, never in one task for a large input.
+    A segmentation where every row starts a run, computed range by range for a large input.
     """
     flag = f"{_P}pos_flag"
-    return segment_runs(df, order_by, change_on=order_by, partition_by=partition_by, flag_col=flag,
-                        run_col=col, bucketed=bucketed, rows_per_bucket=rows_per_bucket).drop(flag)
+    return segment_runs(df, order_by, partition_by=partition_by, flag_col=flag, run_col=col, every_row=True,
+                        bucketed=bucketed, rows_per_bucket=rows_per_bucket).drop(flag)
 
 
-def run_keys(
+def run_pieces(
     df: DataFrame,
     order_by: Sequence[str],
-    change_on: Sequence[str],
+    change_on: str,
+    aggs: Mapping[str, Column],
     partition_by: Sequence[str] = (),
     *,
-    key_col: str = "run_key",
-    piece_col: str | None = None,
     bucketed: bool = True,
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-    max_levels: int = MAX_LEVELS,
+    ranges: str | None = None,
 ) -> DataFrame:
-    """Label each row's run with ``key_col``: a struct that is equal within a run
-    and increases from run to run (inside a partition) -- not a dense number.
-    With ``piece_col`` the row's own bucket is added too (a struct; constant
-    when nothing was cut): a run's rows in one bucket form one piece, at most
-    ``rows_per_bucket`` rows, and pieces sort in run order.
-
-    Enough for reports that group and order runs, and cheaper than dense ids
-    at scale: the cross-bucket edge table is a plain aggregate (first, last,
-    min and max change value per bucket; no sort), so the sort + window runs
-    once.  A bucket's runs are keyed ``(bucket, local run number)``; its last
-    run gets ``(bucket, +inf)``; a first run that continues the previous
-    bucket's last run takes the key of the bucket where that run began.
+    """One row per run and range: partition columns, ``_sl_range``, ``run_id``, ``change_on``, ``_sl_count`` and ``aggs`` of its rows.
+
+    The aggregation sits right above the window and groups by the window's own
+    keys, so the rows are not shuffled again.
     """
-    order_struct = F.struct(*order_by)
-    chg = F.struct(*change_on)
-    edge_aggs = {"first_chg": F.min_by(chg, order_struct), "last_chg": F.max_by(chg, order_struct),
-                 "lo_chg": F.min(chg), "hi_chg": F.max(chg)}
-    got = _assign(df, order_by, partition_by, rows_per_bucket, max_levels, edge_aggs) if bucketed else None
-    if got is None:
-        seg = _segment_plain(df, order_by, change_on, partition_by, {}, f"{_P}flag", f"{_P}run")
-        seg = seg.withColumn(key_col, F.struct(F.col(f"{_P}run").alias("idx")))
-        if piece_col:
-            seg = seg.withColumn(piece_col, F.struct(F.lit(0).cast("long").alias("b")))
-        return seg.drop(f"{_P}flag", f"{_P}run")
-    bdf, bcols, split, edges = got
     part = list(partition_by)
-    keys = part + bcols
-
-    # edge table: one row per bucket of a split partition, from an aggregate only
-    # (already computed by the last bucket-statistics pass when the table is one partition)
-    if edges is None:
-        edges = bdf.filter(split).groupBy(*keys).agg(*[c.alias(k) for k, c in edge_aggs.items()])
-    wb = Window.partitionBy(*part).orderBy(*bcols)
-    cont = (F.row_number().over(wb) > 1) & F.lag("last_chg").over(wb).eqNullSafe(F.col("first_chg"))
-    single = F.col("lo_chg").eqNullSafe(F.col("hi_chg"))
-    bucket_key = F.struct(*[F.col(b).alias(b) for b in bcols])
-    edges = edges.withColumns({f"{_P}cont": cont, f"{_P}single": single})
-    anchor = F.when(~(F.col(f"{_P}single") & F.col(f"{_P}cont")), bucket_key)
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    edges = edges.withColumn(f"{_P}origin", F.last(anchor, ignorenulls=True).over(before))
-    edges, n_edges = _materialize_small(edges.select(*keys, f"{_P}cont", f"{_P}origin"), "run-key-edges")
 
-    w = Window.partitionBy(*keys).orderBy(*order_by)
-    first = F.row_number().over(w) == 1
-    changed = _nullsafe_differs([F.lag(c).over(w) for c in change_on], [F.col(c) for c in change_on])
-    local = bdf.withColumn(f"{_P}lflag", F.when(first | changed, 1).otherwise(0))
-    local = local.withColumn(f"{_P}l", F.sum(f"{_P}lflag").over(w.rowsBetween(Window.unboundedPreceding,
-                                                                              Window.currentRow)))
-    local = local.withColumn(f"{_P}n", F.max(f"{_P}l").over(w.rowsBetween(Window.unboundedPreceding,
-                                                                           Window.unboundedFollowing)))
-    out = _join_small(local, edges, n_edges, keys)
-    last_idx = F.lit(2**63 - 1)
-    origin = F.col(f"{_P}origin")
-    key = (
-        F.when((F.col(f"{_P}l") == 1) & F.coalesce(F.col(f"{_P}cont"), F.lit(False)),
-               F.struct(*[origin[b].alias(b) for b in bcols], last_idx.alias("idx")))
-        .when(F.col(f"{_P}cont").isNotNull() & (F.col(f"{_P}l") == F.col(f"{_P}n")),
-              F.struct(*[F.col(b).alias(b) for b in bcols], last_idx.alias("idx")))
-        .otherwise(F.struct(*[F.col(b).alias(b) for b in bcols], F.col(f"{_P}l").alias("idx")))
+    def local(cut: DataFrame) -> DataFrame:
+        seg = _windowed(cut, [*part, RANGE], order_by, (change_on,), {}, False)
+        return seg.groupBy(*part, RANGE, F.col(f"{_P}run").alias(f"{_P}run"), change_on).agg(
+            F.count("*").alias(f"{_P}count"), *[c.alias(k) for k, c in aggs.items()]
+        )
+
+    if ranges is not None:
+        pieces = stored_table(local(df.withColumn(RANGE, F.col(ranges))), "pieces")
+    else:
+        rows = rows_to_cut(df, part, rows_per_bucket) if bucketed else None
+        if rows is None:
+            return local(df.withColumn(RANGE, F.lit(0))).withColumnRenamed(f"{_P}run", "run_id")
+        pieces = cut_in_order(df, order_by, part, rows=rows, rows_per_bucket=rows_per_bucket, then=local, in_range=F.col(f"{_P}count"))
+    value = F.struct(change_on)
+    edges = pieces.groupBy(*part, RANGE).agg(
+        F.max(f"{_P}run").alias(f"{_P}n"), F.max_by(f"{_P}count", f"{_P}run").alias(f"{_P}tail"),
+        F.min_by(value, f"{_P}run").alias(f"{_P}first_chg"), F.max_by(value, f"{_P}run").alias(f"{_P}last"),
     )
-    out = out.withColumn(key_col, key)
-    if piece_col:
-        return out.withColumn(piece_col, F.struct(*[F.col(b).alias(b) for b in bcols])).select(
-            *df.columns, key_col, piece_col)
-    return out.select(*df.columns, key_col)
+    edges = stored_table(_across_ranges(edges, part, by_change=True).drop(f"{_P}first_chg", f"{_P}last"), "range-edges")
+    out = _join_ranges(pieces, edges, part)
+    run = F.col(f"{_P}run") + F.coalesce(F.col(f"{_P}off"), F.lit(0)) - F.coalesce(F.col(f"{_P}cont"), F.lit(0))
+    return out.withColumn("run_id", run.cast("long")).select(*part, RANGE, "run_id", change_on, f"{_P}count", *aggs)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from streakline.operators import assign_buckets, ordinal, segment_runs, timeline_runs, type_ordered
+from streakline.operators import cut_in_order, ordinal, segment_runs, timeline_run_pieces, timeline_runs, type_ordered
+from streakline.operators.segments import RANGE
 
 BASE = dt.datetime(2024, 1, 1)
 
@@ -85,33 +88,84 @@ def test_timeline_bucketed_plan_has_no_single_partition_exchange(spark):
     assert sorted(plain.collect()) == sorted(bucketed.collect())
 
 
+def sizes(df, order, rows_per_bucket, part=()):
+    cut = cut_in_order(df, order, part, rows=df.count(), rows_per_bucket=rows_per_bucket)
+    return [r["count"] for r in cut.groupBy(*part, RANGE).count().collect()]
+
+
+def same_runs(df, order, rows_per_bucket, change_on=("t",), part=()):
+    kw = dict(change_on=change_on, partition_by=part, lag_of={"before": order[0]}, position="pos")
+    cols = [order[-1], "before", "is_new_run", "run_id", "pos"]
+    key = lambda rows: sorted(rows, key=repr)
+    fast = key(tuple(r[c] for c in cols) for r in segment_runs(df, order, rows_per_bucket=rows_per_bucket, **kw).collect())
+    assert repr(fast) == repr(key(tuple(r[c] for c in cols) for r in segment_runs(df, order, bucketed=False, **kw).collect()))
+
+
 def test_hot_second_is_split_on_tie_break_key(spark):
-    """All rows in one timestamp: buckets must come from the numeric tie-break key."""
+    """All rows in one timestamp: the tie-break key cuts them."""
     rows = [(BASE, i, f"t{(i // 3) % 2}") for i in range(200)]
     df = spark.createDataFrame(rows, "ts timestamp, id long, t string")
-    got = assign_buckets(df, ("ts", "id"), rows_per_bucket=20)
-    assert got is not None
-    bucketed, bcols, _ = got
-    sizes = [r["n"] for r in bucketed.groupBy(*bcols).count().withColumnRenamed("count", "n").collect()]
-    assert max(sizes) <= 20 and len(sizes) >= 10
-    plain = segment_runs(df, ("ts", "id"), change_on=("t",), bucketed=False)
-    fast = segment_runs(df, ("ts", "id"), change_on=("t",), rows_per_bucket=20)
-    cols = ["id", "is_new_run", "run_id"]
-    assert _rows(fast, cols) == _rows(plain, cols)
+    assert max(sizes(df, ("ts", "id"), 20)) <= 20
+    same_runs(df, ("ts", "id"), 20)
 
 
 def test_hot_key_is_split(spark):
-    """One partition key with most rows is cut into several buckets; others stay whole."""
+    """A partition key with most rows is cut into several ranges."""
     rows = [(BASE + dt.timedelta(seconds=i), i, "hot" if i % 10 else f"c{i}", i % 3) for i in range(500)]
     df = spark.createDataFrame(rows, "ts timestamp, id long, k string, s int")
-    bucketed, bcols, split = assign_buckets(df, ("ts", "id"), ("k",), rows_per_bucket=50)
-    per = bucketed.groupBy("k", *bcols).count().collect()
-    assert max(r["count"] for r in per) <= 50
-    assert len([r for r in per if r["k"] == "hot"]) >= 9
-    plain = segment_runs(df, ("ts", "id"), change_on=("s",), partition_by=("k",), bucketed=False)
-    fast = segment_runs(df, ("ts", "id"), change_on=("s",), partition_by=("k",), rows_per_bucket=50)
-    cols = ["id", "is_new_run", "run_id"]
-    assert _rows(fast, cols) == _rows(plain, cols)
+    assert max(sizes(df, ("ts", "id"), 50, ("k",))) <= 50
+    same_runs(df, ("ts", "id"), 50, ("s",), ("k",))
+
+
+@pytest.mark.parametrize("kind", ["nanos", "decimal", "nan", "string", "geometric", "struct"])
+def test_any_key_type_is_cut_exactly(spark, kind):
+    rnd = random.Random(3)
+    n = 300
+    keys = {
+        # distinct keys that a double can not tell apart
+        "nanos": ("long", [1_700_000_000_000_000_000 + i // 2 for i in range(n)]),
+        "decimal": ("decimal(30,4)", [Decimal(10) ** 22 + Decimal(i // 2) / 10000 for i in range(n)]),
+        "nan": ("double", [[float("nan"), float("inf"), float("-inf"), None, float(i)][i % 5] for i in range(n)]),
+        "string": ("string", [f"k{rnd.randrange(40)}" for _ in range(n)]),
+        "geometric": ("double", [1.1**i for i in range(n)]),
+        "struct": ("struct<file:string,row:long>", [(f"f{i % 2}", i) for i in range(n)]),
+    }
+    dtype, values = keys[kind]
+    rows = [(v, i, f"t{rnd.randrange(2)}") for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, f"k {dtype}, id long, t string")
+    assert max(sizes(df, ("k", "id"), 20)) <= 20
+    same_runs(df, ("k", "id"), 20)
+
+
+@pytest.mark.parametrize("name", ["m", "n", "lo1", "hi2", "first_chg", "cont", "off", "prev", "count", "row"])
+def test_column_names_do_not_clash(spark, name):
+    df = spark.createDataFrame([(i, f"t{i // 7 % 2}", i) for i in range(60)], f"id long, t string, {name} int")
+    assert name in segment_runs(df, ("id",), ("t",), rows_per_bucket=9).columns
+    same_runs(df.withColumn("k", F.col("id") % 2), ("id",), 9, ("t",), ("k",))
+
+
+def test_run_over_many_ranges(spark):
+    """One run holds most rows: counts, positions and levels join up across all its ranges."""
+    rows = [(BASE + dt.timedelta(seconds=i), i, "long" if 10 <= i < 390 else f"t{i % 2}", i % 5) for i in range(400)]
+    df = spark.createDataFrame(rows, "timestamp timestamp, arrival_id long, breakdown_type string, breakdown_level_int int")
+    same_runs(df, ("timestamp", "arrival_id"), 15, ("breakdown_type",))
+    assert timeline_runs(df, rows_per_bucket=15).collect() == timeline_runs(df, bucketed=False).collect()
+
+
+def test_ranges_of_a_stored_table_are_reused(spark):
+    df = tie_heavy(spark, 5, 3)
+    order = ("timestamp", "arrival_id")
+    cut = cut_in_order(df, order, rows=df.count(), rows_per_bucket=40).withColumnRenamed(RANGE, "time_range")
+    assert cut.select("time_range").distinct().count() > 5
+    assert timeline_runs(cut, ranges="time_range").collect() == timeline_runs(df, bucketed=False).collect()
+    cols = [*df.columns, "prev_ts", "is_new_run", "run_id"]
+    assert _rows(type_ordered(cut, ranges="time_range"), cols) == _rows(type_ordered(df, bucketed=False), cols)
+
+
+def test_ordinal_numbers_ties_alike(spark):
+    df = spark.createDataFrame([(i // 4, i) for i in range(200)], "k long, id long")
+    for rows_per_bucket in (16, 10_000):
+        assert sorted(r["position"] for r in ordinal(df, ("k",), rows_per_bucket=rows_per_bucket).collect()) == list(range(1, 201))
 
 
 def test_ordinal_is_row_number(spark):
@@ -134,8 +188,9 @@ def test_timeline_run_keys_bucketed_equals_plain(spark, seed):
         timeline_runs(df, bucketed=False, **kw).collect())
 
 
-def test_hot_second_in_text_log_is_split_with_scan_order(spark, tmp_dir):
-    """Every line in one second: with the numeric scan-order arrival the second is still cut."""
+@pytest.mark.parametrize("order", ["files", "scan"])
+def test_hot_second_in_text_log_is_split(spark, tmp_dir, order):
+    """Every line in one second: either arrival order cuts it."""
     import os
 
     from streakline.functions import parse_lines
@@ -144,14 +199,11 @@ def test_hot_second_in_text_log_is_split_with_scan_order(spark, tmp_dir):
 
     log = os.path.join(tmp_dir, "hot.log")
     with open(log, "w") as f:
-        for i in range(300):
+        for i in range(3000):
             f.write(f"2017-10-05 00:01:09@/m/slab/t{(i // 7) % 3}/256/{i % 5}/x\n")
-    good, _ = split_valid(parse_lines(read_log_lines(spark, log, order="scan")))
-    got = assign_buckets(good, ("timestamp", "arrival_id"), rows_per_bucket=40)
-    assert got is not None
-    bucketed, bcols, _ = got
-    assert max(r["count"] for r in bucketed.groupBy(*bcols).count().collect()) <= 40
-    assert timeline_runs(good, rows_per_bucket=40).collect() == timeline_runs(good, bucketed=False).collect()
+    good, _ = split_valid(parse_lines(read_log_lines(spark, log, order=order)))
+    assert max(sizes(good, ("timestamp", "arrival_id"), 100)) <= 100
+    assert timeline_runs(good, rows_per_bucket=100).collect() == timeline_runs(good, bucketed=False).collect()
 
 
 def test_null_order_keys_sort_first_in_both_forms(spark):
@@ -185,28 +237,21 @@ def test_type_ordered_bucketed_equals_plain(spark, seed):
     assert _rows(type_ordered(df, rows_per_bucket=12), cols) == _rows(type_ordered(df, bucketed=False), cols)
 
 
-@pytest.mark.parametrize("rpb", [8, 10_000])
-def test_timeline_pieces_concatenate_to_runs(spark, rpb):
-    """Pieces of a run, in order, give the run's level list and length; each piece is bounded."""
-    from streakline.operators import timeline_run_pieces
-
+@pytest.mark.parametrize("rows_per_bucket", [8, 33, 10_000])
+def test_timeline_pieces_depend_on_the_data_alone(spark, rows_per_bucket):
     rows = [(BASE + dt.timedelta(seconds=i // 3), i, "long" if 20 <= i < 90 else f"t{i % 2}", i % 4)
             for i in range(150)]
     df = spark.createDataFrame(rows, "timestamp timestamp, arrival_id long, breakdown_type string, "
                                      "breakdown_level_int int")
-    runs = timeline_runs(df, bucketed=False).collect()
-    pieces = timeline_run_pieces(df, rows_per_bucket=rpb).collect()
-    merged = []
-    for p in pieces:
-        if merged and merged[-1][0] == p["run_key"]:
-            merged[-1][2] += p["Count_In_Piece"]
-            merged[-1][3] = ",".join(x for x in (merged[-1][3], p["Breakdowns_Level"]) if x)
-        else:
-            merged.append([p["run_key"], p["Breakdown_Type"], p["Count_In_Piece"], p["Breakdowns_Level"]])
-    assert [tuple(m[1:]) for m in merged] == [tuple(r) for r in runs]
-    if rpb == 8:
-        assert max(p["Count_In_Piece"] for p in pieces) <= 8 * 2  # one cell per bucket, bounded
-        assert sum(1 for p in pieces if p["Breakdown_Type"] == "long") > 1
+    runs = [[]]
+    for _, i, t, level in rows:
+        if runs[-1] and runs[-1][-1][0] != t:
+            runs.append([])
+        runs[-1].append((t, level))
+    want = [(k, p // 16, run[0][0], len(run[p : p + 16]), ",".join(str(x) for _, x in run[p : p + 16]))
+            for k, run in enumerate(runs, 1) for p in range(0, len(run), 16)]
+    got = timeline_run_pieces(df, piece_rows=16, rows_per_bucket=rows_per_bucket).collect()
+    assert [tuple(r) for r in got] == want
 
 
 def test_null_first_key_next_to_single_value_cell(spark):

@@ -19,7 +19,7 @@ row = st.tuples(
 )
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=12, deadline=None)
 @given(st.lists(row, min_size=1, max_size=120), st.integers(1, 30))
 def test_random_shapes(spark, rows, rows_per_bucket):
     data = [(None if s is None else BASE + dt.timedelta(seconds=s), i, c, k, lv)
