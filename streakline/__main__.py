@@ -13,7 +13,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from .plans import STAGES, run_once, run_stage
+from .plans import STAGES, TIMELINE_FORMS, run_once, run_stage
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -26,6 +26,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--stage_dir", help="shared folder for stage tables")
     parser.add_argument("--order", choices=("files", "scan"), default="files",
                         help="tie order of equal timestamps: file name then line (default), or scan order")
+    parser.add_argument("--final_csv", help="path of the final report (default: OUTPUT/final.csv)")
+    parser.add_argument("--timeline", choices=TIMELINE_FORMS, default="levels",
+                        help="timeline report: runs with their levels (default), run lengths alone, or levels in bounded pieces")
     args = parser.parse_args(argv)
     needs = {None: ("input", "output", "bad"), "read": ("input", "stage_dir", "bad"),
              "sort": ("stage_dir",), "compute": ("stage_dir",), "save": ("stage_dir", "output")}[args.stage]
@@ -35,10 +38,11 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("streakline").getOrCreate()
     try:
         if args.stage is None:
-            run_once(spark, args.input, args.output, args.bad, order=args.order)
+            run_once(spark, args.input, args.output, args.bad, order=args.order, final_csv=args.final_csv,
+                     timeline=args.timeline)
         else:
             run_stage(spark, args.stage, input_path=args.input, stage_dir=args.stage_dir, bad_dir=args.bad,
-                      output_dir=args.output, order=args.order)
+                      output_dir=args.output, order=args.order, final_csv=args.final_csv, timeline=args.timeline)
     finally:
         spark.stop()
 

@@ -83,15 +83,16 @@ def cut_in_order(
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     then: Callable[[DataFrame], DataFrame] = lambda cut: cut,
     in_range: Column | None = None,
+    store: Callable[[DataFrame], DataFrame] = lambda out: stored_table(out, "ranges"),
 ) -> DataFrame:
-    """``then(df with its range number)``, stored; range numbers never decrease along ``(partition_by, order_by)``.
+    """``then(df with its range number)``, stored by ``store`` (again, should the ranges be too large); range numbers never decrease along ``(partition_by, order_by)``.
 
     ``in_range`` counts a stored row's input rows (default one each), for a ``then`` that aggregates.
     """
     n = math.ceil(rows / (AIM * rows_per_bucket))
     while True:
         cut = df.repartitionByRange(n, *partition_by, *order_by).withColumn(RANGE, F.spark_partition_id())
-        out = stored_table(then(cut), "ranges")
+        out = store(then(cut))
         largest = out.groupBy(RANGE).agg(F.sum(F.lit(1) if in_range is None else in_range).alias(f"{_P}n")).agg(F.max(f"{_P}n")).first()[0]
         if (largest or 0) <= rows_per_bucket or n >= rows:
             return out

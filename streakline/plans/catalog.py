@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import first_segment, lenient_int, parse_lines
-from ..functions.parsing import PAD
 from ..operators import (
     ordinal,
     segment_runs,
@@ -27,7 +26,7 @@ from ..operators import (
     timeline_run_pieces,
     timeline_runs,
     type_levels,
-    type_levels_by_rows,
+    type_levels_of_spans,
     type_ordered,
     type_spans,
     type_summary,
@@ -95,28 +94,58 @@ def q_type_summary(spark, sf_dir):
 
 
 def q_type_summary_left_join(spark, sf_dir):
-    good = _good(spark, sf_dir)
-    return type_summary(span_table(good), levels=type_levels_by_rows(good))
+    spans = span_table(_good(spark, sf_dir))
+    return type_summary(spans, levels=type_levels_of_spans(spans))
 
 
 def q_type_levels(spark, sf_dir):
     return type_levels(type_summary(span_table(_good(spark, sf_dir))))
 
 
+#: Rows per range of the queries that cut the test tables, and of a customer's orders.
+SMALL_RANGE, TINY_RANGE = 2000, 8
+#: Rows per piece of the pieces query.
+PIECE_ROWS = 3
+
+
+def q_type_ordered_bucketed(spark, sf_dir):
+    return _ntz(type_ordered(_good(spark, sf_dir), rows_per_bucket=SMALL_RANGE))
+
+
 def q_timeline_runs(spark, sf_dir):
     return timeline_runs(_good(spark, sf_dir))
 
 
+def q_timeline_runs_bucketed(spark, sf_dir):
+    return timeline_runs(_good(spark, sf_dir), rows_per_bucket=SMALL_RANGE)
+
+
+def q_timeline_runs_positioned(spark, sf_dir):
+    """The report's order as a column: the number of each run."""
+    runs = timeline_runs(_good(spark, sf_dir), rows_per_bucket=SMALL_RANGE, keep_order_columns=True)
+    return _ntz(runs.withColumnRenamed("run_id", "position"))
+
+
 def q_timeline_run_pieces(spark, sf_dir):
-    """Bounded-piece form of the timeline report (keys dropped: they are opaque structs)."""
-    return timeline_run_pieces(_good(spark, sf_dir)).select("Breakdown_Type", "Count_In_Piece", "Breakdowns_Level")
+    """Levels of the runs in pieces of PIECE_ROWS rows, from a timeline that is cut, too."""
+    return timeline_run_pieces(_good(spark, sf_dir), piece_rows=PIECE_ROWS, rows_per_bucket=SMALL_RANGE)
+
+
+def _raw_events(spark, sf_dir):
+    return _table(spark, sf_dir, "events").select(
+        "ts", "event_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("level"))
+
+
+_RAW = {"order_by": ("ts", "event_id"), "type_col": "event_type", "level_col": "level"}
 
 
 def q_timeline_runs_raw(spark, sf_dir):
     """Timeline runs straight on ``events`` (microsecond times, event_id tie-break)."""
-    ev = _table(spark, sf_dir, "events").select(
-        "ts", "event_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("level"))
-    return timeline_runs(ev, order_by=("ts", "event_id"), type_col="event_type", level_col="level")
+    return timeline_runs(_raw_events(spark, sf_dir), **_RAW)
+
+
+def q_timeline_runs_raw_bucketed(spark, sf_dir):
+    return timeline_runs(_raw_events(spark, sf_dir), rows_per_bucket=SMALL_RANGE, **_RAW)
 
 
 def q_timeline_sorted(spark, sf_dir):
@@ -124,10 +153,14 @@ def q_timeline_sorted(spark, sf_dir):
     return _ntz(ordinal(_good(spark, sf_dir), ("timestamp", "arrival_id")))
 
 
-def q_status_runs_by_customer(spark, sf_dir):
+def q_timeline_sorted_bucketed(spark, sf_dir):
+    return _ntz(ordinal(_good(spark, sf_dir), ("timestamp", "arrival_id"), rows_per_bucket=SMALL_RANGE))
+
+
+def _status_runs(spark, sf_dir, **kw):
     orders = _table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus")
     seg = segment_runs(orders, ("o_orderdate", "o_orderkey"), change_on=("o_orderstatus",),
-                       partition_by=("o_custkey",))
+                       partition_by=("o_custkey",), **kw)
     return seg.groupBy("o_custkey", "run_id", "o_orderstatus").agg(
         F.count(F.lit(1)).alias("run_length"),
         F.min("o_orderdate").alias("run_start"),
@@ -135,6 +168,14 @@ def q_status_runs_by_customer(spark, sf_dir):
     )
 
 
+def q_status_runs_by_customer(spark, sf_dir):
+    return _status_runs(spark, sf_dir)
+
+
+def q_status_runs_bucketed(spark, sf_dir):
+    return _status_runs(spark, sf_dir, rows_per_bucket=TINY_RANGE)
+
+
 # fixed values: language path markers of the test pages, in priority order
 PAGE_LANGUAGES = ("en", "fr", "de", "es")
 
@@ -194,10 +235,26 @@ def q_staged_timeline(spark, sf_dir):
     return read_csv_report(spark, f"{out}/exo_runs_output.csv", schemas.TIMELINE)
 
 
-def q_oneshot_levels(spark, sf_dir):
+def _oneshot(spark, sf_dir, **kw) -> str:
     out = scratch_path(spark, "oneshot")
-    run_once(spark, _text_log(spark, sf_dir), out, scratch_path(spark, "bad"))
-    return read_csv_report(spark, f"{out}/exo_output.csv", schemas.LEVELS)
+    run_once(spark, _text_log(spark, sf_dir), out, scratch_path(spark, "bad"), **kw)
+    return out
+
+
+def q_oneshot_levels(spark, sf_dir):
+    return read_csv_report(spark, f"{_oneshot(spark, sf_dir)}/exo_output.csv", schemas.LEVELS)
+
+
+def q_oneshot_runs(spark, sf_dir):
+    """The span and summary folders of the one-shot job, of a log that is cut into ranges on the way."""
+    out = _oneshot(spark, sf_dir, rows_per_bucket=SMALL_RANGE)
+    spans = read_csv_report(spark, f"{out}/runs", schemas.SPANS)
+    return _ntz(spans.join(read_csv_report(spark, f"{out}/summary", schemas.SUMMARY), "breakdown_type"))
+
+
+def q_oneshot_timeline(spark, sf_dir):
+    out = _oneshot(spark, sf_dir, rows_per_bucket=SMALL_RANGE)
+    return read_csv_report(spark, f"{out}/exo_runs_output.csv", schemas.TIMELINE)
 
 
 QUERIES: dict[str, Query] = {
@@ -221,16 +278,30 @@ QUERIES: dict[str, Query] = {
     "staged_summary": q_staged_summary,
     "staged_timeline": q_staged_timeline,
     "oneshot_levels": q_oneshot_levels,
+    "oneshot_runs": q_oneshot_runs,
+    "oneshot_timeline": q_oneshot_timeline,
+    "type_ordered_bucketed": q_type_ordered_bucketed,
+    "timeline_runs_bucketed": q_timeline_runs_bucketed,
+    "timeline_runs_positioned": q_timeline_runs_positioned,
+    "timeline_runs_raw_bucketed": q_timeline_runs_raw_bucketed,
+    "timeline_sorted_bucketed": q_timeline_sorted_bucketed,
+    "status_runs_bucketed": q_status_runs_bucketed,
 }
 
 
 # ----------------------------------------------------------------- SQL oracle
-_PAD = PAD  # same padding class as lenient_int
+# padding of a lenient number: control characters, space and DEL
+_PAD = "[\\x00-\\x1F \\x7F]*"
 
 _LINES = r"""
 lines AS (
   SELECT event_id AS arrival_id,
     CASE
+      WHEN event_id % 73 = 0 THEN CASE (event_id // 73) % 8
+        WHEN 0 THEN '' WHEN 1 THEN chr(9) WHEN 2 THEN t || '@/map/1.0/slab//256/3/x'
+        WHEN 3 THEN t || '@/map/1.0/multi-descr/second/256/4/slab/first/x' WHEN 4 THEN t || '@/map/1.0/slab/a/256//x'
+        WHEN 5 THEN t || chr(9) || '@/map/1.0/slab/tab/256/6/x' WHEN 6 THEN t || '@/map/1.0/slab/one/slab/two/256/5/256/6/'
+        ELSE t || '@' END
       WHEN event_id % 97 = 0 THEN m || ' ' || event_type
       WHEN event_id % 89 = 0 THEN t || '@' || p || k
       WHEN event_id % 83 = 0 THEN strftime(ts, '%Y/%m/%d %H:%M:%S') || '@' || p || k || '/' || CAST(event_id AS VARCHAR)
@@ -243,7 +314,9 @@ lines AS (
       SELECT event_id, ts, event_type,
         strftime(ts, '%Y-%m-%d %H:%M:%S') AS t,
         CASE WHEN event_id % 4 = 0 THEN 'multi-descr' ELSE 'slab' END AS m,
-        json_extract_string(props, '$.k') AS k,
+        CASE WHEN event_id % 71 <> 0 THEN json_extract_string(props, '$.k') ELSE CASE (event_id // 71) % 8
+          WHEN 0 THEN '5.7' WHEN 1 THEN '+5' WHEN 2 THEN '-3' WHEN 3 THEN '99999999999'
+          WHEN 4 THEN '.5' WHEN 5 THEN ' 5 ' WHEN 6 THEN '5.' ELSE chr(9) || '7' END END AS k,
         CASE WHEN event_id % 5 = 0 THEN '@v2' ELSE '' END AS s
       FROM events))
 )"""
@@ -261,7 +334,9 @@ lvl AS (
 ),
 parsed AS (
   SELECT ts_str, url, value, arrival_id,
-    try_strptime(ts_str, '%Y-%m-%d %H:%M:%S') AS "timestamp",
+    -- strptime skips white space that the format does not have
+    CASE WHEN regexp_matches(ts_str, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}$')
+         THEN try_strptime(ts_str, '%Y-%m-%d %H:%M:%S') END AS "timestamp",
     coalesce(nullif(regexp_extract(url, '/slab/([^/]+)/', 1), ''),
              nullif(regexp_extract(url, '/multi-descr/([^/]+)/', 1), '')) AS breakdown_type,
     breakdown_level,
@@ -333,27 +408,13 @@ _BAD_SQL = _with(*_BASE) + "SELECT value FROM lines EXCEPT SELECT value FROM goo
 _LEVELS_SQL = (_with(*_BASE, _ORDERED, _SPANS, _SUMMARY)
                + "SELECT breakdown_type, max_run_length, distinct_levels_str AS levels FROM summary")
 
-ORACLE_SQL: dict[str, str] = {
-    "parse_fields": _with(*_BASE) + "SELECT * FROM parsed",
-    "good_lines": _GOOD_SQL,
-    "bad_lines": _BAD_SQL,
-    "type_ordered": _with(*_BASE, _ORDERED) + "SELECT * FROM ordered",
-    "type_spans": _with(*_BASE, _ORDERED, _SPANS) + "SELECT * FROM spans",
-    "type_summary": _SUMMARY_SQL,
-    "type_summary_left_join": _SUMMARY_SQL,
-    "type_levels": _LEVELS_SQL,
-    "timeline_runs": _TIMELINE_SQL,
-    # below the bucket threshold every run is a single piece
-    "timeline_run_pieces": _with(*_BASE, _TIMELINE_GOOD) + (
-        "SELECT Breakdown_Type, Count_Successive AS Count_In_Piece, Breakdowns_Level FROM timeline"),
-    "timeline_runs_raw": _with(
+_RAW_SQL = _with(
         "ev AS (SELECT ts, event_id, event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS level "
         "FROM events)",
         _timeline_sql("ev", "ts", "event_id", "event_type", "level"),
-    ) + "SELECT * FROM timeline",
-    "timeline_sorted": _with(*_BASE) + (
-        'SELECT *, row_number() OVER (ORDER BY "timestamp", arrival_id) AS position FROM good'),
-    "status_runs_by_customer": """
+    ) + "SELECT * FROM timeline"
+_SORTED_SQL = _with(*_BASE) + 'SELECT *, row_number() OVER (ORDER BY "timestamp", arrival_id) AS position FROM good'
+_STATUS_SQL = """
 WITH s1 AS (
   SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus,
     CASE WHEN row_number() OVER w = 1 OR lag(o_orderstatus) OVER w IS DISTINCT FROM o_orderstatus
@@ -367,7 +428,35 @@ s2 AS (
 )
 SELECT o_custkey, CAST(run_id AS BIGINT) AS run_id, o_orderstatus, count(*) AS run_length,
        min(o_orderdate) AS run_start, max(o_orderdate) AS run_end
-FROM s2 GROUP BY o_custkey, run_id, o_orderstatus""",
+FROM s2 GROUP BY o_custkey, run_id, o_orderstatus"""
+
+ORACLE_SQL: dict[str, str] = {
+    "parse_fields": _with(*_BASE) + "SELECT * FROM parsed",
+    "good_lines": _GOOD_SQL,
+    "bad_lines": _BAD_SQL,
+    "type_ordered": _with(*_BASE, _ORDERED) + "SELECT * FROM ordered",
+    "type_spans": _with(*_BASE, _ORDERED, _SPANS) + "SELECT * FROM spans",
+    "type_summary": _SUMMARY_SQL,
+    "type_summary_left_join": _SUMMARY_SQL,
+    "type_levels": _LEVELS_SQL,
+    "timeline_runs": _TIMELINE_SQL,
+    "timeline_runs_bucketed": _TIMELINE_SQL,
+    "timeline_runs_positioned": _with(*_BASE, _TIMELINE_GOOD) + (
+        'SELECT row_number() OVER (ORDER BY rid) AS position, breakdown_type AS Breakdown_Type, count(*) AS Count_Successive, '
+        "coalesce(string_agg(CAST(breakdown_level_int AS VARCHAR), ',' ORDER BY \"timestamp\", arrival_id), '') AS Breakdowns_Level, "
+        'min("timestamp") AS run_start FROM t3 GROUP BY rid, breakdown_type'),
+    "timeline_run_pieces": _with(*_BASE, _TIMELINE_GOOD) + (
+        'SELECT CAST(rid AS BIGINT) AS run_id, CAST(p // 3 AS BIGINT) AS piece, breakdown_type AS Breakdown_Type, count(*) AS Count_In_Piece, '
+        "coalesce(string_agg(CAST(breakdown_level_int AS VARCHAR), ',' ORDER BY \"timestamp\", arrival_id), '') AS Breakdowns_Level "
+        'FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY "timestamp", arrival_id) - 1 AS p FROM t3) '
+        'GROUP BY rid, p // 3, breakdown_type'),
+    "timeline_runs_raw": _RAW_SQL,
+    "timeline_runs_raw_bucketed": _RAW_SQL,
+    "timeline_sorted": _SORTED_SQL,
+    "timeline_sorted_bucketed": _SORTED_SQL,
+    "type_ordered_bucketed": _with(*_BASE, _ORDERED) + "SELECT * FROM ordered",
+    "status_runs_by_customer": _STATUS_SQL,
+    "status_runs_bucketed": _STATUS_SQL,
     "page_url_segments": rf"""
 SELECT page_id,
   regexp_extract(url, '^[a-z]+://([^/]+)/', 1) AS host,
@@ -385,4 +474,6 @@ FROM (SELECT *, regexp_extract(url, '^[a-z]+://[^/]+/[^/]+/([^/?#]+)', 1) AS seg
     "staged_summary": _SUMMARY_SQL,
     "staged_timeline": _TIMELINE_SQL,
     "oneshot_levels": _LEVELS_SQL,
+    "oneshot_runs": _with(*_BASE, _ORDERED, _SPANS, _SUMMARY) + "SELECT * FROM spans JOIN summary USING (breakdown_type)",
+    "oneshot_timeline": _TIMELINE_SQL,
 }

@@ -7,7 +7,7 @@ simply re-run):
 stage      reads                        writes
 =========  ===========================  ============================================
 read       text logs                    ``lines/quality=good|bad`` Parquet; bad-line texts
-sort       ``lines/quality=good``       ``sorted`` (globally range-sorted by time, arrival)
+sort       ``lines/quality=good``       ``sorted`` (range-sorted by time, arrival; range numbers)
 compute    ``sorted`` (or good lines)   ``ordered``, ``runs``, ``summary`` Parquet
 save       ``summary, runs, ordered``   final / exo_output / runs / exo_runs_output CSV
 =========  ===========================  ============================================
@@ -18,33 +18,53 @@ job, partitioned by a ``quality`` column; later reads prune to one partition.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import join_ints, parse_lines
 from ..operators import (
     GOOD_COLUMNS,
+    cut_in_order,
     is_valid,
     span_table,
+    timeline_run_pieces,
     timeline_runs,
     type_levels,
     type_ordered,
     type_summary,
 )
-from ..operators.segments import DEFAULT_ROWS_PER_BUCKET
+from ..operators.segments import DEFAULT_ROWS_PER_BUCKET, RANGE
+from ..schemas import GOOD
 from ..sinks import write_bad_lines, write_csv, write_table
 from ..sources import read_log_lines
 
+# fixed values: stage names and report columns
 STAGES = ("read", "sort", "compute", "save")
 SPAN_COLUMNS = ("breakdown_type", "run_id", "run_length", "run_start", "run_end", "levels_in_run_str")
 
 
+#: Column of the ``sorted`` table: number of the row's time range, for the operators' ``ranges``.
+TIME_RANGE = "time_range"
+
+
+def _lines(spark: SparkSession, stage_dir: str) -> DataFrame:
+    """The parsed lines; a log without lines leaves no part file to take the schema from."""
+    try:
+        return spark.read.parquet(f"{stage_dir}/lines")
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.createDataFrame([], T.StructType([*GOOD.fields, T.StructField("quality", T.StringType())]))
+
+
 def good_rows(spark: SparkSession, stage_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{stage_dir}/lines").filter(F.col("quality") == "good").drop("quality")
+    return _lines(spark, stage_dir).filter(F.col("quality") == "good").drop("quality")
 
 
 def bad_rows(spark: SparkSession, stage_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{stage_dir}/lines").filter(F.col("quality") == "bad").select("value").distinct()
+    return _lines(spark, stage_dir).filter(F.col("quality") == "bad").select("value").distinct()
 
 
 def stage_read(spark: SparkSession, input_path: str, stage_dir: str, bad_dir: str, *,
@@ -59,20 +79,38 @@ def stage_read(spark: SparkSession, input_path: str, stage_dir: str, bad_dir: st
     return write_bad_lines(bad_rows(spark, stage_dir), bad_dir, keep_history=keep_history)
 
 
-def stage_sort(spark: SparkSession, stage_dir: str) -> None:
+def stage_sort(spark: SparkSession, stage_dir: str, *, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> None:
     """Global sort by (timestamp, arrival): a range-partitioned, parallel sort.
 
-    Clusters the files by time (tight min/max statistics per file); the
-    compute stage does not rely on file order -- it orders inside its windows.
+    Rows keep the number of their range (``time_range``), so that later stages
+    cut nothing again; one range holds at most ``rows_per_bucket`` rows.
     """
-    write_table(good_rows(spark, stage_dir).orderBy("timestamp", "arrival_id"), f"{stage_dir}/sorted")
+    path, order = f"{stage_dir}/sorted", ("timestamp", "arrival_id")
+    good = good_rows(spark, stage_dir)
+
+    def store(cut: DataFrame) -> DataFrame:
+        write_table(cut.withColumnRenamed(RANGE, TIME_RANGE).sortWithinPartitions(*order), path)
+        return spark.read.parquet(path).withColumnRenamed(TIME_RANGE, RANGE)
 
+    rows = good.count()
+    if rows > rows_per_bucket:
+        cut_in_order(good, order, rows=rows, rows_per_bucket=rows_per_bucket, store=store)
+    else:
+        write_table(good.orderBy(*order).withColumn(TIME_RANGE, F.lit(0)), path)
 
-def stage_compute(spark: SparkSession, stage_dir: str, *, source: str = "sorted",
+
+def _ranges(df: DataFrame, rows_per_bucket: int) -> str | None:
+    """The range column of a stored table that is too large for plain windows (the count reads only file footers)."""
+    return TIME_RANGE if TIME_RANGE in df.columns and df.count() > rows_per_bucket else None
+
+
+def stage_compute(spark: SparkSession, stage_dir: str, *, source: str = "sorted", ordered_path: str | None = None,
                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> None:
+    """``ordered`` (at ``ordered_path`` if given), ``runs`` and ``summary`` tables from the sorted (or the good) rows."""
     good = spark.read.parquet(f"{stage_dir}/sorted") if source == "sorted" else good_rows(spark, stage_dir)
-    write_table(type_ordered(good, rows_per_bucket=rows_per_bucket), f"{stage_dir}/ordered")
-    ordered = spark.read.parquet(f"{stage_dir}/ordered")
+    path = ordered_path or f"{stage_dir}/ordered"
+    write_table(type_ordered(good, rows_per_bucket=rows_per_bucket, ranges=_ranges(good, rows_per_bucket)), path)
+    ordered = spark.read.parquet(path)
     # spans once (with the level array the summary needs); the summary aggregates that small table
     spans = span_table(ordered).withColumn("levels_in_run_str", join_ints(F.col("levels_in_run_int")))
     write_table(spans, f"{stage_dir}/runs")
@@ -84,19 +122,29 @@ def spans_report(spark: SparkSession, stage_dir: str) -> DataFrame:
     return spark.read.parquet(f"{stage_dir}/runs").select(*SPAN_COLUMNS)
 
 
-def stage_save(spark: SparkSession, stage_dir: str, output_dir: str, *,
+#: Forms of the timeline report: runs with their levels, runs alone, or levels in pieces of bounded length.
+TIMELINE_FORMS = ("levels", "lengths", "pieces")
+
+
+def stage_save(spark: SparkSession, stage_dir: str, output_dir: str, *, final_csv: str | None = None,
+               timeline: str = "levels", ordered_path: str | None = None,
                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> None:
-    """The four CSV reports (folders with headered part files)."""
+    """The four CSV reports (folders with headered part files); ``final_csv`` is the final report's own path."""
+    if timeline not in TIMELINE_FORMS:
+        raise ValueError(f"timeline must be one of {TIMELINE_FORMS}")
     summary = spark.read.parquet(f"{stage_dir}/summary")
-    write_csv(summary, f"{output_dir}/final.csv", single_part=True)
+    write_csv(summary, final_csv or f"{output_dir}/final.csv", single_part=True)
     write_csv(type_levels(summary), f"{output_dir}/exo_output.csv", single_part=True)
     write_csv(spans_report(spark, stage_dir), f"{output_dir}/runs.csv", single_part=True)
-    ordered = spark.read.parquet(f"{stage_dir}/ordered")
-    write_csv(timeline_runs(ordered, rows_per_bucket=rows_per_bucket), f"{output_dir}/exo_runs_output.csv")
+    ordered = spark.read.parquet(ordered_path or f"{stage_dir}/ordered")
+    kw = {"rows_per_bucket": rows_per_bucket, "ranges": _ranges(ordered, rows_per_bucket)}
+    report = timeline_run_pieces(ordered, **kw) if timeline == "pieces" else timeline_runs(ordered, with_levels=timeline == "levels", **kw)
+    write_csv(report, f"{output_dir}/exo_runs_output.csv")
 
 
 def run_stage(spark: SparkSession, name: str, *, input_path: str | None = None, stage_dir: str,
-              bad_dir: str | None = None, output_dir: str | None = None, order: str = "files") -> None:
+              bad_dir: str | None = None, output_dir: str | None = None, order: str = "files",
+              final_csv: str | None = None, timeline: str = "levels") -> None:
     """Dispatch one named stage (``read``, ``sort``, ``compute`` or ``save``)."""
     if name == "read":
         stage_read(spark, input_path, stage_dir, bad_dir, order=order)
@@ -105,24 +153,28 @@ def run_stage(spark: SparkSession, name: str, *, input_path: str | None = None,
     elif name == "compute":
         stage_compute(spark, stage_dir)
     elif name == "save":
-        stage_save(spark, stage_dir, output_dir)
+        stage_save(spark, stage_dir, output_dir, final_csv=final_csv, timeline=timeline)
     else:
         raise ValueError(f"unknown stage {name!r}; expected one of {STAGES}")
 
 
 def run_once(spark: SparkSession, input_path: str, output_dir: str, bad_dir: str, *,
-             lines: DataFrame | None = None, order: str = "files",
-             rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> None:
+             lines: DataFrame | None = None, order: str = "files", final_csv: str | None = None,
+             timeline: str = "levels", rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> None:
     """One-shot job: all outputs from one parse of the input.
 
-    Writes ``output_dir/stage/*`` Parquet (``stage/ordered`` is the per-row
-    table), CSV folders ``runs`` and ``summary``, the four reports, and
-    replaces earlier bad-line runs.  The sort stage is skipped: nothing in
-    this mode reads its file order.
+    Writes the per-row table ``output_dir/parsed`` and ``output_dir/stage/*``
+    (Parquet), CSV folders ``runs`` and ``summary``, the four reports, and
+    replaces earlier bad-line runs.  The sort stage only runs for logs of more
+    than ``rows_per_bucket`` good lines, whose ranges both later stages use.
     """
-    stage_dir = f"{output_dir}/stage"
+    stage_dir, parsed = f"{output_dir}/stage", f"{output_dir}/parsed"
     stage_read(spark, input_path, stage_dir, bad_dir, keep_history=False, lines=lines, order=order)
-    stage_compute(spark, stage_dir, source="lines", rows_per_bucket=rows_per_bucket)
+    large = good_rows(spark, stage_dir).count() > rows_per_bucket
+    if large:
+        stage_sort(spark, stage_dir, rows_per_bucket=rows_per_bucket)
+    stage_compute(spark, stage_dir, source="sorted" if large else "lines", ordered_path=parsed, rows_per_bucket=rows_per_bucket)
     write_csv(spans_report(spark, stage_dir), f"{output_dir}/runs", single_part=True)
     write_csv(spark.read.parquet(f"{stage_dir}/summary"), f"{output_dir}/summary", single_part=True)
-    stage_save(spark, stage_dir, output_dir, rows_per_bucket=rows_per_bucket)
+    stage_save(spark, stage_dir, output_dir, final_csv=final_csv, timeline=timeline, ordered_path=parsed,
+               rows_per_bucket=rows_per_bucket)

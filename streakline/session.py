@@ -8,6 +8,7 @@ on a cluster.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,7 +30,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif re.fullmatch(r"local(\[.*\])?", sc.master):  # one machine; local-cluster has executors of its own
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="streakline-ckpt-"))
     else:
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
@@ -40,3 +41,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder path under the shared checkpoint directory."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/streakline/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything that operators and queries wrote to the shared scratch folder.
+
+    Results read their tables lazily, so call it when no result is in use any more.
+    """
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/streakline")
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)

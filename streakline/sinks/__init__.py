@@ -7,6 +7,7 @@ system the cluster uses; nothing is moved or deleted with local file calls.
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,16 +28,16 @@ def write_csv(df: DataFrame, path: str, *, single_part: bool = False) -> None:
 def read_csv_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a report written by ``write_csv`` back with its declared schema.
 
-    Reports hold no NULLs (level lists are ``''`` when empty), so the reader's
-    NULL marker is set to ``\\N``, a text that never occurs: an empty field,
-    quoted or not, then reads as ``''`` instead of NULL.
+    Reports hold no NULLs (level lists are ``''`` when empty), so an empty field,
+    quoted or not, must read as ``''``.  The reader's NULL marker is therefore a
+    text made up for this read, which no report can hold.
     """
-    return spark.read.schema(schema).option("header", True).option("nullValue", "\\N").csv(path)
+    return spark.read.schema(schema).option("header", True).option("nullValue", f"null-{uuid.uuid4().hex}").csv(path)
 
 
 def write_table(df: DataFrame, path: str, *, partition_by: tuple[str, ...] = ()) -> None:
-    """Parquet stage table, replaced on each run."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    """Parquet stage table, replaced as a whole on each run, whatever the session's partition overwrite mode."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
 def write_bad_lines(bad: DataFrame, bad_dir: str, *, keep_history: bool, run_stamp: int | None = None) -> str:
@@ -50,6 +51,7 @@ def write_bad_lines(bad: DataFrame, bad_dir: str, *, keep_history: bool, run_sta
     (
         bad.select("value", F.lit(stamp).alias("run"))
         .write.mode("append" if keep_history else "overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy("run")
         .text(bad_dir)
     )

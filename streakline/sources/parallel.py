@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +25,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the input as it is
+        have = df.rdd.getNumPartitions()  # only the number is asked for; no data passes through it
+    except (PySparkAttributeError, PySparkNotImplementedError):  # Spark Connect has neither: leave the input as it is
         return df
     if have >= want:
         return df

@@ -23,9 +23,23 @@ BAD_TIMESTAMP_EVERY = 83     # date written with slashes
 TEXT_LEVEL_EVERY = 79        # level 'hi': still a good line, no numeric level
 MULTI_DESCR_EVERY = 4        # type under /multi-descr/ instead of /slab/
 SECOND_SEPARATOR_EVERY = 5   # '@v2' appended: a later '@' stays inside the url
+# level texts, one after the other, of events divisible by 71: fraction, signs, overflow, padding
+LEVEL_FORMS_EVERY = 71
+LEVEL_FORMS = ("5.7", "+5", "-3", "99999999999", ".5", " 5 ", "5.", "\t7")
+# whole lines, one after the other, of events divisible by 73: blank, tab, empty type, both markers, no level, marker twice
+LINE_FORMS_EVERY = 73
+LINE_FORMS = (
+    "", "\t", "{t}@/map/1.0/slab//256/3/x", "{t}@/map/1.0/multi-descr/second/256/4/slab/first/x", "{t}@/map/1.0/slab/a/256//x",
+    "{t}\t@/map/1.0/slab/tab/256/6/x", "{t}@/map/1.0/slab/one/slab/two/256/5/256/6/", "{t}@",
+)
 # --- end of fixed rules ---
 
 
+def _nth(forms: tuple[str, ...], every: int) -> Column:
+    """The forms in turn, by the quotient of the event id."""
+    return F.element_at(F.array(*map(F.lit, forms)), (F.floor(F.col("event_id") / every) % len(forms) + 1).cast("int"))
+
+
 def _every(n: int) -> Column:
     return F.col("event_id") % n == 0
 
@@ -39,12 +53,13 @@ def lines_from_events(events: DataFrame, *, min_partitions: int | None = None) -
     events = spread(events.select("event_id", "ts", "event_type", "props"), min_partitions)
     ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     marker = F.when(_every(MULTI_DESCR_EVERY), F.lit("multi-descr")).otherwise(F.lit("slab"))
-    level = F.get_json_object("props", "$.k")
+    level = F.when(_every(LEVEL_FORMS_EVERY), _nth(LEVEL_FORMS, LEVEL_FORMS_EVERY)).otherwise(F.get_json_object("props", "$.k"))
     eid = F.col("event_id").cast("string")
     path = F.concat(F.lit(URL_PREFIX), marker, F.lit("/"), F.col("event_type"), F.lit("/256/"))
     suffix = F.when(_every(SECOND_SEPARATOR_EVERY), F.lit("@v2")).otherwise(F.lit(""))
     value = (
-        F.when(_every(NO_SEPARATOR_EVERY), F.concat(marker, F.lit(" "), F.col("event_type")))
+        F.when(_every(LINE_FORMS_EVERY), F.replace(_nth(LINE_FORMS, LINE_FORMS_EVERY), F.lit("{t}"), ts))
+        .when(_every(NO_SEPARATOR_EVERY), F.concat(marker, F.lit(" "), F.col("event_type")))
         .when(_every(NO_TRAILING_SLASH_EVERY), F.concat(ts, F.lit("@"), path, level))
         .when(
             _every(BAD_TIMESTAMP_EVERY),
