@@ -252,7 +252,12 @@ def proximity_matches(index: DataFrame, items: DataFrame, slop: int, query_bytes
     return _matches(index, items, None, query_bytes, lambda queries: _near_rows(queries, slop))
 
 
-def _spans(queries: Queries):
+def _judged(queries: Queries, hit_share: int):
+    """Verdicts in one pass, so that a task needs one Python worker."""
+    return lambda batches: _verdicts(hit_share)(_hits(queries)(batches))
+
+
+def _hits(queries: Queries):
     """Per document: its words, the word spans hit (flat starts and ends) and the items that hit it."""
 
     def run(batches):
@@ -266,16 +271,13 @@ def _spans(queries: Queries):
                     at = s - int(segment.first_slot[d])
                     spans[d] += (at, at + len(lists))
                     names[d].update(queries.items[k])
+            place = pa.StructArray.from_arrays([pa.array([row["segment"]] * n, pa.int64()), pa.array(range(n), pa.int32())], ["segment", "ordinal"])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([row["segment"]] * n, pa.int64()),
-                    pa.array(range(n), pa.int32()),
-                    pa.array(row["doc_ids"]),
-                    pa.array(segment.n_words),
-                    pa.array(spans, pa.list_(pa.int64())),
-                    pa.array([sorted(x) for x in names], pa.list_(pa.string())),
+                    pa.array(row["doc_ids"]), pa.array(segment.n_words), pa.array(spans, pa.list_(pa.int64())),
+                    pa.array([sorted(x) for x in names], pa.list_(pa.string())), place,
                 ],
-                names=["segment", "ordinal", "doc_id", "n_words", "spans", "items"],
+                names=["doc_id", "n_words", "spans", "items", "row"],
             )
 
     return run
@@ -319,19 +321,15 @@ def contamination(
     A null item_id is named by the empty string; without items nothing is hit.
     """
     id_type = dict(index.dtypes)["doc_ids"][len("array<") : -1]
-    schema = f"segment long, ordinal int, doc_id {id_type}, n_words long, spans array<long>, items array<string>"
-    parts = []
-    for block in _query_blocks(items, query_bytes):
-        queries = Queries([(r["name"], r["text"]) for r in block.collect()], window)
-        parts.append(index.mapInArrow(_spans(queries), schema))
-    found = _union(parts)
-    if len(parts) > 1:
-        found = found.groupBy("segment", "ordinal").agg(
-            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-            F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"),
-        )
-    return found.select("doc_id", "n_words", "spans", "items", F.struct("segment", "ordinal").alias("row")).mapInArrow(
-        _verdicts(hit_share),
-        f"doc_id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
-        "row struct<segment: bigint, ordinal: int>",
+    place = "row struct<segment: bigint, ordinal: int>"
+    hits = f"doc_id {id_type}, n_words long, spans array<long>, items array<string>, {place}"
+    verdicts = f"doc_id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, {place}"
+    query_blocks = _query_blocks(items, query_bytes)
+    compiled = (Queries([(r["name"], r["text"]) for r in block.collect()], window) for block in query_blocks)
+    if len(query_blocks) == 1:
+        return index.mapInArrow(_judged(next(compiled), hit_share), verdicts)
+    found = _union([index.mapInArrow(_hits(queries), hits) for queries in compiled]).groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"),
     )
+    return found.select("doc_id", "n_words", "spans", "items", "row").mapInArrow(_verdicts(hit_share), verdicts)
