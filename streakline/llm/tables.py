@@ -13,14 +13,14 @@ from streakline.session import scratch_path
 BROADCAST_BYTES = 24 << 20
 
 
-#: Rows per Arrow batch: texts are long, and both the executor and its Python workers hold whole batches.
-BATCH_ROWS = 1000
+#: Rows and bytes per Arrow batch: texts are long, and both the executor and its Python workers hold whole batches.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def short_batches(spark: SparkSession) -> SparkSession:
-    """The session, with Arrow batches of at most BATCH_ROWS rows from now on."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, BATCH_ROWS + 1):
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """The session, with Arrow batches of the sizes in BATCH from now on."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
     return spark
 
 
