@@ -1,4 +1,4 @@
-"""The 20-line sample log: reports must equal the known outputs for it."""
+"""A small sample log: its reports must equal those worked out by hand."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import glob
 import gzip
 import os
 
+import pytest
 from conftest import SAMPLE
 
 from streakline import schemas
@@ -22,34 +23,29 @@ from streakline.plans import run_once, stage_compute, stage_read, stage_save, st
 from streakline.sinks import read_csv_report
 from streakline.sources import read_log_lines
 
-# fixed values: expected reports for the sample log
+# worked out from the rules: the last line is out of order in time, 'hi' is no number
 SUMMARY = [
-    ("public_transport_hd", 1, 1, 1, 1.0, "15"),
-    ("standard", 11, 1, 11, 11.0, "12,14,17,18,19"),
-    ("standard_hd", 3, 1, 3, 3.0, "13,14,18"),
-    ("traffic", 3, 1, 3, 3.0, "14,17"),
-    ("traffic_hd", 2, 1, 2, 2.0, "12"),
+    ("base", 5, 1, 5, 5.0, "7,8,9,12"),
+    ("base_hd", 2, 1, 2, 2.0, "9,13"),
+    ("roads", 6, 1, 6, 6.0, "9,10,11,12,14"),
+    ("transit", 3, 1, 3, 3.0, "10"),
 ]
 TIMELINE = [
-    ("standard", 4, "19,12,14,19"),
-    ("traffic", 1, "14"),
-    ("traffic_hd", 1, "12"),
-    ("standard_hd", 1, "13"),
-    ("traffic_hd", 1, "12"),
-    ("standard", 1, "14"),
-    ("standard_hd", 1, "14"),
-    ("traffic", 2, "14,17"),
-    ("standard", 2, "19,17"),
-    ("public_transport_hd", 1, "15"),
-    ("standard", 4, "18,18,19,14"),
-    ("standard_hd", 1, "18"),
+    ("base", 2, "7,9"),
+    ("roads", 3, "11,11,12"),
+    ("base_hd", 1, "9"),
+    ("base", 1, "7"),
+    ("transit", 3, "10,10"),
+    ("roads", 1, "10"),
+    ("base", 2, "8,12"),
+    ("base_hd", 1, "13"),
+    ("roads", 2, "9,14"),
 ]
 SPAN_TIMES = {
-    "public_transport_hd": ("00:01:10", "00:01:10"),
-    "standard": ("00:01:09", "00:01:10"),
-    "standard_hd": ("00:01:09", "00:01:10"),
-    "traffic": ("00:01:09", "00:01:10"),
-    "traffic_hd": ("00:01:09", "00:01:09"),
+    "base": ("08:00:00", "08:00:03"),
+    "base_hd": ("08:00:01", "08:00:04"),
+    "roads": ("08:00:00", "08:00:05"),
+    "transit": ("08:00:02", "08:00:02"),
 }
 
 
@@ -59,7 +55,7 @@ def _good(spark):
 
 def test_sample_reports(spark):
     good, bad = _good(spark)
-    assert good.count() == 20 and bad.count() == 0
+    assert good.count() == 16 and bad.count() == 0
     assert sorted(tuple(r) for r in type_summary(span_table(good)).collect()) == SUMMARY
     assert [tuple(r) for r in timeline_runs(good).collect()] == TIMELINE
     assert [tuple(r) for r in timeline_runs(good, rows_per_bucket=3).collect()] == TIMELINE
@@ -153,3 +149,75 @@ def test_multi_file_arrival_order(spark, tmp_dir):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     expect = [line.split("/slab/")[1].split("/")[0] for name in sorted(lines) for line in lines[name]]
     assert order == expect
+
+
+def test_one_shot_paths(spark, tmp_dir):
+    """The per-row table, the final report's own path and the timeline forms."""
+    run_once(spark, SAMPLE, f"{tmp_dir}/out", f"{tmp_dir}/bad", final_csv=f"{tmp_dir}/elsewhere.csv", timeline="lengths")
+    assert spark.read.parquet(f"{tmp_dir}/out/parsed").count() == 16
+    assert sorted(tuple(r) for r in read_csv_report(spark, f"{tmp_dir}/elsewhere.csv", schemas.SUMMARY).collect()) == SUMMARY
+    rows = spark.read.option("header", True).csv(f"{tmp_dir}/out/exo_runs_output.csv").collect()
+    assert [(r["Breakdown_Type"], int(r["Count_Successive"])) for r in rows] == [(t, n) for t, n, _ in TIMELINE]
+
+
+def test_sort_stage_keeps_ranges(spark, tmp_dir):
+    """Ranges that the sort stage cut are used by the later stages, which cut nothing themselves."""
+    stage = f"{tmp_dir}/stage"
+    stage_read(spark, SAMPLE, stage, f"{tmp_dir}/bad")
+    stage_sort(spark, stage, rows_per_bucket=4)
+    cut = spark.read.parquet(f"{stage}/sorted").groupBy("time_range").count().collect()
+    assert len(cut) >= 4 and max(r["count"] for r in cut) <= 4
+    stage_compute(spark, stage, rows_per_bucket=4)
+    stage_save(spark, stage, f"{tmp_dir}/out", rows_per_bucket=4)
+    assert _read_reports(spark, f"{tmp_dir}/out") == (SUMMARY, TIMELINE)
+
+
+@pytest.mark.parametrize("text,bad", [("", 0), ("noat\n\nnoat\n", 2)])
+def test_log_without_good_lines(spark, tmp_dir, text, bad):
+    with open(os.path.join(tmp_dir, "log.txt"), "w") as f:
+        f.write(text)
+    run_once(spark, f"{tmp_dir}/log.txt", f"{tmp_dir}/out", f"{tmp_dir}/bad")
+    assert _read_reports(spark, f"{tmp_dir}/out") == ([], [])
+    assert (spark.read.text(f"{tmp_dir}/bad").count() if bad else 0) == bad
+    stage_read(spark, f"{tmp_dir}/log.txt", f"{tmp_dir}/stage", f"{tmp_dir}/bad2")
+    stage_sort(spark, f"{tmp_dir}/stage")
+    stage_compute(spark, f"{tmp_dir}/stage")
+    stage_save(spark, f"{tmp_dir}/stage", f"{tmp_dir}/staged")
+    assert _read_reports(spark, f"{tmp_dir}/staged") == ([], [])
+
+
+def test_dynamic_overwrite_mode_keeps_nothing_old(spark, tmp_dir):
+    from streakline.plans.staged import bad_rows
+
+    first, second = f"{tmp_dir}/a.txt", f"{tmp_dir}/b.txt"
+    with open(first, "w") as f:
+        f.write("noat\n")
+    with open(second, "w") as f:
+        f.write("2021-03-14 08:00:00@/m/slab/a/256/1/x\n")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for log in (first, second):
+            stage_read(spark, log, f"{tmp_dir}/stage", f"{tmp_dir}/bad", keep_history=False)
+        assert bad_rows(spark, f"{tmp_dir}/stage").collect() == []
+        runs = [p for p in glob.glob(f"{tmp_dir}/bad/run=*") if glob.glob(f"{p}/part-*")]
+        assert runs == []
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_any_type_text_survives_csv(spark, tmp_dir):
+    from streakline.sinks import write_csv
+
+    rows = [("\\N", 1, ""), ("", 2, "1"), ("null", 3, ",\"x\"")]
+    write_csv(spark.createDataFrame(rows, schemas.TIMELINE), f"{tmp_dir}/r.csv")
+    assert sorted(tuple(r) for r in read_csv_report(spark, f"{tmp_dir}/r.csv", schemas.TIMELINE).collect()) == sorted(rows)
+
+
+def test_clear_scratch(spark):
+    from streakline.session import clear_scratch, scratch_path
+
+    path = scratch_path(spark, "table")
+    spark.range(3).write.parquet(path)
+    assert os.path.isdir(path.removeprefix("file:"))
+    clear_scratch(spark)
+    assert not os.path.exists(path.removeprefix("file:"))
