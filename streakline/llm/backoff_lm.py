@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from streakline.llm.tables import partitions_for
 from streakline.llm.textblocks import LOWER, WHITE, blocks, mix, word_hashes, word_spans
 
 ORDER = 3
@@ -253,9 +254,11 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, le
     id_type = dict(rows.dtypes)["doc_id"]
     size, total = rows.select("text").mapInArrow(_sizes, "bytes long, words long").agg(F.sum("bytes"), F.sum("words")).first()
     n_buckets = max(16, math.ceil((size or 0) / BUCKET_BYTES))
+    # a bucket's n-grams and a block's documents come from about as many bytes of text, so tasks stay as they are however large the corpus
+    parts = partitions_for(docs.sparkSession, n_buckets, 1)
     answers = (
         rows.mapInArrow(_asked(order, n_buckets), "bucket int, order int, block long, keys binary, counts binary")
-        .repartition("bucket").sortWithinPartitions("bucket", "order")
+        .repartition(parts, "bucket").sortWithinPartitions("bucket", "order")
         .mapInArrow(_answered, "block long, order int, bucket int, counts binary")
     )
     named = rows.mapInArrow(_named, f"block long, row_id long, doc_id {id_type}, text string")
@@ -263,7 +266,7 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, le
         "block", "order", "bucket", "counts", F.lit(None).cast("long").alias("row_id"), F.lit(None).cast(id_type).alias("doc_id"), F.lit(None).cast("string").alias("text")
     ).union(named.select("block", F.lit(0), F.lit(0), F.lit(None).cast("binary"), "row_id", "doc_id", "text"))
     scored = (
-        both.repartition("block").sortWithinPartitions("block", "row_id")
+        both.repartition(parts, "block").sortWithinPartitions("block", "row_id")
         .mapInArrow(
             _summed(to_arrow_type(rows.schema["doc_id"].dataType), order, n_buckets, total or 0, alpha, leave_one_out),
             f"doc_id {id_type}, n_words long, log_score double",
