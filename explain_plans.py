@@ -27,19 +27,26 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    from streakline.operators import span_table, split_valid, timeline_runs, type_ordered, type_summary
+    from streakline.operators import segments, span_table, split_valid, timeline_runs, type_ordered, type_summary
     from streakline.plans import catalog
 
     sf = os.environ.get("PLANS_SF_DIR", "/root/testdata/sf0.01")
     catalog._good(spark, sf).write.parquet(f"{scratch}/good")
     good = spark.read.parquet(f"{scratch}/good")
+    # the pass over the rows of the bucketed forms is the job that stores their ranges: keep its plan
+    passes = []
+    store = segments.stored_table
+    segments.stored_table = lambda df, name: (passes.append(df) if name == "ranges" else None, store(df, name))[1]
+    runs, ordered = timeline_runs(good, rows_per_bucket=2000), type_ordered(good, rows_per_bucket=1000)
     cases = [
         ("Quarantine: bad lines (filter + distinct, one pre-aggregated shuffle)",
          split_valid(catalog._parsed(spark, sf))[1]),
         ("Per-type summary (one groupBy over spans, no window, no join)", type_summary(span_table(good))),
-        ("Timeline runs, bucketed (rows_per_bucket=2000)", timeline_runs(good, rows_per_bucket=2000)),
+        ("Timeline runs, bucketed (rows_per_bucket=2000): the pass over the event rows, one range and one hash exchange", passes[0]),
+        ("Timeline runs, bucketed: joining up the ranges' runs", runs),
         ("Timeline runs, plain window (input under the threshold)", timeline_runs(good, bucketed=False)),
-        ("Per-type ordered rows, hot types split (rows_per_bucket=1000)", type_ordered(good, rows_per_bucket=1000)),
+        ("Per-type ordered rows, hot types cut (rows_per_bucket=1000): the pass over the rows", passes[1]),
+        ("Per-type ordered rows, hot types cut: the result", ordered),
     ]
     print("# Physical plans\n\nGenerated by `python explain_plans.py` on the sf0.01 tables "
           "(good rows read from a Parquet stage table).\n")
