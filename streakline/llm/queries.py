@@ -89,7 +89,23 @@ QUERIES = {
     "op10_warc": op10_warc,
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLE_SQL = {
+    # a turn is <s>[INST]role[/INST]text</s> and a line feed: 21 characters, and one more for each < and [ in role and text
+    "op2_chat": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        )
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               CAST(coalesce(sum(length(t)) FILTER (WHERE r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(t, '' ORDER BY turn) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(21 + 2 * length(r || t) - length(replace(replace(r || t, '<', ''), '[', ''))) AS BIGINT) AS formatted_chars
+        FROM turns GROUP BY conv_id
+    """,
     "op5_exact_dedup": r"""
         WITH plain AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
@@ -98,4 +114,38 @@ ORACLE_SQL = {
                doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
         FROM plain WINDOW same AS (PARTITION BY t)
     """,
+    "op7_decontaminate": rf"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+        item_windows AS (
+            SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS g
+            FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM (SELECT item, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0))
+        ),
+        doc_windows AS (
+            SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
+            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)
+        ),
+        hits AS (SELECT doc_id, i, n, item FROM doc_windows JOIN item_windows USING (g, n)),
+        covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+        named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN covered ON covered.doc_id = d.doc_id LEFT JOIN named ON named.doc_id = d.doc_id
+    """,
+    # base32 of a SHA-1: five hexadecimal digits are four letters
+    "op10_warc": r"""
+        WITH p AS (
+            SELECT page_id, url, coalesce(html, '') AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest FROM pages
+        )
+        SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((CAST('0x' || substr(sha1(h), CAST(k // 4 AS INTEGER) * 5 + 1, 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31) + 1, 1)), '')
+                   AS payload_digest,
+               CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = largest THEN NULL ELSE largest END AS refers_to, url
+        FROM p
+    """,
 }
