@@ -29,7 +29,7 @@ from streakline.llm.textblocks import BASE, LOWER, SpanHash, blocks, column_byte
 WINDOW_WORDS = 13
 #: A document is contaminated when at least one word in so many is inside a window.
 HIT_SHARE = 20
-SEGMENT_BYTES = 1 << 20
+SEGMENT_BYTES = 256 << 10
 #: Bytes of query texts compiled at once; more are answered in several passes over the index.
 QUERY_BYTES = 8 << 20
 
@@ -156,15 +156,19 @@ class Queries:
                 phrases.setdefault(tuple(words[k : k + size]), set()).add(name or "")
         self.phrases = list(phrases)
         self.items = [sorted(x) for x in phrases.values()]
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in {len(words) for words in phrases}:
+            which = [k for k, words in enumerate(self.phrases) if len(words) == size]
+            self.by_size[size] = np.array(which), np.array([self.phrases[k] for k in which])
 
     def present(self, segment: Segment):
         """(number of the phrase, posting ranges of its terms) for the phrases whose every term occurs in the segment."""
         a, b = segment.ranges(self.one, self.two)
         have = b > a
-        a, b = a.tolist(), b.tolist()
-        for k, words in enumerate(self.phrases):
-            if all(have[w] for w in words):
-                yield k, [(a[w], b[w]) for w in words]
+        for which, terms in self.by_size.values():
+            for k in which[have[terms].all(axis=1)].tolist():
+                words = self.phrases[k]
+                yield k, list(zip(a[list(words)].tolist(), b[list(words)].tolist()))
 
 
 def _query_blocks(items: DataFrame, query_bytes: int) -> list[DataFrame]:
