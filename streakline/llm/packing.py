@@ -35,7 +35,9 @@ GROUPS = 40
 #: Rows of one length are ranked in parts of about so many rows.
 RANK_ROWS = 200_000
 #: Distinct words a task keeps the ids of; a full store is emptied and filled anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 600_000
+#: Words encoded at once; their encodings hold far more than the ids.
+ENCODED_WORDS = 2048
 
 
 #: Byte classes: white space, letters (and all of any multi-byte character), digits, other ASCII.
@@ -91,10 +93,14 @@ class WordIds:
         self.pool = np.zeros(0, np.uint32)
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
+        sizes, pools = [], [self.pool]
+        for k in range(0, len(words), ENCODED_WORDS):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(words[k : k + ENCODED_WORDS], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            pools.append(np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+        size = np.concatenate(sizes)
         start = len(self.pool) + np.cumsum(size) - size
-        self.pool = np.concatenate((self.pool, np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(size.sum()))))
+        self.pool = np.concatenate(pools)
         at = np.searchsorted(self.key, keys)
         self.key, self.start, self.size = np.insert(self.key, at, keys), np.insert(self.start, at, start.astype(np.int32)), np.insert(self.size, at, size.astype(np.int32))
 

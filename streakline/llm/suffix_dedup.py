@@ -31,7 +31,7 @@ SHALLOW = 32
 GROUP_CONTEXTS = 30_000
 #: Contexts sorted together in a task.
 SORT_CONTEXTS = 8_000
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 SECOND_BASE = 0xC2B2AE3D27D4EB4F
 
 CLASS = ["gram", "context", "rel", "span"]

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 #: Odd base of the word and window hashes (arithmetic modulo 2**64).
 BASE = 0x9E3779B97F4A7C15
