@@ -37,23 +37,23 @@ WORD = np.zeros(256, bool)
 WORD[0x30:0x3A] = WORD[0x61:0x7B] = WORD[0x80:] = True
 SECOND_BASE = 0xD6E8FEB86659FD93
 
-SEGMENT = "segment long, {ids}, first_slot binary, n_words binary, term binary, check binary, posting_end binary, slots binary"
+SEGMENT = "segment long, {ids}, n_words binary, term binary, check binary, postings binary, slots binary"
 
 
 def _words(data: np.ndarray, offsets: np.ndarray):
-    """Two independent hashes and the row of each word."""
+    """Two independent hashes (64 and 32 bits) and the row of each word."""
     data = LOWER[data]
     starts, ends, row = word_spans(data, offsets, WORD)
     one = SpanHash(data, BASE)(starts, ends)  # released before the second one is made
-    return one, SpanHash(data, SECOND_BASE)(starts, ends), row
+    return one, SpanHash(data, SECOND_BASE)(starts, ends).astype(np.uint32), row
 
 
 def _index(batches):
     for rows, data, offsets in blocks(batches, "text", SEGMENT_BYTES):
         one, two, row = _words(data, offsets)
         n_words = np.diff(row_bounds(row, rows.num_rows))
-        first_slot = np.cumsum(n_words + 1) - (n_words + 1)
-        slot = (np.arange(len(row)) + row).astype(np.int32)  # one unused slot after each document
+        slot = np.arange(len(row)) + row  # one unused slot after each document
+        slot = slot.astype(np.uint16 if len(row) + rows.num_rows <= 1 << 16 else np.uint32)
         order = np.argsort(one, kind="stable")
         if ((one[order][1:] == one[order][:-1]) & (two[order][1:] != two[order][:-1])).any():
             order = np.lexsort((slot, two, one))  # two words share the first hash: keep their lists apart
@@ -66,10 +66,10 @@ def _index(batches):
                 pa.array([rows.column(0).to_pylist()], pa.list_(rows.column(0).type)),
                 *(
                     pa.array([x.tobytes()], pa.binary())
-                    for x in (first_slot, n_words, one[last], two[last], (last + 1).astype(np.int64), slot)
+                    for x in (n_words.astype(np.uint32), one[last], two[last], np.diff(last, prepend=-1).astype(np.uint32), slot)
                 ),
             ],
-            names=["segment", "doc_ids", "first_slot", "n_words", "term", "check", "posting_end", "slots"],
+            names=["segment", "doc_ids", "n_words", "term", "check", "postings", "slots"],
         )
 
 
@@ -85,9 +85,11 @@ class Segment:
 
     def __init__(self, row: dict):
         read = lambda name, kind: np.frombuffer(row[name], kind)
-        self.first_slot, self.n_words = read("first_slot", np.int64), read("n_words", np.int64)
-        self.term, self.check = read("term", np.uint64), read("check", np.uint64)
-        self.end, self.slots = read("posting_end", np.int64), read("slots", np.int32)
+        self.n_words = read("n_words", np.uint32).astype(np.int64)
+        self.first_slot = np.cumsum(self.n_words + 1) - (self.n_words + 1)
+        self.term, self.check = read("term", np.uint64), read("check", np.uint32)
+        self.end = np.cumsum(read("postings", np.uint32).astype(np.int64))
+        self.slots = read("slots", np.uint16 if self.n_words.sum() + len(self.n_words) <= 1 << 16 else np.uint32)
 
     def ranges(self, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last posting of each term (an empty range for absent ones)."""
@@ -114,7 +116,7 @@ class Segment:
         """Start slots of the phrase whose k-th term has postings ``lists[k]``."""
         order = sorted(range(len(lists)), key=lambda k: lists[k][1] - lists[k][0])
         a, b = lists[order[0]]
-        starts = self.slots[a:b] - order[0]
+        starts = self.slots[a:b].astype(np.int64) - order[0]
         for k in order[1:]:
             if len(starts) == 0:
                 break
@@ -128,7 +130,7 @@ class Segment:
         """Slots of the rarest term that have every other term within ``slop`` words in the same document."""
         order = sorted(lists, key=lambda ab: ab[1] - ab[0])
         a, b = order[0]
-        anchors = self.slots[a:b]
+        anchors = self.slots[a:b].astype(np.int64)
         doc = self.document(anchors)
         low = np.maximum(anchors - slop, self.first_slot[doc])
         high = np.minimum(anchors + slop, self.first_slot[doc] + self.n_words[doc] - 1)
@@ -145,8 +147,8 @@ class Queries:
     def __init__(self, items: list[tuple[str | None, str | None]], window: int | None):
         data, offsets = column_bytes(pa.array([text for _, text in items], pa.large_string()))
         one, two, row = _words(data, offsets)
-        pairs, number = np.unique(np.stack((one, two), axis=1), axis=0, return_inverse=True)
-        self.one, self.two = pairs[:, 0].copy(), pairs[:, 1].copy()
+        pairs, number = np.unique(np.stack((one, two.astype(np.uint64)), axis=1), axis=0, return_inverse=True)
+        self.one, self.two = pairs[:, 0].copy(), pairs[:, 1].astype(np.uint32)
         number, bounds = number.ravel(), row_bounds(row, len(items))
         phrases: dict[tuple[int, ...], set[str]] = {}
         for (name, _), a, b in zip(items, bounds[:-1].tolist(), bounds[1:].tolist()):

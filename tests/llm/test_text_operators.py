@@ -235,3 +235,11 @@ def test_backoff_odd(docs, odd):
     assert len(rows) == 11
     assert all(r["log_score"] == 0 and r["mean_log_score"] is None for r in rows if r["doc_id"] in (1, 2, 3))
     assert lm.backoff_scores(docs.filter("false")).collect() == []
+
+
+def test_phrase_far_into_a_long_document(spark):
+    """More words than two bytes can number."""
+    docs = spark.createDataFrame([(1, "x " * 70_000 + "some phrase here"), (2, "some phrase there")], "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([("p", "some phrase here"), ("q", "phrase there")], "item_id string, text string")
+    rows = phrase_matches(build_index(docs), items).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["word"]) for r in rows) == [(1, "p", 70_000), (2, "q", 1)]
