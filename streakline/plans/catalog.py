@@ -102,8 +102,8 @@ def q_type_levels(spark, sf_dir):
     return type_levels(type_summary(span_table(_good(spark, sf_dir))))
 
 
-#: Rows per range of the queries that cut the test tables, and of a customer's orders.
-SMALL_RANGE, TINY_RANGE = 2000, 8
+#: Rows per range of the queries that cut the test tables.
+SMALL_RANGE = 2000
 #: Rows per piece of the pieces query.
 PIECE_ROWS = 3
 
@@ -157,11 +157,11 @@ def q_timeline_sorted_bucketed(spark, sf_dir):
     return _ntz(ordinal(_good(spark, sf_dir), ("timestamp", "arrival_id"), rows_per_bucket=SMALL_RANGE))
 
 
-def _status_runs(spark, sf_dir, **kw):
-    orders = _table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus")
+def _status_runs(spark, sf_dir, key, **kw):
+    orders = _table(spark, sf_dir, "orders").select(key, "o_orderdate", "o_orderkey", "o_orderstatus")
     seg = segment_runs(orders, ("o_orderdate", "o_orderkey"), change_on=("o_orderstatus",),
-                       partition_by=("o_custkey",), **kw)
-    return seg.groupBy("o_custkey", "run_id", "o_orderstatus").agg(
+                       partition_by=(key,), **kw)
+    return seg.groupBy(key, "run_id", "o_orderstatus").agg(
         F.count(F.lit(1)).alias("run_length"),
         F.min("o_orderdate").alias("run_start"),
         F.max("o_orderdate").alias("run_end"),
@@ -169,11 +169,12 @@ def _status_runs(spark, sf_dir, **kw):
 
 
 def q_status_runs_by_customer(spark, sf_dir):
-    return _status_runs(spark, sf_dir)
+    return _status_runs(spark, sf_dir, "o_custkey")
 
 
 def q_status_runs_bucketed(spark, sf_dir):
-    return _status_runs(spark, sf_dir, rows_per_bucket=TINY_RANGE)
+    """Status runs per order priority: a few large partitions, each cut into ranges."""
+    return _status_runs(spark, sf_dir, "o_orderpriority", rows_per_bucket=SMALL_RANGE)
 
 
 # fixed values: language path markers of the test pages, in priority order
@@ -456,7 +457,7 @@ ORACLE_SQL: dict[str, str] = {
     "timeline_sorted_bucketed": _SORTED_SQL,
     "type_ordered_bucketed": _with(*_BASE, _ORDERED) + "SELECT * FROM ordered",
     "status_runs_by_customer": _STATUS_SQL,
-    "status_runs_bucketed": _STATUS_SQL,
+    "status_runs_bucketed": _STATUS_SQL.replace("o_custkey", "o_orderpriority"),
     "page_url_segments": rf"""
 SELECT page_id,
   regexp_extract(url, '^[a-z]+://([^/]+)/', 1) AS host,
