@@ -2,7 +2,8 @@
 
 Every stage reads the written result of the one before and keeps the columns of
 ``documents``, whatever further columns there are; the last one returns packed
-pieces.  Stages decide on rows, not on ids: rows with a null or repeated
+pieces.  A stage that drops rows stores them with their numbers first, and reads
+both the texts it judges and the rows it returns from there.  Stages decide on rows, not on ids: rows with a null or repeated
 doc_id are kept or dropped one by one.
 """
 
@@ -17,44 +18,50 @@ from streakline.llm.exact_dedup import exact_groups
 from streakline.llm.packing import pack_documents
 from streakline.llm.resampling import importance_weights, resample
 from streakline.llm.simhash import simhash_components
-from streakline.llm.tables import free_name, short_batches, small_side, stored
+from streakline.llm.tables import free_name, numbered, short_batches, small_side, stored
 
 
-def _only(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose ``monotonically_increasing_id()`` is in ``dropped`` (row_id)."""
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` stored with its rows' numbers, and the name of their column."""
     row = free_name(docs.columns, "row_id")
+    return numbered(docs, row), row
+
+
+def _only(docs: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``row`` is in ``dropped`` (row_id), and without ``row``."""
     gone = stored(dropped.select(F.col("row_id").alias(row)), "dropped")
-    return (
-        docs.withColumn(row, F.monotonically_increasing_id())
-        .join(small_side(gone, gone.count(), 16), row, "left_anti").drop(row)
-    )
+    return docs.join(small_side(gone, gone.count(), 16), row, "left_anti").drop(row)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling towards the good labelled documents keeps."""
     short_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _only(docs, resample(importance_weights(docs, labels)).filter(~F.col("kept")))
+    docs, row = _numbered(docs)
+    return _only(docs, row, resample(importance_weights(docs, labels, row_id=row)).filter(~F.col("kept")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that with the smallest doc_id, of each group of equal texts."""
     short_batches(spark)
-    return _only(docs, exact_groups(docs).filter(~F.col("kept")))
+    docs, row = _numbered(docs)
+    return _only(docs, row, exact_groups(docs, row_id=row).filter(~F.col("kept")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that with the smallest doc_id, of each SimHash component."""
     short_batches(spark)
-    return _only(docs, simhash_components(docs).filter(~F.col("kept")))
+    docs, row = _numbered(docs)
+    return _only(docs, row, simhash_components(docs, row_id=row).filter(~F.col("kept")))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark passages do not contaminate."""
     short_batches(spark)
-    rows = docs.select(F.monotonically_increasing_id().alias("doc_id"), "text")
+    docs, row = _numbered(docs)
+    rows = docs.select(F.col(row).alias("doc_id"), "text")
     found = contamination(build_index(rows), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _only(docs, found.filter("contaminated").select(F.col("doc_id").alias("row_id")))
+    return _only(docs, row, found.filter("contaminated").select(F.col("doc_id").alias("row_id")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Stupid-backoff scores of documents under the corpus, computed as joins with n-gram count tables.
 
-Documents are read in blocks.  Each block explodes into its distinct n-grams of
+Documents are stored once with the number of their block, so that every later scan
+finds the same blocks; one that a scan cuts in two is put together again.  Each block explodes into its distinct n-grams of
 every order, pre-aggregated and partitioned by hash into buckets.  A bucket adds
 up the counts of its n-grams over all blocks -- its share of the count table --
 and joins them back to the n-grams that each block asked for.  A last shuffle
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from streakline.llm.tables import partitions_for
-from streakline.llm.textblocks import LOWER, WHITE, blocks, mix, word_hashes, word_spans
+from streakline.llm.tables import partitions_for, stored
+from streakline.llm.textblocks import LOWER, WHITE, blocks, mix, row_bounds, word_hashes, word_spans
 
 ORDER = 3
 ALPHA = 0.4
@@ -55,21 +56,23 @@ class Block:
 
 
 def _blocks(batches) -> Iterator[Block]:
-    """Blocks of about BLOCK_BYTES out of rows (row_id, doc_id, text); a block is named by its first row."""
-    ids, counts, words, size, first = [], [], [], 0, None
+    """Blocks, or the parts of them that a task meets, out of rows (block, text)."""
+    counts, words, now = [], [], None
     for rows, data, offsets in blocks(batches, "text"):
         low = LOWER[data]
         starts, ends, row = word_spans(low, offsets, ~WHITE)
-        first = rows.column(0)[0].as_py() if first is None else first
-        ids += rows.column(1).to_pylist()
-        counts.append(np.bincount(row, minlength=rows.num_rows))
-        words.append(word_hashes(low, starts, ends))
-        size += len(data)
-        if size >= BLOCK_BYTES:
-            yield Block(first, ids, np.concatenate(counts), np.concatenate(words))
-            ids, counts, words, size, first = [], [], [], 0, None
-    if first is not None:
-        yield Block(first, ids, np.concatenate(counts), np.concatenate(words))
+        hashes, n_words, bounds = word_hashes(low, starts, ends), np.bincount(row, minlength=rows.num_rows), row_bounds(row, rows.num_rows)
+        names = rows.column(0).to_numpy()
+        edge = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), rows.num_rows]
+        for a, b in zip(edge[:-1], edge[1:]):
+            if now != names[a]:
+                if counts:
+                    yield Block(now, [], np.concatenate(counts), np.concatenate(words))
+                counts, words, now = [], [], int(names[a])
+            counts.append(n_words[a:b])
+            words.append(hashes[bounds[a] : bounds[b]])
+    if counts:
+        yield Block(now, [], np.concatenate(counts), np.concatenate(words))
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
@@ -135,10 +138,19 @@ def _answered(batches):
         _, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, np.concatenate(counts)).astype(np.int64)[place]
         at = np.cumsum([0, *map(len, keys)])
+        parts: dict[int, list[int]] = {}  # of each block, more than one when a scan cut it
+        for k, r in enumerate(rows):
+            parts.setdefault(r[0], []).append(k)
+        answers = []
+        for own in parts.values():
+            found = np.concatenate([total[at[k] : at[k + 1]] for k in own])
+            if len(own) > 1:
+                found = found[np.unique(np.concatenate([keys[k] for k in own]), return_index=True)[1]]
+            answers.append(pack_counts(found))
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([r[0] for r in rows], pa.int64()), pa.array([order] * len(rows), pa.int32()), pa.array([bucket] * len(rows), pa.int32()),
-                pa.array([pack_counts(total[a:b]) for a, b in zip(at[:-1], at[1:])], pa.binary()),
+                pa.array(list(parts), pa.int64()), pa.array([order] * len(parts), pa.int32()), pa.array([bucket] * len(parts), pa.int32()),
+                pa.array(answers, pa.binary()),
             ],
             names=["block", "order", "bucket", "counts"],
         )
@@ -162,7 +174,7 @@ def _scores(block: Block, count: dict[int, np.ndarray], order: int, n_buckets: i
         last, key = block.ngrams(n, n_buckets)
         distinct, number = np.unique(key, return_inverse=True)
         if len(distinct) != len(count.get(n, ())):
-            raise RuntimeError("a block met other documents than before: the input must give the same rows in the same partitions each time")
+            raise RuntimeError("a block met other documents than before")
         counts = np.zeros(len(block.words), np.int64)
         if len(last):
             own = 0
@@ -230,7 +242,7 @@ def _summed(id_type: pa.DataType, order: int, n_buckets: int, total: int, alpha:
 
 
 def _named(batches):
-    """The documents with their blocks."""
+    """The documents with their blocks of about BLOCK_BYTES; a block is named by its first row."""
     first, size = None, 0
     for rows, data, _ in blocks(batches, "text"):
         first = rows.column(0)[0].as_py() if first is None else first
@@ -247,21 +259,21 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, le
     scored with as many words before it as there are, up to ``order - 1``; each
     step back costs a factor ``alpha``, and a word that the rest of the corpus
     does not have counts as one occurrence a step below single words.  Null and
-    empty texts have no words, score 0 and no mean.  ``docs`` is read three times
-    and must give the same rows in the same partitions each time (a stored table does).
+    empty texts have no words, score 0 and no mean.  ``docs`` is read
+    once, and stored with its blocks.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", F.col("text").cast("string").alias("text"))
     id_type = dict(rows.dtypes)["doc_id"]
-    size, total = rows.select("text").mapInArrow(_sizes, "bytes long, words long").agg(F.sum("bytes"), F.sum("words")).first()
+    named = stored(rows.mapInArrow(_named, f"block long, row_id long, doc_id {id_type}, text string"), "blocks", "zstd")
+    size, total = named.select("text").mapInArrow(_sizes, "bytes long, words long").agg(F.sum("bytes"), F.sum("words")).first()
     n_buckets = max(16, math.ceil((size or 0) / BUCKET_BYTES))
     # a bucket's n-grams and a block's documents come from about as many bytes of text, so tasks stay as they are however large the corpus
     parts = partitions_for(docs.sparkSession, n_buckets, 1)
     answers = (
-        rows.mapInArrow(_asked(order, n_buckets), "bucket int, order int, block long, keys binary, counts binary")
+        named.select("block", "text").mapInArrow(_asked(order, n_buckets), "bucket int, order int, block long, keys binary, counts binary")
         .repartition(parts, "bucket").sortWithinPartitions("bucket", "order")
         .mapInArrow(_answered, "block long, order int, bucket int, counts binary")
     )
-    named = rows.mapInArrow(_named, f"block long, row_id long, doc_id {id_type}, text string")
     both = answers.select(
         "block", "order", "bucket", "counts", F.lit(None).cast("long").alias("row_id"), F.lit(None).cast(id_type).alias("doc_id"), F.lit(None).cast("string").alias("text")
     ).union(named.select("block", F.lit(0), F.lit(0), F.lit(None).cast("binary"), "row_id", "doc_id", "text"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streakline.llm.tables import small_side, stored
+from streakline.llm.tables import numbered_texts, small_side, stored
 from streakline.llm.textblocks import blocks, one_space
 
 #: Primes under 2**31: a product of two residues fits a signed 64-bit integer.
@@ -112,20 +112,21 @@ def _chunks(chunk_bytes: int, label: str):
 
 
 def exact_groups(
-    docs: DataFrame, primes: tuple[int, int, int] = PRIMES, chunk_bytes: int = CHUNK_BYTES, members_per_salt: int = MEMBERS_PER_SALT
+    docs: DataFrame, primes: tuple[int, int, int] = PRIMES, chunk_bytes: int = CHUNK_BYTES, members_per_salt: int = MEMBERS_PER_SALT,
+    row_id: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, anything else): doc_id, keep_id, group_size, kept, text_sha256, row_id.
 
     Null text counts as empty, and empty texts are equal to each other.  Of
     equal texts the row with the smallest doc_id stays (a null doc_id sorts
     last); of repeated rows with that same doc_id exactly one has ``kept``
-    true.  ``row_id`` is ``monotonically_increasing_id()`` over ``docs``, which
-    tells repeated rows apart.  ``docs`` is read several times and must give the same rows in the same
-    partitions each time (a stored table does).
+    true.  ``row_id`` tells repeated rows apart: it is the unique bigint column of that
+    name of ``docs``, a stored table, which is then read several times; without one ``docs`` is read
+    once, numbered and stored.
     """
     if chunk_bytes > CHUNK_BYTES:
         raise ValueError(f"chunk_bytes over {CHUNK_BYTES} could overflow a chunk's sum")
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", F.col("text").cast("string").alias("text"))
+    rows = numbered_texts(docs, row_id)
     id_type = dict(rows.dtypes)["doc_id"]
     printed = stored(
         rows.mapInArrow(

@@ -228,16 +228,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROW
     return stored(single, "sample"), share
 
 
-def importance_weights(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, buckets: int = BUCKETS) -> DataFrame:
+def importance_weights(
+    docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, buckets: int = BUCKETS, row_id: str | None = None
+) -> DataFrame:
     """Stored row_id, doc_id, log_weight, p_target, sample_key for every row of ``docs`` (doc_id, text, anything else).
 
     Null text is empty and has the weight of a text without n-grams.  Kinds
     without labelled rows are no part of the mixture; without target rows every
-    weight is 1.  ``row_id`` is ``monotonically_increasing_id()`` over ``docs``,
-    which must give the same rows in the same partitions each time.
+    weight is 1.  ``row_id`` is the unique bigint column of that
+    name of ``docs``, or else numbers the rows of the scan that weighs them.
     """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row_id"), "doc_id", F.xxhash64("doc_id", F.lit(SEED)).alias("noise"),
+        (F.col(row_id) if row_id else F.monotonically_increasing_id()).alias("row_id"), "doc_id", F.xxhash64("doc_id", F.lit(SEED)).alias("noise"),
         F.col("text").cast("string").alias("text"),
     )
     sample, share = labelled_sample(docs, labels, labelled_rows)

@@ -207,7 +207,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, members: int = MEMBERS) -> D
 
 
 def simhash_components(
-    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, members: int = MEMBERS
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, members: int = MEMBERS, row_id: str | None = None
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, anything else): doc_id, fingerprint (16 hex digits), component_id, kept, row_id.
 
@@ -216,14 +216,14 @@ def simhash_components(
     texts have fingerprint zero and link like any other.  A null doc_id names a
     component only when no other is in it.  One row of each component has
     ``kept`` true: its smallest doc_id, of repeated rows the first.  ``row_id``
-    is ``monotonically_increasing_id()`` over ``docs``, which must give the
-    same rows in the same partitions each time (a stored table does).
+    is the unique bigint column of that name of ``docs``, or else numbers the
+    rows of the one scan that ``docs`` is read in.
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("two segments find links of up to 3 bits")
     id_type = dict(docs.dtypes)["doc_id"]
     printed = stored(
-        docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", F.col("text").cast("string").alias("text"))
+        docs.select((F.col(row_id) if row_id else F.monotonically_increasing_id()).alias("row_id"), "doc_id", F.col("text").cast("string").alias("text"))
         .mapInArrow(_fingerprints(shingle_words), f"row_id long, doc_id {id_type}, fp long"),
         "simhash",
     )

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streakline.llm.tables import small_side, stored
+from streakline.llm.tables import numbered_texts, small_side, stored
 from streakline.llm.textblocks import SpanHash, blocks
 
 LENGTH = 400
@@ -422,10 +422,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group_contexts: int =
 
     A byte goes when a string of ``length`` bytes that covers it also starts
     anywhere else, in the same or another row; repeated rows repeat each other's
-    strings.  Null text is empty.  ``docs`` is read several times and must give
-    the same rows in the same partitions each time (a stored table does).
+    strings.  Null text is empty.  ``docs`` is read once, numbered and stored.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", F.col("text").cast("string").alias("text"))
+    rows = numbered_texts(docs)
     spans = repeated_spans(rows, length, group_contexts)
     runs = stored(
         spans.groupBy("row_id").agg(F.collect_list("a").alias("starts"), F.collect_list("b").alias("ends"))

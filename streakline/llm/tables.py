@@ -24,14 +24,25 @@ def short_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, row_id: str) -> DataFrame:
+    """``docs`` stored with a unique bigint ``row_id``, numbered once: every later scan reads the same ids, however it is split."""
+    return stored(docs.withColumn(row_id, F.monotonically_increasing_id()), "numbered", "zstd")
+
+
+def numbered_texts(docs: DataFrame, row_id: str | None = None) -> DataFrame:
+    """(row_id, doc_id, text) of ``docs``; the ids are those of its column ``row_id`` (of a stored table), or else numbered and stored here."""
+    texts = ["doc_id", F.col("text").cast("string").alias("text")]
+    return docs.select(F.col(row_id).alias("row_id"), *texts) if row_id else numbered(docs.select(*texts), "row_id").select("row_id", "doc_id", "text")
+
+
 def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """``df`` with a broadcast hint when ``rows * row_bytes`` proves it small, else unchanged (sort-merge join)."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df

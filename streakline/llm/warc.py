@@ -1,11 +1,12 @@
 """WARC archives: writing with revisit records, and reading by boundary-chain verification.
 
 Reading splits the files at the record magic, which may as well occur inside a
-payload.  Each task turns its split into candidates -- places after a magic --
-with the offset of the successor that the candidate's Content-Length implies, and
-contracts the chains within the split.  What is left is a small table of
-splits' entries and exits; pointer jumping from each file's start keeps
-the entries that are reachable.  A last pass walks every split from its verified
+payload.  The files are read once: each task stores its split in pieces, rows
+with their place in it and their candidates -- places after a magic -- with the offset of the
+successor that the candidate's Content-Length implies, chains within the piece
+contracted.  What is left is a small table of
+pieces' entries and exits; pointer jumping from each file's start keeps
+the entries that are reachable.  A last pass walks every stored piece from its verified
 entry, so magic inside a payload never starts a record; a payload that
 contains it is put together again.
 """
@@ -24,6 +25,8 @@ from streakline.session import scratch_path
 
 MAGIC = "WARC/1.1\r\n"
 BREAK = b"\r\n\r\n"
+#: Bytes of a stored piece of a split (a row, read whole by one task); a longer part of a record is a piece of its own.
+PIECE_BYTES = 256 << 10
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Control characters, blanks and angle brackets, which would end a header field or its value.
 ESCAPED = {c: f"%{c:02X}" for c in (*range(0x21), 0x3C, 0x3E, 0x7F)}
@@ -115,75 +118,71 @@ def _splits(batches):
                 edge = k
 
 
-def _candidates(batches):
-    """Candidates of each split: place within it, and how far the chain from there leads, as a place counted from the split's first row."""
+def _pieces(batches):
+    """Splits as rows of about PIECE_BYTES: place within the split, bytes, values, and their candidates.
 
-    def settled(file, split, places, needs, total):
+    A candidate is a place after a magic (``starts``) with how far the chain from there leads beyond the
+    piece (``exits``), both counted from the split's first row.
+    """
+
+    def settled(file, split, first, values, needs):
+        places = [first]
+        for v in values:
+            places.append(places[-1] + len(v.encode()) + len(MAGIC))
+        end = places.pop()
         exits = {}
         for place, need in zip(reversed(places), reversed(needs)):
             after = None if need is None else place + need + len(MAGIC)
-            # within the split the chain goes on from a candidate or is broken
-            exits[place] = after if after is None or after >= total else exits.get(after)
-        return pa.RecordBatch.from_arrays(
+            # within the piece the chain goes on from a candidate or is broken
+            exits[place] = after if after is None or after >= end else exits.get(after)
+        return end, pa.RecordBatch.from_arrays(
             [
-                pa.array([file] * len(places)), pa.array([split] * len(places), pa.int64()), pa.array(places, pa.int64()),
-                pa.array([exits[p] for p in places], pa.int64()), pa.array([total] * len(places), pa.int64()),
+                pa.array([file]), pa.array([split], pa.int64()), pa.array([first], pa.int64()), pa.array([end - first], pa.int64()),
+                pa.array([places], pa.list_(pa.int64())), pa.array([[exits[p] for p in places]], pa.list_(pa.int64())),
+                pa.array([values], pa.list_(pa.string())),
             ],
-            names=["file", "split", "place", "exit", "total"],
+            names=["file", "split", "place", "bytes", "starts", "exits", "values"],
         )
 
-    now, places, needs, total = None, [], [], 0
+    now, first, held, needs, size = None, 0, [], [], 0
     for file, split, values, _ in _splits(batches):
         if now != (file, split):
-            if now:
-                yield settled(*now, places, needs, total)
-            now, places, needs, total = (file, split), [], [], 0
+            if held:
+                yield settled(*now, first, held, needs)[1]
+            now, first, held, needs, size = (file, split), 0, [], [], 0
         for value in values.to_pylist():
             text = value.encode()
-            places.append(total)
+            held.append(value)
             needs.append(_needed(text))
-            total += len(text) + len(MAGIC)
-    if now:
-        yield settled(*now, places, needs, total)
-
-
-def _placed(batches):
-    """The rows with their places within their splits, so that a shuffle can restore the order."""
-    now, place = None, 0
-    for file, split, values, rows in _splits(batches):
-        if now != (file, split):
-            now, place = (file, split), 0
-        length = [len(v.encode()) + len(MAGIC) for v in values.to_pylist()]
-        places = [place]
-        for n in length[:-1]:
-            places.append(places[-1] + n)
-        place = places[-1] + length[-1]
-        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(places, pa.int64())], names=["file", "split", "value", "place"])
+            size += len(text)
+            if size >= PIECE_BYTES:
+                first, out = settled(*now, first, held, needs)
+                yield out
+                held, needs, size = [], [], 0
+    if held:
+        yield settled(*now, first, held, needs)[1]
 
 
 def _walk(batches):
     """Rows of verified records: key (the record's successor offset), place of the part, text, and whether it is the whole record."""
-    now, place, expected = None, 0, None
-    for file, split, values, rows in _splits(batches):
-        if now != (file, split):
-            now, place = (file, split), rows.column(3)[0].as_py()
-            expected = rows.column(4)[0].as_py()
-        out = []
-        for value in values.to_pylist():
-            text = value.encode()
-            if expected is not None and place <= expected:
-                need = None
-                if place == expected:
-                    need = _needed(text)
-                    expected = None if need is None else place + need + len(MAGIC)
-                if expected is not None and place >= len(MAGIC):
-                    out.append((file, expected, place, value, need is not None and need == len(text)))
-            place += len(text) + len(MAGIC)
-        part = list(zip(*out)) or [[]] * 5
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(part, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_()))],
-            names=["file", "next", "place", "text", "whole"],
-        )
+    for batch in batches:
+        for file, values, place, expected in zip(*(c.to_pylist() for c in batch.columns)):
+            out = []
+            for value in values:
+                text = value.encode()
+                if expected is not None and place <= expected:
+                    need = None
+                    if place == expected:
+                        need = _needed(text)
+                        expected = None if need is None else place + need + len(MAGIC)
+                    if expected is not None and place >= len(MAGIC):
+                        out.append((file, expected, place, value, need is not None and need == len(text)))
+                place += len(text) + len(MAGIC)
+            part = list(zip(*out)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(part, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_()))],
+                names=["file", "next", "place", "text", "whole"],
+            )
 
 
 def _parsed(batches):
@@ -219,7 +218,7 @@ def _parsed(batches):
 
 
 def _reachable(candidates: DataFrame) -> DataFrame:
-    """Stored (file, at): the starts of records at which a chain enters a split, and where the chains end, by pointer jumping from each file's start."""
+    """Stored (file, at): the starts of records at which a chain enters a piece, and where the chains end, by pointer jumping from each file's start."""
     heads = candidates.select("file").distinct().withColumn("at", F.lit(len(MAGIC)).cast("bigint"))
     targets = candidates.select("file", F.col("exit").alias("at")).filter("at is not null").union(heads).distinct()
     jump = stored(
@@ -248,41 +247,43 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.option("lineSep", MAGIC).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value"
     )
-    local = stored(rows.mapInArrow(_candidates, "file string, split long, place long, exit long, total long"), "candidates")
-    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    bases = stored(  # a row for each split
-        local.groupBy("file", "split").agg(F.first("total").alias("total"))
-        .select("file", "split", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base")),
+    pieces = stored(  # whole rows, numbered once: however they are scanned later, a piece is read by one task
+        rows.mapInArrow(
+            _pieces, "file string, split long, place long, bytes long, starts array<long>, exits array<long>, values array<string>"
+        ).withColumn("piece", F.monotonically_increasing_id()),
+        "pieces", "zstd",
+    )
+    before = Window.partitionBy("file").orderBy("split", "place").rowsBetween(Window.unboundedPreceding, -1)
+    bases = stored(  # offset of each split's first row
+        pieces.select("file", "split", "place", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base")).filter("place = 0").drop("place"),
         "splits",
     )
-    n_splits = bases.count()
+    n_splits, n_pieces = bases.count(), pieces.count()
+    based = pieces.select("piece", "file", "split", "place", "starts", "exits").join(small_side(bases, n_splits, 200), ["file", "split"])
     candidates = stored(
-        local.join(small_side(bases, n_splits, 200), ["file", "split"])
-        .select("file", (F.col("base") + F.col("place")).alias("start"), (F.col("base") + F.col("exit")).alias("exit")),
+        based.select("file", "base", F.explode(F.arrays_zip("starts", "exits")).alias("c"))
+        .select("file", (F.col("base") + F.col("c.starts")).alias("start"), (F.col("base") + F.col("c.exits")).alias("exit")),
         "chain",
     )
     reach = _reachable(candidates)
-    # the first reachable offset at or after each split's first row
-    onward = Window.partitionBy("file").orderBy(F.col("at").desc(), F.col("split").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    # the first reachable offset at or after each piece's first row
+    onward = Window.partitionBy("file").orderBy(F.col("at").desc(), F.col("piece").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
     entries = stored(
-        reach.select("file", "at", F.lit(None).cast("bigint").alias("split"))
-        .union(bases.select("file", F.col("base").alias("at"), "split"))
-        .withColumn("expected", F.last(F.when(F.col("split").isNull(), F.col("at")), ignorenulls=True).over(onward))
-        .filter("split is not null").select("file", "split", F.col("at").alias("base"), "expected"),
+        reach.select("file", "at", F.lit(None).cast("bigint").alias("piece"))
+        .union(based.select("file", (F.col("base") + F.col("place")).alias("at"), "piece"))
+        .withColumn("expected", F.last(F.when(F.col("piece").isNull(), F.col("at")), ignorenulls=True).over(onward))
+        .filter("piece is not null").select("piece", F.col("at").alias("base"), "expected"),
         "entries",
     )
-    if n_splits * 200 <= BROADCAST_BYTES:
-        walked = rows.join(F.broadcast(entries), ["file", "split"])
-    else:  # a shuffled join loses the order of the rows
-        placed = rows.mapInArrow(_placed, "file string, split long, value string, place long")
-        walked = placed.join(entries, ["file", "split"]).sortWithinPartitions("file", "split", "place")
-    parts = walked.select("file", "split", "value", "base", "expected").mapInArrow(
+    if n_pieces * 40 <= BROADCAST_BYTES:
+        entries = F.broadcast(entries)
+    parts = pieces.select("piece", "file", "values").join(entries, "piece").select("file", "values", "base", "expected").mapInArrow(
         _walk, "file string, next long, place long, text string, whole boolean"
     )
-    pieces = F.sort_array(F.collect_list(F.struct("place", "text")))
+    texts = F.sort_array(F.collect_list(F.struct("place", "text")))
     rejoined = (
-        parts.filter(~F.col("whole")).groupBy("file", "next").agg(pieces.alias("pieces"))
-        .select(F.concat_ws(MAGIC, F.col("pieces.text")).alias("text"))
+        parts.filter(~F.col("whole")).groupBy("file", "next").agg(texts.alias("texts"))
+        .select(F.concat_ws(MAGIC, F.col("texts.text")).alias("text"))
     )
     return parts.filter("whole").select("text").union(rejoined).mapInArrow(
         _parsed,
