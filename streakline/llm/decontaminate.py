@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from streakline.llm.tables import stored
 from streakline.llm.textblocks import BASE, LOWER, SpanHash, blocks, column_bytes, row_bounds, word_spans
@@ -188,7 +189,7 @@ def _segments(batches):
             yield row, Segment(row)
 
 
-def _phrase_rows(queries: Queries):
+def _phrase_rows(queries: Queries, id_type: pa.DataType):
     def run(batches):
         for row, segment in _segments(batches):
             ids, places, names, sizes = [], [], [], []
@@ -201,12 +202,12 @@ def _phrase_rows(queries: Queries):
                         names.append(name)
                         sizes.append(len(lists))
             if ids:
-                yield _rows(ids, names, places, sizes)
+                yield _rows(pa.array(ids, id_type), names, places, sizes)
 
     return run
 
 
-def _near_rows(queries: Queries, slop: int):
+def _near_rows(queries: Queries, id_type: pa.DataType, slop: int):
     def run(batches):
         for row, segment in _segments(batches):
             ids, places, names, sizes = [], [], [], []
@@ -219,18 +220,23 @@ def _near_rows(queries: Queries, slop: int):
                         names.append(name)
                         sizes.append(slop)
             if ids:
-                yield _rows(ids, names, places, sizes)
+                yield _rows(pa.array(ids, id_type), names, places, sizes)
 
     return run
 
 
 def _rows(ids, names, places, sizes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids), pa.array(names, pa.string()), pa.array(places, pa.int64()), pa.array(sizes, pa.int64())],
+        [ids, pa.array(names, pa.string()), pa.array(places, pa.int64()), pa.array(sizes, pa.int64())],
         names=["doc_id", "item_id", "word", "size"],
     )
 
 
+def _id_type(index: DataFrame) -> pa.DataType:
+    """Arrow type of doc_id: a segment's ids alone do not tell it, as all may be null."""
+    return to_arrow_type(index.schema["doc_ids"].dataType.elementType)
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
@@ -244,7 +250,7 @@ def _matches(index: DataFrame, items: DataFrame, window: int | None, query_bytes
     parts = []
     for block in _query_blocks(items, query_bytes):
         queries = Queries([(r["name"], r["text"]) for r in block.collect()], window)
-        parts.append(index.mapInArrow(rows(queries), schema))
+        parts.append(index.mapInArrow(rows(queries, _id_type(index)), schema))
     return _union(parts)
 
 
@@ -255,15 +261,15 @@ def phrase_matches(index: DataFrame, items: DataFrame, window: int | None = None
 
 def proximity_matches(index: DataFrame, items: DataFrame, slop: int, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """Places of an item's locally rarest word with all its other words within ``slop`` words: doc_id, item_id, word, size (the slop)."""
-    return _matches(index, items, None, query_bytes, lambda queries: _near_rows(queries, slop))
+    return _matches(index, items, None, query_bytes, lambda queries, id_type: _near_rows(queries, id_type, slop))
 
 
-def _judged(queries: Queries, hit_share: int):
+def _judged(queries: Queries, id_type: pa.DataType, hit_share: int):
     """Verdicts in one pass, so that a task needs one Python worker."""
-    return lambda batches: _verdicts(hit_share)(_hits(queries)(batches))
+    return lambda batches: _verdicts(hit_share)(_hits(queries, id_type)(batches))
 
 
-def _hits(queries: Queries):
+def _hits(queries: Queries, id_type: pa.DataType):
     """Per document: its words, the word spans hit (flat starts and ends) and the items that hit it."""
 
     def run(batches):
@@ -280,7 +286,7 @@ def _hits(queries: Queries):
             place = pa.StructArray.from_arrays([pa.array([row["segment"]] * n, pa.int64()), pa.array(range(n), pa.int32())], ["segment", "ordinal"])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(row["doc_ids"]), pa.array(segment.n_words), pa.array(spans, pa.list_(pa.int64())),
+                    pa.array(row["doc_ids"], id_type), pa.array(segment.n_words), pa.array(spans, pa.list_(pa.int64())),
                     pa.array([sorted(x) for x in names], pa.list_(pa.string())), place,
                 ],
                 names=["doc_id", "n_words", "spans", "items", "row"],
@@ -333,8 +339,8 @@ def contamination(
     query_blocks = _query_blocks(items, query_bytes)
     compiled = (Queries([(r["name"], r["text"]) for r in block.collect()], window) for block in query_blocks)
     if len(query_blocks) == 1:
-        return index.mapInArrow(_judged(next(compiled), hit_share), verdicts)
-    found = _union([index.mapInArrow(_hits(queries), hits) for queries in compiled]).groupBy("row").agg(
+        return index.mapInArrow(_judged(next(compiled), _id_type(index), hit_share), verdicts)
+    found = _union([index.mapInArrow(_hits(queries, _id_type(index)), hits) for queries in compiled]).groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"),
     )

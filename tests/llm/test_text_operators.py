@@ -243,3 +243,22 @@ def test_phrase_far_into_a_long_document(spark):
     items = spark.createDataFrame([("p", "some phrase here"), ("q", "phrase there")], "item_id string, text string")
     rows = phrase_matches(build_index(docs), items).collect()
     assert sorted((r["doc_id"], r["item_id"], r["word"]) for r in rows) == [(1, "p", 70_000), (2, "q", 1)]
+
+
+@pytest.mark.parametrize("kind", ["int", "long", "string"])
+@pytest.mark.parametrize("query_bytes", [8 << 20, 60])
+def test_long_document_with_null_id(spark, kind, query_bytes):
+    """The only document of its segment has a null id, and ids need not be bigints."""
+    phrase = " ".join(f"w{k}" for k in range(13))
+    rows = [(None, "word " * 80_000 + phrase), (4, phrase), (5, "nothing of it")]
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string").selectExpr(f"CAST(doc_id AS {kind}) AS doc_id", "text").coalesce(1))
+    items = spark.createDataFrame([("a", phrase), ("b", "other words " * 10)], "item_id string, text string")
+    index = build_index(docs)
+    found = contamination(index, items, query_bytes=query_bytes)
+    assert dict(found.dtypes)["doc_id"] == dict(docs.dtypes)["doc_id"]
+    four = "4" if kind == "string" else 4
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["contaminated"]) for r in found.collect()} == {
+        None: (80_013, 13, False), four: (13, 13, True), "5" if kind == "string" else 5: (3, 0, False),
+    }
+    for matches in (phrase_matches(index, items, 13, query_bytes), proximity_matches(index, items.filter("item_id = 'a'"), 13)):
+        assert {(r["doc_id"]) for r in matches.collect()} == {None, four}
