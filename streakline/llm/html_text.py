@@ -26,6 +26,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 #: Never page text.
 SKIPPED = RAW | frozenset("template svg math object audio video canvas select button option head datalist".split())
+#: Start tags that an open head may hold; any other one ends it, as text does.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup legend li main menu nav ol p pre search section summary table caption thead tbody tfoot tr td th ul hr".split()
@@ -112,8 +114,14 @@ def parse(page: str) -> list[Node]:
         if skip_from >= len(stack):
             skip_from = 0
 
+    def end_head() -> None:
+        while stack[-1][0] == "head":
+            pop_to(len(stack) - 1)
+
     def text(part: str) -> None:
         nonlocal linked
+        if stack[-1][0] == "head" and WHITE.sub("", part):
+            end_head()
         if part and not skip_from:
             part = html.unescape(part) if "&" in part else part
             run.append(part)
@@ -137,6 +145,7 @@ def parse(page: str) -> list[Node]:
         tag = tag.lower()
         if closing:
             if tag in ("html", "body", "br"):
+                end_head()
                 continue
             for height in range(len(stack) - 1, 0, -1):
                 if stack[height][0] == tag:
@@ -145,6 +154,8 @@ def parse(page: str) -> list[Node]:
                 if tag not in BLOCK and stack[height][0] in BLOCK:
                     break  # a stray inline end tag closes no block
             continue
+        if tag not in IN_HEAD:
+            end_head()
         if tag in VOID:
             if tag == "br":
                 text(" ")

@@ -236,3 +236,14 @@ def test_articles_of_the_table(spark, model):
         blocks = [html.unescape(re.sub("<br>", " ", re.sub("</?b>", "", b))) for b in re.split("</?p>|</?h1>", article)]
         blocks = [re.sub(r"[\x20\x09-\x0D]+", " ", b).strip(" ") for b in blocks]
         assert r["text"] == "\n\n".join(b for b in blocks if b)
+
+
+HEADS = ["<head><title>t</title>", "<head><meta charset=utf-8><style>p {}</style><script>x</script>", "<head><head><title>t</title>\n", "<head><template><p>no</p></template>"]
+
+
+@pytest.mark.parametrize("head", HEADS)
+@pytest.mark.parametrize("body", ["<body>", "", "</head><body>", "\n <body class=x>"])
+@pytest.mark.parametrize("article", ["<p>One.</p><p>Two.</p>", "One.<p>Two.", "<hr>One.<div>Two.</div>", "<b>One.</b><p>Two."])
+def test_head_without_end_tag(head, body, article):
+    page = f"<!doctype html><html>{head}{body}{article}"
+    assert [n.text for n in parse(page) if n.text is not None] == ["One.", "Two."]
