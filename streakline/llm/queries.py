@@ -15,10 +15,14 @@ from streakline.llm.packing import pack_documents
 from streakline.llm.resampling import importance_weights, resample
 from streakline.llm.simhash import simhash_components
 from streakline.llm.suffix_dedup import remove_repeats
-from streakline.llm.tables import short_batches
+from streakline.llm.tables import short_batches, stored
+from streakline.llm.token_counts import prefix_table, token_count
 from streakline.llm.warc import archive
 
 
+TOKEN_LIMIT = 2048
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return short_batches(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -76,6 +80,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(_read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+def op11_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = stored(prefix_table(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")), "prefix-counts", "zstd")
+    return table.select("doc_id", "n_bytes", token_count().alias("n_tokens"), (token_count() > TOKEN_LIMIT).alias("over_limit"))
+
+
 QUERIES = {
     "op1_resampling": op1_resampling,
     "op2_chat": op2_chat,
@@ -87,6 +96,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
+    "op11_prefix_tokens": op11_prefix_tokens,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
