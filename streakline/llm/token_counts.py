@@ -27,15 +27,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from streakline.llm.packing import _pretokens
+from streakline.llm.packing import KIND
 from streakline.llm.tables import free_name
-from streakline.llm.textblocks import LOWER, blocks
+from streakline.llm.textblocks import LOWER, WHITE, blocks, word_spans
 
 #: Most code points in one part of a text's table.
 PART = 1 << 16
 #: Distinct pieces and neighbour pairs a worker remembers; a full memory is emptied and filled anew.
-KEPT_PIECES = 600_000
+KEPT_PIECES = 300_000
 KEPT_PAIRS = 1_000_000
+#: Longest pre-token (bytes) that is solved together with others; a longer one is solved by itself.
+TOGETHER = 256
 
 _PARTS = pa.list_(pa.struct([("first", pa.int64()), ("before", pa.int64()), ("last", pa.int64()), ("low", pa.int64()), ("steps", pa.binary())]))
 _PARTS_SQL = "array<struct<first: bigint, before: bigint, last: bigint, low: bigint, steps: binary>>"
@@ -49,6 +51,28 @@ def _bytes_of_signs() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of the pieces that never share a pre-token, together all bytes but white space.
+
+    Words are cut between two ASCII signs of different kinds (letters, digits, others) and between digits, unless
+    an apostrophe (which takes up letters after it) or a bar (of a special token) occurs.  Other characters may change their neighbours, so nothing is cut beside them.
+    """
+    starts, ends, row = word_spans(data, offsets, ~WHITE)
+    if len(starts) == 0:
+        return starts, ends, row
+    kind, ascii_ = KIND[data], data < 0x80
+    whole = np.add.reduceat((data == 0x27) | (data == 0x7C), starts) > 0
+    cut = np.concatenate(([False], (kind[1:] != kind[:-1]) | (kind[1:] == 2)))
+    cut[1:] &= ascii_[1:] & ascii_[:-1] & (kind[1:] > 0) & (kind[:-1] > 0)
+    inner = np.flatnonzero(cut)
+    word = np.searchsorted(starts, inner, "right") - 1
+    first = np.zeros(len(data), bool)
+    first[starts] = first[inner[~whole[word] & (inner < ends[word])]] = True
+    begin = np.flatnonzero(first)
+    word = np.searchsorted(starts, begin, "right") - 1
+    return begin, np.minimum(np.append(begin[1:], len(data)), ends[word]), row[word]
+
+
 class PrefixCounter:
     """Counts at every prefix for a byte-level BPE vocabulary with an end-of-word mark and no other affixes."""
 
@@ -86,7 +110,7 @@ class PrefixCounter:
             x, y, made = vocab[a], vocab[b], vocab[a + b]
             self.merge[x, y] = r
             self.left[made], self.right[made], self.rank[made] = x, y, r
-        self.pairs: dict[int, bool] = {}
+        self.pairs, self.pair_apart = np.zeros(0, np.int64), np.zeros(0, bool)
         self.inner: dict[str, int] = {}
         self.final: dict[str, int] = {}
         specials = set(self.specials)
@@ -98,6 +122,19 @@ class PrefixCounter:
             if self._encodes_itself(token):
                 (self.final if ends else self.inner)["".join(chr(sign[c]) for c in body)] = token
         self.longest = max(map(len, (*self.inner, *self.final)))
+        # all tokens in one trie of bytes: edges (node * 256 + byte) in order, and what ends at each node
+        nodes, edges = {"": 0}, []
+        for text in sorted({*self.inner, *self.final}):
+            for k in range(len(text)):
+                if text[: k + 1] not in nodes:
+                    nodes[text[: k + 1]] = len(nodes)
+                    edges.append((nodes[text[:k]] * 256 + ord(text[k]), len(nodes) - 1))
+        edges.sort()
+        self.edge, self.edge_to = (np.array(e, np.int64) for e in zip(*edges))
+        self.node_inner, self.node_final = np.full(len(nodes), -1, np.int64), np.full(len(nodes), -1, np.int64)
+        for at, tokens in ((self.node_inner, self.inner), (self.node_final, self.final)):
+            for text, token in tokens.items():
+                at[nodes[text]] = token
 
     def _encodes_itself(self, token: int) -> bool:
         """Whether nothing is merged across the token's own seam before the merge that makes it."""
@@ -121,19 +158,67 @@ class PrefixCounter:
             x_gone, x = rank[x], self.right[x]
         return best
 
-    def _apart(self, a: int, b: int) -> bool:
-        key = a << 20 | b
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[key] = self._first_crossing(a, b) is None
-        return known
+    def _all_apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether no merge joins a[i] and b[i], for each i."""
+        asked, place = np.unique(a << 20 | b, return_inverse=True)
+        at = np.searchsorted(self.pairs, asked)
+        new = np.ones(len(asked), bool)
+        there = at < len(self.pairs)
+        new[there] = self.pairs[at[there]] != asked[there]
+        if new.any():
+            found = np.array([self._first_crossing(key >> 20, key & 0xFFFFF) is None for key in asked[new].tolist()])
+            if len(self.pairs) > KEPT_PAIRS:
+                self.pairs, self.pair_apart = asked[~new], self.pair_apart[at[~new]]
+                at = np.searchsorted(self.pairs, asked)
+            self.pairs, self.pair_apart = np.insert(self.pairs, at[new], asked[new]), np.insert(self.pair_apart, at[new], found)
+            at = np.searchsorted(self.pairs, asked)
+        return self.pair_apart[at][place]
+
+    def _runs(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Counts at every byte of many pre-tokens at once: all their first bytes, then all their second bytes, and so on."""
+        n = len(data)
+        place = np.arange(n) - np.repeat(offsets[:-1], np.diff(offsets))
+        room = np.repeat(offsets[1:], np.diff(offsets))
+        found = []  # (end, start, token) of every token in the text, with and without the end mark
+        start, node = np.arange(n), np.zeros(n, np.int64)
+        for m in range(self.longest):
+            key = node * 256 + data[start + m]
+            at = np.minimum(np.searchsorted(self.edge, key), len(self.edge) - 1)
+            alive = self.edge[at] == key
+            start, node = start[alive], self.edge_to[at[alive]]
+            found.append((start + m, start, self.node_inner[node], self.node_final[node]))
+            longer = start + m + 1 < room[start]
+            start, node = start[longer], node[longer]
+            if len(start) == 0:
+                break
+        end, start, inner, final = (np.concatenate(x) for x in zip(*found))
+        count, last, out = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for tokens in (inner, final):
+            is_token = np.flatnonzero(tokens >= 0)
+            is_token = is_token[np.argsort(place[end[is_token]], kind="stable")]
+            e, s, t = end[is_token], start[is_token], tokens[is_token]
+            first = place[s] == 0
+            if tokens is inner:  # one place after the other, since a last token needs those before it
+                bounds = np.searchsorted(place[e], np.arange(place.max() + 2)) if n else np.zeros(1, np.int64)
+                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                    fits = first[a:b].copy()
+                    more = np.flatnonzero(~fits)
+                    fits[more] = self._all_apart(last[s[a:b][more] - 1], t[a:b][more])
+                    ok_e, ok_s = e[a:b][fits], s[a:b][fits]
+                    count[ok_e] = np.where(first[a:b][fits], 0, count[ok_s - 1]) + 1
+                    last[ok_e] = t[a:b][fits]
+            else:
+                fits = first.copy()
+                more = np.flatnonzero(~fits)
+                fits[more] = self._all_apart(last[s[more] - 1], t[more])
+                out[e[fits]] = np.where(first[fits], 0, count[s[fits] - 1]) + 1
+        return out
 
     def _run(self, text: str) -> list[int]:
         """Counts at every prefix (1 .. n symbols) of one pre-token, whose UTF-8 bytes are the characters of ``text``."""
         count, last, out = [0], [-1], []
-        inner, final, apart = self.inner, self.final, self._apart
+        inner, final = self.inner, self.final
+        apart = lambda a, b: self._first_crossing(a, b) is None
         for j in range(1, len(text) + 1):
             ended = here = None
             for i in range(j - 1, max(-1, j - 1 - self.longest), -1):
@@ -214,20 +299,41 @@ class PrefixCounter:
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.begin, self.size, self.pool, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 20, np.int32), 0
-
-    def _learn(self, piece: bytes) -> int:
-        found = self.counts(piece.decode())
-        number, n = len(self.known), len(found)
-        if number == len(self.size):
-            self.begin, self.size = np.resize(self.begin, 2 * number), np.resize(self.size, 2 * number)
-        if self.used + n > len(self.pool):
-            self.pool = np.resize(self.pool, max(2 * len(self.pool), self.used + n))
-        self.pool[self.used : self.used + n] = found
-        self.begin[number], self.size[number] = self.used, n
-        self.used += n
-        self.known[piece] = number
-        return number
+        self.begin, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _plain(self, piece: bytes) -> bytes | None:
+        """The normalised bytes of a piece that is a single pre-token of characters that leave each other alone, as many as it has; else None."""
+        if len(piece) > TOGETHER:
+            return None
+        if piece.isascii():
+            return None if b"'" in piece or b"|" in piece else piece.lower()
+        signs = [self._simple(c) for c in piece.decode()]
+        if None in signs or not (plain := "".join(signs)).isalpha():
+            return None
+        return plain.encode()
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Solve ``new`` pieces and add them to the memory, in order."""
+        plain = [self._plain(p) for p in new]
+        together = [p for p in plain if p is not None]
+        sizes = np.fromiter(map(len, together), np.int64, len(together))
+        data = np.frombuffer(b"".join(together), np.uint8)
+        counts = self._runs(data, np.concatenate(([0], np.cumsum(sizes)))) if len(data) else np.zeros(0, np.int64)
+        last_byte = np.append((data[1:] & 0xC0) != 0x80, True)[: len(data)]  # of a character
+        solved = counts[last_byte]
+        shared = np.array([p is not None for p in plain], bool)
+        alone = [self.counts(p.decode()) for p, together_ in zip(new, shared) if not together_]
+        size = np.zeros(len(new), np.int64)
+        if len(data):
+            size[shared] = np.add.reduceat(last_byte, np.cumsum(sizes) - sizes, dtype=np.int64)
+        size[~shared] = [len(c) for c in alone]
+        begin = np.zeros(len(new), np.int64)
+        begin[shared] = np.cumsum(size[shared]) - size[shared]
+        begin[~shared] = len(solved) + np.cumsum(size[~shared]) - size[~shared]
+        self.begin = np.concatenate((self.begin, begin + len(self.pool)))
+        self.size = np.concatenate((self.size, size))
+        self.pool = np.concatenate((self.pool, solved.astype(np.int32), *(np.array(c, np.int32) for c in alone)))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
 
     @staticmethod
     def _occurs(data: np.ndarray, text: str) -> bool:
@@ -237,16 +343,13 @@ class PrefixCounter:
         """The count at every code point of a block's rows, one row after the other, and the rows' bounds in it."""
         if not any(self._occurs(data, s) for s in self.specials):  # special tokens are the only strings that depend on case
             data = LOWER[data]
-        starts, ends, row = _pretokens(data, offsets)
+        starts, ends, row = pieces(data, offsets)
         head = (data & 0xC0) != 0x80
         bounds = np.concatenate(([0], np.cumsum(head)))[offsets]
         if len(starts) == 0:
             return np.zeros(bounds[-1], np.int64), bounds
         lengths = ends - starts
-        word_byte = np.zeros(len(data) + 1, np.int8)  # pieces never overlap and together are all bytes but white space
-        np.add.at(word_byte, starts, 1)
-        np.add.at(word_byte, ends, -1)
-        word_byte = np.cumsum(word_byte[:-1]) > 0
+        word_byte = ~WHITE[data]
         ids = pa.Array.from_buffers(
             pa.binary(), len(starts),
             [None, pa.py_buffer(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[word_byte]))],
@@ -254,8 +357,10 @@ class PrefixCounter:
         distinct = ids.dictionary.to_pylist()
         if len(self.known) + len(distinct) > KEPT_PIECES:
             self._forget()
-        known, learn = self.known, self._learn
-        numbers = np.fromiter((known[p] if p in known else learn(p) for p in distinct), np.int64, len(distinct))
+        known = self.known
+        if new := [p for p in distinct if p not in known]:
+            self._learn(new)
+        numbers = np.fromiter((known[p] for p in distinct), np.int64, len(distinct))
         number = numbers[ids.indices.to_numpy()]
         size, begin = self.size[number], self.begin[number]
         total = self.pool[begin + size - 1].astype(np.int64)

@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import streakline.llm.token_counts as token_counts
 from streakline.llm.queries import op11_prefix_tokens
 from streakline.llm.token_counts import PART, PrefixCounter, _counts_of, _parts, count_at, longest_prefix, prefix_table, token_count
 
@@ -49,6 +50,22 @@ def test_counts_of_joined_vocabulary(tokenizer):
         assert [0, *counter.counts(text)] == brute(tokenizer, text), repr(text)
 
 
+def test_blocks_of_texts(tokenizer, monkeypatch):
+    """Pieces are solved together, and remembered: small memories and short pre-tokens give the same counts."""
+    rnd = random.Random(8)
+    ascii_ = "".join(map(chr, range(128)))
+    for kept, pairs, together in ((300_000, 1_000_000, 256), (40, 300, 5)):
+        for name, value in (("KEPT_PIECES", kept), ("KEPT_PAIRS", pairs), ("TOGETHER", together)):
+            monkeypatch.setattr(token_counts, name, value)
+        counter = PrefixCounter(VOCABULARY)
+        for _ in range(12):
+            texts = [random_text(rnd, 30) for _ in range(40)] + ["".join(rnd.choice(ascii_) for _ in range(rnd.randint(0, 30))) for _ in range(40)]
+            raw = [t.encode() for t in texts]
+            counts, bounds = counter.block(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))))
+            for k, text in enumerate(texts):
+                assert [0, *counts[bounds[k] : bounds[k + 1]].tolist()] == brute(tokenizer, text), repr(text)
+
+
 def test_parts_hold_any_step():
     counts = np.array([1, 2, 3, 400, 401, 100, 101, 5, 5, 1000])
     bounds = np.array([0, 0, 7, 7, 9, 10, 10])
