@@ -12,6 +12,8 @@ from streakline.llm.decontaminate import build_index, contamination
 from streakline.llm.exact_dedup import exact_groups
 from streakline.llm.html_text import extract
 from streakline.llm.packing import pack_documents
+from streakline.llm.prefix_trie import ordered_turns, prefix_trie, with_shared_starts
+from streakline.llm.ranked_search import ranked_search
 from streakline.llm.resampling import importance_weights, resample
 from streakline.llm.simhash import simhash_components
 from streakline.llm.suffix_dedup import remove_repeats
@@ -85,6 +87,15 @@ def op11_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("doc_id", "n_bytes", token_count().alias("n_tokens"), (token_count() > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, members = with_shared_starts(ordered_turns(_read(spark, sf_dir, "conversations")))
+    return prefix_trie(stored(turns, "rebuilt"), members)
+
+
 QUERIES = {
     "op1_resampling": op1_resampling,
     "op2_chat": op2_chat,
@@ -97,10 +108,13 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
     "op11_prefix_tokens": op11_prefix_tokens,
+    "op12_dual_tree_search": op12_dual_tree_search,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 ORACLE_SQL = {
     # a turn is <s>[INST]role[/INST]text</s> and a line feed: 21 characters, and one more for each < and [ in role and text
@@ -158,4 +172,57 @@ ORACLE_SQL = {
                CASE WHEN page_id = largest THEN NULL ELSE largest END AS refers_to, url
         FROM p
     """,
+    "op12_dual_tree_search": rf"""
+        WITH d AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+        n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+        total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+        q AS (SELECT item_id, term, count(*) AS repeats FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+        w AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tf, total WHERE term IN (SELECT term FROM q) GROUP BY term
+        ),
+        worth AS (
+            SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))) AS worth
+            FROM tf JOIN w USING (term) JOIN n USING (doc_id), total
+        ),
+        scores AS (SELECT item_id, doc_id, CAST(sum(repeats * worth) AS BIGINT) AS score FROM q JOIN worth USING (term) GROUP BY ALL),
+        ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+            FROM scores WHERE score > 0
+        )
+        SELECT * FROM ranked WHERE rank <= 10
+    """,
+    # a node is a list of (role, text); crc32 of the decimal conv_id, bit by bit
+    "op13_prefix_trie": r"""
+        WITH own AS (
+            SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns,
+                   xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+                       lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 AS h
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ),
+        built AS (
+            SELECT own.c, list_concat(coalesce(base.turns, [])[:own.h], own.turns[own.h + 1:]) AS turns
+            FROM own LEFT JOIN own AS base ON base.c = own.c - own.c % 100
+        ),
+        starts AS (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS depth FROM built),
+        nodes AS (
+            SELECT depth, turns[:depth] AS path, min(c) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(turns) = depth), '')) AS ends_sha256
+            FROM starts GROUP BY ALL
+        ),
+        children AS (SELECT depth - 1 AS depth, path[:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+        known AS (
+            SELECT nodes.*, coalesce(n_children, 0) AS n_children, parent.conv_id AS parent_conv_id,
+                   CASE WHEN nodes.depth > 0 THEN (nodes.n_convs - 1) * length(nodes.path[nodes.depth].t) ELSE 0 END AS saves
+            FROM nodes LEFT JOIN children USING (depth, path)
+            LEFT JOIN (SELECT depth + 1 AS depth, path AS above, conv_id FROM nodes) AS parent ON parent.depth = nodes.depth AND parent.above = nodes.path[:nodes.depth - 1]
+        ),
+        below AS (
+            SELECT up AS depth, path[:up] AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(saves) AS BIGINT) AS saved_tokens
+            FROM (SELECT path, n_children, saves, unnest(range(0, depth + 1)) AS up FROM known) GROUP BY ALL
+        )
+        SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+        FROM known JOIN below USING (depth, path)
+    """,
 }

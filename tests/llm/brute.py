@@ -154,3 +154,58 @@ def backoff(docs, order: int, alpha: float, leave_one_out: bool):
                 score += (context + 1) * math.log(alpha) - math.log(rest)
         out[i] = (len(w), score)
     return out
+
+
+def ranked(docs, items, k=10):
+    """[(item_id, rank, doc_id, score)] by scoring every document for every item."""
+    terms = {}
+    for i, (doc_id, text) in enumerate(docs):
+        terms[i] = Counter(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower(text)))
+    n = sum(1 for t in terms.values() if t)
+    total = sum(sum(t.values()) for t in terms.values())
+    df = Counter(t for words in terms.values() for t in words)
+    out = []
+    for item_id, text in items:
+        words = Counter(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower(text)))
+        scores = []
+        for i, (doc_id, _) in enumerate(docs):
+            score = 0
+            for t, repeats in words.items():
+                if tf := terms[i][t]:
+                    m = 100 - 75 + (75 * sum(terms[i].values()) * n) // total
+                    score += repeats * math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * ((1000000000 * tf) // (1000 * tf + 8 * m))
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id or 0))
+        out += [(item_id, r + 1, None if null else d, -s) for r, (s, null, d) in enumerate(sorted(scores)[:k])]
+    return out
+
+
+def shared_starts(rows, every=100, most=6):
+    """{conv_id: [(role, text)]} of conversations rebuilt on the starts of others."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append(((turn is not None, turn or 0), role or "", text or ""))
+    own = {c: [(r, t) for _, r, t in sorted(v)] for c, v in own.items()}
+    built = {}
+    for c, v in own.items():
+        h = zlib.crc32(str(c).encode()) % most
+        built[c] = tuple(own.get(c - int(math.fmod(c, every)), [])[:h] + v[h:])
+    return built
+
+
+def trie(built):
+    """[(conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256)]"""
+    nodes = defaultdict(list)
+    for c in sorted(built):
+        for d in range(len(built[c]) + 1):
+            nodes[built[c][:d]].append(c)
+    children, leaves, saved = Counter(p[:-1] for p in nodes if p), Counter(), Counter()
+    for p, m in nodes.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += children[p] == 0
+            saved[p[:d]] += (len(m) - 1) * len(p[-1][1]) if p else 0
+    return [
+        (m[0], len(p), nodes[p[:-1]][0] if p else None, len(m), children[p], leaves[p], saved[p], sha(",".join(str(c) for c in m if len(built[c]) == len(p))))
+        for p, m in nodes.items()
+    ]
