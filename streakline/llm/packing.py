@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streakline.llm.tables import small_side, stored
-from streakline.llm.textblocks import LOWER, WHITE, blocks, word_hashes, word_spans
+from streakline.llm.textblocks import LOWER, WHITE, blocks, column_bytes, word_hashes, word_spans
 
 CAPACITY = 2048
 END_ID = 0
@@ -91,44 +91,83 @@ class WordIds:
         self.start = np.zeros(0, np.int32)
         self.size = np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint32)
+        self.at = np.zeros(0, np.int32)  # of a word's bytes
+        self.length = np.zeros(0, np.int32)
+        self.bytes = np.zeros(0, np.uint8)
 
-    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        sizes, pools = [], [self.pool]
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of the encoded words, one after the other."""
+        sizes, pools = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
         for k in range(0, len(words), ENCODED_WORDS):
             found = [e.ids for e in self.tokenizer.encode_batch_fast(words[k : k + ENCODED_WORDS], add_special_tokens=False)]
             sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
             pools.append(np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
-        size = np.concatenate(sizes)
+        return np.concatenate(sizes), np.concatenate(pools)
+
+    def _learn(self, keys: np.ndarray, data: np.ndarray, bounds: np.ndarray, which: np.ndarray) -> None:
+        raw, spans = data.tobytes(), list(zip(bounds[which].tolist(), bounds[which + 1].tolist()))
+        size, pool = self._encode([raw[a:b].decode() for a, b in spans])
         start = len(self.pool) + np.cumsum(size) - size
-        self.pool = np.concatenate(pools)
+        length = bounds[which + 1] - bounds[which]
+        byte_at = len(self.bytes) + np.cumsum(length) - length
+        self.pool = np.concatenate((self.pool, pool))
+        self.bytes = np.concatenate((self.bytes, np.frombuffer(b"".join(raw[a:b] for a, b in spans), np.uint8)))
+        order = np.argsort(keys)
+        at = np.searchsorted(self.key, keys[order])
+        for name, values in (("key", keys), ("start", start), ("size", size), ("at", byte_at), ("length", length)):
+            old = getattr(self, name)
+            setattr(self, name, np.insert(old, at, values[order].astype(old.dtype)))
+
+    def _ids_of(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pool, start, size) of the ids of distinct words, whose bytes stand one after the other.
+
+        Words are remembered by a hash, and compared by their bytes: should two share one, the words are encoded as they are.
+        """
+        keys = word_hashes(data, bounds[:-1], bounds[1:])
+        alone = len(np.unique(keys)) == len(keys)
+        if alone:
+            at, new = self._find(keys)
+            if len(self.key) + new.sum() > KEPT_WORDS:
+                self._empty()
+                at, new = self._find(keys)
+            if new.any():
+                self._learn(keys[new], data, bounds, np.flatnonzero(new))
+                at, _ = self._find(keys)
+            length = np.diff(bounds)
+            if (self.length[at] == length).all():
+                source = np.repeat(self.at[at] - bounds[:-1], length) + np.arange(bounds[-1])
+                if (self.bytes[source] == data).all():
+                    return self.pool, self.start[at], self.size[at]
+        raw = data.tobytes()
+        size, pool = self._encode([raw[a:b].decode() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())])
+        return pool, np.cumsum(size) - size, size
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of keys in the store, and which of them are new."""
         at = np.searchsorted(self.key, keys)
-        self.key, self.start, self.size = np.insert(self.key, at, keys), np.insert(self.start, at, start.astype(np.int32)), np.insert(self.size, at, size.astype(np.int32))
+        new = np.ones(len(keys), bool)
+        there = at < len(self.key)
+        new[there] = self.key[at[there]] != keys[there]
+        return at, new
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after the other, each row closed by END_ID, and the offset of each row."""
         n_rows = len(offsets) - 1
-        raw = data.tobytes()
-        if b"<|" not in raw:  # special tokens are the only strings that depend on case
+        if b"<|" not in data.tobytes():  # special tokens are the only strings that depend on case
             data = LOWER[data]
-            raw = data.tobytes()
         starts, ends, row = _pretokens(data, offsets)
-        keys, first, word = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.key, keys)
-        new = np.ones(len(keys), bool)
-        new[at < len(self.key)] = self.key[at[at < len(self.key)]] != keys[at < len(self.key)]
-        if len(self.key) + new.sum() > KEPT_WORDS:
-            self._empty()
-            new[:] = True
-        if new.any():
-            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
-            self._learn(keys[new], [raw[a:b].decode() for a, b in spans])
-            at = np.searchsorted(self.key, keys)
-        size = self.size[at][word].astype(np.int64)
-        source = np.repeat(self.start[at][word] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        words = pa.Array.from_buffers(
+            pa.binary(), len(starts),
+            [None, pa.py_buffer(np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[~WHITE[data]]))],
+        ).dictionary_encode()
+        distinct, word = words.dictionary, words.indices.to_numpy()
+        pool, start, size = self._ids_of(*column_bytes(distinct)) if len(distinct) else (np.zeros(0, np.uint32), *np.zeros((2, 0), np.int64))
+        size, start = size[word].astype(np.int64), start[word]
+        source = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
         per_row = np.bincount(row, size, n_rows).astype(np.int64) + 1
         bounds = np.concatenate(([0], np.cumsum(per_row)))
         ids = np.full(bounds[-1], END_ID, np.uint32)
-        ids[np.arange(len(source)) + np.repeat(row, size)] = self.pool[source]
+        ids[np.arange(len(source)) + np.repeat(row, size)] = pool[source]
         return ids, bounds
 
 

@@ -9,6 +9,7 @@ single row longer than the bound is a block of its own.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 19
 
-#: Odd base of the word and window hashes (arithmetic modulo 2**64).
+#: Makes the points at which the word and window hashes are taken.
 BASE = 0x9E3779B97F4A7C15
 
 WHITE = np.zeros(256, bool)
@@ -83,11 +84,25 @@ def one_space(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return out, position[offsets]
 
 
+#: Prime modulus of the span hashes.
+PRIME = (1 << 31) - 1
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(1, np.uint32)
+    while len(out) < n:
+        out = np.concatenate((out, (out * np.uint64(pow(base, len(out), PRIME)) % np.uint64(PRIME)).astype(np.uint32)))
+    return out[:n]
+
+
+@lru_cache(maxsize=16)
+def _kept_powers(base: int, n: int) -> np.ndarray:
+    return _powers(base, n)
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """``base ** 0 .. base ** (n - 1)`` modulo 2**64."""
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)[:n] if n else out[:0]
+    """``base ** 0 .. base ** (n - 1)`` modulo PRIME; those for blocks of the usual sizes are kept."""
+    return (_kept_powers if n <= 1 << 21 else _powers)(base, n)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -100,16 +115,26 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class SpanHash:
-    """Hashes of arbitrary spans of one byte array from prefix sums: ``sum((byte + 1) * base**i)`` shifted to start 0."""
+    """Hashes of arbitrary spans of one byte array from prefix sums: ``sum((byte + 1) * base**i)`` shifted to start 0.
+
+    Two points of the polynomial modulo a prime make 62 bits.  (Modulo a power of two, some texts would collide whatever the base.)
+    """
 
     def __init__(self, data: np.ndarray, base: int = BASE):
-        power = powers(base, len(data))
-        self.prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power)))
-        self.inverse = powers(pow(base, -1, 1 << 64), len(data) + 1)
+        n = 1 << max(10, len(data).bit_length())  # few sizes, so that the powers are kept
+        value = data.astype(np.uint64) + np.uint64(1)
+        self.sums = []
+        for point in (base % PRIME, (base >> 31) % PRIME):
+            prefix = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(value * powers(point, n)[: len(data)] % np.uint64(PRIME), out=prefix[1:])
+            self.sums.append((prefix, powers(pow(point, -1, PRIME), n)))
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-        raw = (self.prefix[ends] - self.prefix[starts]) * self.inverse[starts]
-        return mix(raw ^ mix(np.asarray(ends - starts, np.uint64) + np.uint64(seed)))
+        both = np.zeros(len(starts), np.uint64)
+        for prefix, inverse in self.sums:
+            raw = (prefix[ends] - prefix[starts]) % np.uint64(PRIME) * inverse[starts] % np.uint64(PRIME)
+            both = (both << np.uint64(31)) | raw
+        return mix(both ^ mix(np.asarray(ends - starts, np.uint64) + np.uint64(seed)))
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
