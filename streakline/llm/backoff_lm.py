@@ -1,6 +1,6 @@
 """Stupid-backoff scores of documents under the corpus, computed as joins with n-gram count tables.
 
-Documents are stored once with the number of their block, so that every later scan
+Documents are stored once as compressed parts of blocks, so that every later scan
 finds the same blocks; one that a scan cuts in two is put together again.  Each block explodes into its distinct n-grams of
 every order, pre-aggregated and partitioned by hash into buckets.  A bucket adds
 up the counts of its n-grams over all blocks -- its share of the count table --
@@ -20,7 +20,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -33,7 +32,8 @@ ALPHA = 0.4
 #: Bytes of text per block, and of the corpus per bucket of the count tables.
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
-#: Bits of an n-gram's hash within its bucket.
+#: Bits of an n-gram's hash within its bucket, which holds about a million n-grams of an order: at any size of the
+#: corpus about one in two million shares its key, and so its count, with another.
 KEY_BITS = 40
 
 
@@ -55,22 +55,41 @@ class Block:
         return last, (bucket << np.uint64(KEY_BITS)) | (key >> np.uint64(64 - KEY_BITS))
 
 
-def _blocks(batches) -> Iterator[Block]:
-    """Blocks, or the parts of them that a task meets, out of rows (block, text)."""
-    counts, words, now = [], [], None
-    for rows, data, offsets in blocks(batches, "text"):
+def _pack(rows: pa.RecordBatch) -> bytes:
+    """Rows as one compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(part: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(part).read_next_batch()
+
+
+def _hashed(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Number of words of each row (doc_id, text), and the hashes of all of them."""
+    counts, words = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for part, data, offsets in blocks([rows], "text"):
         low = LOWER[data]
         starts, ends, row = word_spans(low, offsets, ~WHITE)
-        hashes, n_words, bounds = word_hashes(low, starts, ends), np.bincount(row, minlength=rows.num_rows), row_bounds(row, rows.num_rows)
-        names = rows.column(0).to_numpy()
-        edge = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), rows.num_rows]
-        for a, b in zip(edge[:-1], edge[1:]):
-            if now != names[a]:
+        counts.append(np.bincount(row, minlength=part.num_rows))
+        words.append(word_hashes(low, starts, ends))
+    return np.concatenate(counts), np.concatenate(words)
+
+
+def _blocks(batches) -> Iterator[Block]:
+    """Blocks, or the parts of them that a task meets, out of rows (block, rows)."""
+    counts, words, now = [], [], None
+    for batch in batches:
+        for name, part in zip(*(c.to_pylist() for c in batch.columns)):
+            if now != name:
                 if counts:
                     yield Block(now, [], np.concatenate(counts), np.concatenate(words))
-                counts, words, now = [], [], int(names[a])
-            counts.append(n_words[a:b])
-            words.append(hashes[bounds[a] : bounds[b]])
+                counts, words, now = [], [], name
+            n, hashes = _hashed(_unpack(part))
+            counts.append(n)
+            words.append(hashes)
     if counts:
         yield Block(now, [], np.concatenate(counts), np.concatenate(words))
 
@@ -99,12 +118,6 @@ def unpack_counts(packed: bytes) -> np.ndarray:
     return counts
 
 
-def _sizes(batches):
-    for _, data, offsets in blocks(batches, "text"):
-        starts, _, _ = word_spans(data, offsets, ~WHITE)
-        yield pa.RecordBatch.from_arrays([pa.array([len(data)], pa.int64()), pa.array([len(starts)], pa.int64())], names=["bytes", "words"])
-
-
 def _asked(order: int, n_buckets: int):
     """Distinct n-grams of each block with their counts, a row for each order and bucket."""
 
@@ -152,7 +165,7 @@ def _answered(batches):
                 pa.array(list(parts), pa.int64()), pa.array([order] * len(parts), pa.int32()), pa.array([bucket] * len(parts), pa.int32()),
                 pa.array(answers, pa.binary()),
             ],
-            names=["block", "order", "bucket", "counts"],
+            names=["block", "order", "bucket", "packed"],
         )
 
     now, held = None, []
@@ -200,56 +213,50 @@ def _scores(block: Block, count: dict[int, np.ndarray], order: int, n_buckets: i
 def _summed(id_type: pa.DataType, order: int, n_buckets: int, total: int, alpha: float, leave_one_out: bool):
     """Rows of a block -- counts by order and bucket, then documents -- to a score for each document."""
 
-    def settle(block, counts, documents):
-        rows = pa.Table.from_batches(documents).combine_chunks().to_batches()[0]
-        count = {n: np.concatenate([unpack_counts(c) for _, c in sorted(parts)]) for n, parts in counts.items()}
-        ids, n_words, words = [], [], []
-        for part, data, offsets in blocks([rows], "text"):
-            low = LOWER[data]
-            starts, ends, row = word_spans(low, offsets, ~WHITE)
-            n_words.append(np.bincount(row, minlength=part.num_rows))
-            words.append(word_hashes(low, starts, ends))
-        whole = Block(block, ids, np.concatenate(n_words), np.concatenate(words))
+    def settle(block, counts, parts):
+        count = {n: np.concatenate([unpack_counts(c) for _, c in sorted(found)]) for n, found in counts.items()}
+        rows = pa.Table.from_batches([_unpack(p) for p in parts]).combine_chunks().to_batches()[0]
+        whole = Block(block, [], *_hashed(rows))
         for n in range(1, order + 1):
             count.setdefault(n, np.zeros(0, np.int64))
         score = _scores(whole, count, order, n_buckets, total, alpha, leave_one_out)
         return pa.RecordBatch.from_arrays([rows.column(0).cast(id_type), pa.array(whole.n_words), pa.array(score)], names=["doc_id", "n_words", "log_score"])
 
     def run(batches):
-        now, counts, documents = None, {}, []
+        now, counts, parts = None, {}, []
         for batch in batches:
-            names = batch.column(0).to_pylist()
-            edge = 0
-            for k in range(1, len(names) + 1):
-                if k < len(names) and names[k] == names[edge]:
-                    continue
-                if now != names[edge]:
-                    if documents:
-                        yield settle(now, counts, documents)
-                    now, counts, documents = names[edge], {}, []
-                part = batch.slice(edge, k - edge)
-                answers = part.filter(pc.greater(part.column(1), 0))
-                for n, bucket, c in zip(*(answers.column(i).to_pylist() for i in (1, 2, 3))):
-                    counts.setdefault(n, []).append((bucket, c))
-                own = part.filter(pc.equal(part.column(1), 0))
-                if own.num_rows:
-                    documents.append(own.select(["doc_id", "text"]))
-                edge = k
-        if documents:
-            yield settle(now, counts, documents)
+            for block, n, bucket, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                if now != block:
+                    if parts:
+                        yield settle(now, counts, parts)
+                    now, counts, parts = block, {}, []
+                if n:
+                    counts.setdefault(n, []).append((bucket, packed))
+                else:
+                    parts.append(packed)
+        if parts:
+            yield settle(now, counts, parts)
 
     return run
 
 
 def _named(batches):
-    """The documents with their blocks of about BLOCK_BYTES; a block is named by its first row."""
-    first, size = None, 0
-    for rows, data, _ in blocks(batches, "text"):
-        first = rows.column(0)[0].as_py() if first is None else first
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(rows.num_rows, first, np.int64)), *rows.columns], names=["block", "row_id", "doc_id", "text"])
+    """The documents in compressed parts of blocks of about BLOCK_BYTES; a block is named by its first row."""
+    name, size = None, 0
+    for rows, data, offsets in blocks(batches, "text"):
+        first = rows.column(0)[0].as_py()
+        name = first if name is None else name
+        starts, _, _ = word_spans(data, offsets, ~WHITE)
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(pa.array([x], pa.int64()) for x in (name, first, len(data), len(starts))),
+                pa.array([_pack(pa.RecordBatch.from_arrays(rows.columns[1:], names=["doc_id", "text"]))], pa.binary()),
+            ],
+            names=["block", "first", "bytes", "words", "rows"],
+        )
         size += len(data)
         if size >= BLOCK_BYTES:
-            first, size = None, 0
+            name, size = None, 0
 
 
 def backoff_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, leave_one_out: bool = True) -> DataFrame:
@@ -260,25 +267,25 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, le
     step back costs a factor ``alpha``, and a word that the rest of the corpus
     does not have counts as one occurrence a step below single words.  Null and
     empty texts have no words, score 0 and no mean.  ``docs`` is read
-    once, and stored with its blocks.
+    once, and stored in blocks.  N-grams are told apart by hashes (see KEY_BITS).
+    A row of the shuffles holds a block's n-grams of one bucket; however many blocks and buckets there are, rows are never more than n-grams.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", F.col("text").cast("string").alias("text"))
     id_type = dict(rows.dtypes)["doc_id"]
-    named = stored(rows.mapInArrow(_named, f"block long, row_id long, doc_id {id_type}, text string"), "blocks", "zstd")
-    size, total = named.select("text").mapInArrow(_sizes, "bytes long, words long").agg(F.sum("bytes"), F.sum("words")).first()
+    # the parts are compressed already
+    named = stored(rows.mapInArrow(_named, "block long, first long, bytes long, words long, rows binary"), "blocks", "uncompressed")
+    size, total = named.agg(F.sum("bytes"), F.sum("words")).first()
     n_buckets = max(16, math.ceil((size or 0) / BUCKET_BYTES))
     # a bucket's n-grams and a block's documents come from about as many bytes of text, so tasks stay as they are however large the corpus
     parts = partitions_for(docs.sparkSession, n_buckets, 1)
     answers = (
-        named.select("block", "text").mapInArrow(_asked(order, n_buckets), "bucket int, order int, block long, keys binary, counts binary")
+        named.select("block", "rows").mapInArrow(_asked(order, n_buckets), "bucket int, order int, block long, keys binary, counts binary")
         .repartition(parts, "bucket").sortWithinPartitions("bucket", "order")
-        .mapInArrow(_answered, "block long, order int, bucket int, counts binary")
+        .mapInArrow(_answered, "block long, order int, bucket int, packed binary")
     )
-    both = answers.select(
-        "block", "order", "bucket", "counts", F.lit(None).cast("long").alias("row_id"), F.lit(None).cast(id_type).alias("doc_id"), F.lit(None).cast("string").alias("text")
-    ).union(named.select("block", F.lit(0), F.lit(0), F.lit(None).cast("binary"), "row_id", "doc_id", "text"))
+    both = answers.withColumn("first", F.lit(-1).cast("long")).union(named.select("block", F.lit(0), F.lit(0), "rows", "first"))
     scored = (
-        both.repartition(parts, "block").sortWithinPartitions("block", "row_id")
+        both.repartition(parts, "block").sortWithinPartitions("block", "first").drop("first")
         .mapInArrow(
             _summed(to_arrow_type(rows.schema["doc_id"].dataType), order, n_buckets, total or 0, alpha, leave_one_out),
             f"doc_id {id_type}, n_words long, log_score double",

@@ -106,7 +106,8 @@ def test_backoff_of_rows_in_changing_order(spark, monkeypatch, block):
 def test_backoff_of_blocks_cut_by_scans():
     """A block whose rows two tasks read: its parts' n-grams are answered together."""
     rows = [(7, "a b c a b"), (7, "b c d"), (7, "c a b c"), (9, "a b")]
-    batch = lambda part: pa.RecordBatch.from_arrays([pa.array([r[0] for r in part]), pa.array([r[1] for r in part])], names=["block", "text"])
+    packed = lambda text: lm._pack(pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["doc_id", "text"]))
+    batch = lambda part: pa.RecordBatch.from_arrays([pa.array([r[0] for r in part]), pa.array([packed(r[1]) for r in part])], names=["block", "rows"])
     answers = []
     for cuts in ([rows], [rows[:1], rows[1:2], rows[2:]]):
         asked = [r for part in cuts for b in lm._asked(3, 2)([batch(part)]) for r in b.to_pylist()]
