@@ -113,7 +113,7 @@ def test_backoff_of_blocks_cut_by_scans():
         asked = [r for part in cuts for b in lm._asked(3, 2)([batch(part)]) for r in b.to_pylist()]
         asked.sort(key=lambda r: (r["bucket"], r["order"]))
         table = pa.Table.from_pylist(asked, pa.schema([("bucket", pa.int32()), ("order", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]))
-        answers.append(sorted((r["bucket"], r["order"], r["block"], lm.unpack_counts(r["counts"]).tolist()) for b in lm._answered(table.to_batches()) for r in b.to_pylist()))
+        answers.append(sorted((r["bucket"], r["order"], r["block"], lm.unpack_counts(r["packed"]).tolist()) for b in lm._answered(table.to_batches()) for r in b.to_pylist()))
     assert answers[0] == answers[1]
 
 
