@@ -49,3 +49,30 @@ def split_valid(
     good = parsed.filter(ok).select(*GOOD_COLUMNS)
     bad = parsed.filter(~ok).select("value").distinct()
     return good, bad
+
+
+#: Largest stored size of the left side for which the right one is filtered by it before it is shuffled.
+PREFILTER_BYTES = 24 << 20
+
+
+def except_distinct(left: DataFrame, right: DataFrame, *, prefilter_bytes: int = PREFILTER_BYTES) -> DataFrame:
+    """Distinct rows of ``left`` that ``right`` does not have, by all columns in order; nulls are equal to nulls.
+
+    Both sides are de-duplicated where they stand before anything is shuffled, so a value that
+    makes up a third of a side is one row per task.  The distinct left rows are stored; while their stored size is
+    under ``prefilter_bytes``, right rows that none of them can match (by a hash of the row) never reach the shuffle.
+    """
+    from .segments import stored_table
+
+    if len(left.columns) != len(right.columns):
+        raise ValueError("both sides need as many columns")
+    names = left.columns
+    right = right.toDF(*names)
+    asked = stored_table(left.distinct(), "except")
+    hashed = F.xxhash64(*names)
+    size = asked._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) <= prefilter_bytes:
+        keys = asked.select(hashed.alias("_sl_hash")).distinct()
+        right = right.withColumn("_sl_hash", hashed).join(F.broadcast(keys), "_sl_hash", "left_semi").drop("_sl_hash")
+    sides = asked.withColumn("_sl_right", F.lit(0)).union(right.distinct().withColumn("_sl_right", F.lit(1)))
+    return sides.groupBy(*names).agg(F.max("_sl_right").alias("_sl_right")).filter("_sl_right = 0").drop("_sl_right")

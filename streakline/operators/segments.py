@@ -18,20 +18,20 @@ Two physical forms, same result:
 * **plain**: one window ``PARTITION BY partition_by ORDER BY order_by``, used
   when no partition has more than ``rows_per_bucket`` rows;
 * **bucketed**: the rows are cut into contiguous ranges of
-  ``(partition_by, order_by)`` by Spark's range partitioner, whatever the keys'
+  ``order_by``, by a sketch of its keys that the counting pass makes (``cuts``) or
+  else by Spark's range partitioner, whatever the keys'
   types, and the window runs per partition and range.  Runs are then joined up
   across the ranges by a table of one row per range of a cut partition: its
   first and last change values and lag values, its run count and the length of
   its last run.
 
-The range of a row is its partition number after the range exchange.  That
+The range partitioner's range of a row is its partition number after the exchange.  That
 number is only good within one job, so the job that assigns it writes the rows
 with their ranges (and whatever was computed per range) to the shared folder,
 and everything else reads that table.  A stored table that already carries range
 numbers along its order (``ranges``; see :func:`cut_in_order`) is used as it is.
-Any key of a *total* order can be cut, so with a unique ``order_by`` no range
-stays above ``rows_per_bucket``: should the sampled bounds leave one, the rows are
-cut again, finer.  Helper columns begin with ``_sl_``; inputs must not use that prefix.
+Should the sampled bounds leave a range above ``rows_per_bucket``, the rows are
+cut again by ``order_by`` and a row number, so that equal keys are cut, too; then finer, if need be.  Helper columns begin with ``_sl_``; inputs must not use that prefix.
 """
 
 from __future__ import annotations
@@ -44,6 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .cuts import cut_by_sketch
 
 #: Largest range (rows) of a partition that one window task handles; partitions above are cut.
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
@@ -52,6 +53,7 @@ AIM = 0.5
 
 _P = "_sl_"  # prefix of helper columns
 RANGE = f"{_P}range"
+ROW = f"{_P}row_number"
 
 
 def _nullsafe_differs(a: Sequence[Column], b: Sequence[Column]) -> Column:
@@ -65,15 +67,6 @@ def stored_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def rows_to_cut(df: DataFrame, partition_by: Sequence[str], rows_per_bucket: int) -> int | None:
-    """Rows of ``df`` when some partition has more than ``rows_per_bucket``, else None (one pre-aggregated count)."""
-    if not partition_by:
-        n = df.count()
-        return n if n > rows_per_bucket else None
-    largest, n = df.groupBy(*partition_by).agg(F.count("*").alias(f"{_P}n")).agg(F.max(f"{_P}n"), F.sum(f"{_P}n")).first()
-    return n if (largest or 0) > rows_per_bucket else None
-
-
 def cut_in_order(
     df: DataFrame,
     order_by: Sequence[str],
@@ -89,14 +82,34 @@ def cut_in_order(
 
     ``in_range`` counts a stored row's input rows (default one each), for a ``then`` that aggregates.
     """
-    n = math.ceil(rows / (AIM * rows_per_bucket))
+    n, keys = math.ceil(rows / (AIM * rows_per_bucket)), [*partition_by, *order_by]
     while True:
-        cut = df.repartitionByRange(n, *partition_by, *order_by).withColumn(RANGE, F.spark_partition_id())
+        numbered = df if ROW not in keys else df.withColumn(ROW, F.monotonically_increasing_id())
+        cut = numbered.repartitionByRange(n, *keys).withColumn(RANGE, F.spark_partition_id()).drop(ROW)
         out = store(then(cut))
         largest = out.groupBy(RANGE).agg(F.sum(F.lit(1) if in_range is None else in_range).alias(f"{_P}n")).agg(F.max(f"{_P}n")).first()[0]
-        if (largest or 0) <= rows_per_bucket or n >= rows:
+        if (largest or 0) <= rows_per_bucket or (ROW in keys and n >= rows):
+            return out
+        if ROW in keys:
+            n = min(rows, 2 * n)
+        else:
+            keys.append(ROW)  # rows of equal keys have no order of their own, and any one will do
+
+
+def cut_and_store(
+    df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str], rows_per_bucket: int,
+    then: Callable[[DataFrame], DataFrame], in_range: Column | None = None,
+) -> DataFrame | None:
+    """``then(df with its range number)``, stored; None when no partition has more than ``rows_per_bucket`` rows."""
+    rows, cut = cut_by_sketch(df, order_by, partition_by, RANGE, rows_per_bucket=rows_per_bucket, per_range=max(1, int(AIM * rows_per_bucket)))
+    if not rows:
+        return None
+    if cut is not None:
+        out = stored_table(then(cut), "ranges")
+        counted = F.sum(F.lit(1) if in_range is None else in_range).alias(f"{_P}n")
+        if (out.groupBy(*partition_by, RANGE).agg(counted).agg(F.max(f"{_P}n")).first()[0] or 0) <= rows_per_bucket:
             return out
-        n = min(rows, 2 * n)
+    return cut_in_order(df, order_by, partition_by, rows=rows, rows_per_bucket=rows_per_bucket, then=then, in_range=in_range)
 
 
 def _join_ranges(big: DataFrame, small: DataFrame, part: Sequence[str]) -> DataFrame:
@@ -177,14 +190,13 @@ def segment_runs(
     if ranges is not None:
         local = window(df.withColumn(RANGE, F.col(ranges)), [*part, RANGE])
     else:
-        rows = rows_to_cut(df, part, rows_per_bucket) if bucketed else None
-        if rows is None:
+        local = cut_and_store(df, order_by, part, rows_per_bucket, lambda cut: window(cut, [*part, RANGE])) if bucketed else None
+        if local is None:
             out = window(df, part).withColumns({
                 **{k: F.col(f"{_P}lag{i}") for i, k in enumerate(lag_of)},
                 flag_col: F.col(f"{_P}flag"), run_col: F.col(f"{_P}run"), **({position: F.col(f"{_P}pos")} if position else {}),
             })
             return out.select(*names)
-        local = cut_in_order(df, order_by, part, rows=rows, rows_per_bucket=rows_per_bucket, then=lambda cut: window(cut, [*part, RANGE]))
 
     order = F.struct(*order_by)
     change = F.struct(*change_on) if change_on else F.struct(F.lit(0))
@@ -258,10 +270,9 @@ def run_pieces(
     if ranges is not None:
         pieces = stored_table(local(df.withColumn(RANGE, F.col(ranges))), "pieces")
     else:
-        rows = rows_to_cut(df, part, rows_per_bucket) if bucketed else None
-        if rows is None:
+        pieces = cut_and_store(df, order_by, part, rows_per_bucket, local, F.col(f"{_P}count")) if bucketed else None
+        if pieces is None:
             return local(df.withColumn(RANGE, F.lit(0))).withColumnRenamed(f"{_P}run", "run_id")
-        pieces = cut_in_order(df, order_by, part, rows=rows, rows_per_bucket=rows_per_bucket, then=local, in_range=F.col(f"{_P}count"))
     value = F.struct(change_on)
     edges = pieces.groupBy(*part, RANGE).agg(
         F.max(f"{_P}run").alias(f"{_P}n"), F.max_by(f"{_P}count", f"{_P}run").alias(f"{_P}tail"),

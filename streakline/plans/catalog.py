@@ -17,9 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions import first_segment, lenient_int, parse_lines
+from ..functions import first_segment, join_ints, lenient_int, parse_lines
 from ..operators import (
+    RunStates,
+    except_distinct,
+    level_bitmaps,
+    merge_bitmaps,
+    merge_states,
     ordinal,
+    run_state,
     segment_runs,
     span_table,
     split_valid,
@@ -31,9 +37,11 @@ from ..operators import (
     type_spans,
     type_summary,
 )
+from ..operators.levels import bitmap_levels
 from ..session import scratch_path
-from ..sinks import read_csv_report, write_bad_lines, write_csv, write_table
-from ..sources import lines_from_events
+from ..sinks import Versions, read_csv_report, write_bad_lines, write_csv, write_one_file, write_table
+from ..sources import lines_from_events, read_log_lines
+from ..sources.numbering import dense_numbers, split_offsets
 from .staged import run_once, stage_compute, stage_read, stage_save, stage_sort
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,6 +185,109 @@ def q_status_runs_bucketed(spark, sf_dir):
     return _status_runs(spark, sf_dir, "o_orderpriority", rows_per_bucket=SMALL_RANGE)
 
 
+def q_status_runs_by_customer_bucketed(spark, sf_dir):
+    """Status runs per customer with every customer of more than CUSTOMER_RANGE orders cut: very many small partitions in ranges."""
+    return _status_runs(spark, sf_dir, "o_custkey", rows_per_bucket=CUSTOMER_RANGE)
+
+
+#: Rows per range of the query that cuts customers.
+CUSTOMER_RANGE = 8
+
+
+def _thirds(df, time):
+    """Three parts of ``df`` by time, each as long."""
+    low, high = df.agg(F.min(F.unix_micros(time)), F.max(F.unix_micros(time))).first()
+    cuts = [low + (high + 1 - low) * k // 3 for k in range(4)]
+    return [df.filter((F.unix_micros(time) >= a) & (F.unix_micros(time) < b)) for a, b in zip(cuts, cuts[1:])]
+
+
+def _merged(spark, sf_dir):
+    """The log in three parts, fed last part first; the first two are merged to one."""
+    states = RunStates(spark, scratch_path(spark, "run-states"))
+    good = _good(spark, sf_dir)
+    for name, part in reversed(list(zip("abc", _thirds(good, "timestamp")))):
+        states.add(name, part)
+    states.compact(["b", "a"], "ab")
+    return states
+
+
+def q_timeline_runs_merged(spark, sf_dir):
+    return _merged(spark, sf_dir).timeline()
+
+
+def q_summary_merged(spark, sf_dir):
+    return _merged(spark, sf_dir).summary()
+
+
+def q_status_runs_merged(spark, sf_dir):
+    """Status runs per customer from a state for each year of orders."""
+    orders = _table(spark, sf_dir, "orders").withColumn("none", F.lit(None).cast("int"))
+    years = [r[0] for r in orders.select(F.year("o_orderdate")).distinct().collect()]  # a row per part
+    states = [
+        run_state(orders.filter(F.year("o_orderdate") == y), order_by=("o_orderdate", "o_orderkey"), type_col="o_orderstatus", level_col="none", partition_by=("o_custkey",))
+        for y in years
+    ]
+    return merge_states(states, ("o_custkey",)).select(
+        "o_custkey", "run_id", F.col("Breakdown_Type").alias("o_orderstatus"), F.col("Count_Successive").alias("run_length"),
+        "run_start", F.col("last_key.o_orderdate").alias("run_end"))
+
+
+def q_arrival_numbers(spark, sf_dir):
+    """Lines of a text log with their dense numbers by file and line."""
+    lines = read_log_lines(spark, _text_log(spark, sf_dir))
+    path, splits = scratch_path(spark, "arrived"), scratch_path(spark, "splits")
+    write_table(lines, path)
+    write_table(split_offsets(spark.read.parquet(path)), splits)
+    return dense_numbers(spark.read.parquet(path), spark.read.parquet(splits))
+
+
+def q_staged_dense(spark, sf_dir):
+    """The staged timeline of a log whose arrival ids are dense numbers."""
+    log, stage, out = _text_log(spark, sf_dir), scratch_path(spark, "stage"), scratch_path(spark, "out")
+    stage_read(spark, log, stage, scratch_path(spark, "bad"), order="dense")
+    stage_sort(spark, stage, rows_per_bucket=SMALL_RANGE)
+    stage_compute(spark, stage, rows_per_bucket=SMALL_RANGE)
+    stage_save(spark, stage, out, rows_per_bucket=SMALL_RANGE)
+    return read_csv_report(spark, f"{out}/exo_runs_output.csv", schemas.TIMELINE)
+
+
+def q_versioned_summary(spark, sf_dir):
+    """The summary as the second version of a report, after the spans as its first and before a write that fails."""
+    versions = Versions(spark, scratch_path(spark, "versions"))
+    spans = span_table(_good(spark, sf_dir))
+    versions.publish(lambda folder: write_csv(spans.drop("levels_in_run_int"), folder, single_part=True))
+    versions.publish(lambda folder: write_csv(type_summary(spans), folder, single_part=True))
+
+    def fails(folder):
+        write_csv(type_summary(spans.limit(1)), folder, single_part=True)
+        raise InterruptedError
+
+    try:
+        versions.publish(fails)
+    except InterruptedError:
+        pass
+    return read_csv_report(spark, versions.folder(), schemas.SUMMARY)
+
+
+def q_one_file_levels(spark, sf_dir):
+    """The minimal summary as a single file of its own name."""
+    path = f"{scratch_path(spark, 'reports')}/exo_output.csv"
+    write_one_file(type_levels(type_summary(span_table(_good(spark, sf_dir)))), path)
+    return read_csv_report(spark, path, schemas.LEVELS)
+
+
+def q_bad_lines_except(spark, sf_dir):
+    """Bad lines as all lines EXCEPT DISTINCT the good ones."""
+    parsed = _parsed(spark, sf_dir)
+    return except_distinct(parsed.select("value"), split_valid(parsed)[0].select("value"))
+
+
+def q_type_levels_bitmaps(spark, sf_dir):
+    """Distinct levels of each type from bitmaps of three parts of the log."""
+    state = merge_bitmaps(*[level_bitmaps(part) for part in _thirds(_good(spark, sf_dir), "timestamp")])
+    return bitmap_levels(state).select("breakdown_type", join_ints(F.col("levels")).alias("distinct_levels_str"))
+
+
 # fixed values: language path markers of the test pages, in priority order
 PAGE_LANGUAGES = ("en", "fr", "de", "es")
 
@@ -287,6 +398,16 @@ QUERIES: dict[str, Query] = {
     "timeline_runs_raw_bucketed": q_timeline_runs_raw_bucketed,
     "timeline_sorted_bucketed": q_timeline_sorted_bucketed,
     "status_runs_bucketed": q_status_runs_bucketed,
+    "status_runs_by_customer_bucketed": q_status_runs_by_customer_bucketed,
+    "timeline_runs_merged": q_timeline_runs_merged,
+    "summary_merged": q_summary_merged,
+    "status_runs_merged": q_status_runs_merged,
+    "arrival_numbers": q_arrival_numbers,
+    "staged_dense": q_staged_dense,
+    "versioned_summary": q_versioned_summary,
+    "one_file_levels": q_one_file_levels,
+    "bad_lines_except": q_bad_lines_except,
+    "type_levels_bitmaps": q_type_levels_bitmaps,
 }
 
 
@@ -458,6 +579,16 @@ ORACLE_SQL: dict[str, str] = {
     "type_ordered_bucketed": _with(*_BASE, _ORDERED) + "SELECT * FROM ordered",
     "status_runs_by_customer": _STATUS_SQL,
     "status_runs_bucketed": _STATUS_SQL.replace("o_custkey", "o_orderpriority"),
+    "status_runs_by_customer_bucketed": _STATUS_SQL,
+    "status_runs_merged": _STATUS_SQL,
+    "timeline_runs_merged": _TIMELINE_SQL,
+    "summary_merged": _SUMMARY_SQL,
+    "arrival_numbers": _with(_LINES) + "SELECT value, row_number() OVER (ORDER BY arrival_id) - 1 AS arrival_id FROM lines",
+    "staged_dense": _TIMELINE_SQL,
+    "versioned_summary": _SUMMARY_SQL,
+    "one_file_levels": _LEVELS_SQL,
+    "bad_lines_except": _BAD_SQL,
+    "type_levels_bitmaps": _with(*_BASE) + f"SELECT breakdown_type, {_LEVEL_LIST} AS distinct_levels_str FROM good GROUP BY breakdown_type",
     "page_url_segments": rf"""
 SELECT page_id,
   regexp_extract(url, '^[a-z]+://([^/]+)/', 1) AS host,

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .versions import Files, Versions, write_one_file
+
 
 def write_csv(df: DataFrame, path: str, *, single_part: bool = False) -> None:
     """Headered CSV folder, replaced on each run.
@@ -58,4 +60,4 @@ def write_bad_lines(bad: DataFrame, bad_dir: str, *, keep_history: bool, run_sta
     return f"{bad_dir.rstrip('/')}/run={stamp}"
 
 
-__all__ = ["read_csv_report", "write_bad_lines", "write_csv", "write_table"]
+__all__ = ["Files", "Versions", "read_csv_report", "write_bad_lines", "write_csv", "write_one_file", "write_table"]
