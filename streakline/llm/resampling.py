@@ -3,16 +3,16 @@
 A text is a set of hashed n-grams: words, word-initial character n-grams and
 pairs of word shapes (capitals, signs, repetition).  Every model is a smoothed
 multinomial over the buckets.  The *target* is what labelled rows call good;
-*raw* text is a mixture of the target and the unwanted kinds among the labelled
-rows, each smoothed towards the counts of the whole corpus.  The importance
+*raw* text is a mixture of the target, of the whole corpus without the target's rows, and of the unwanted kinds
+among the labelled rows, each smoothed towards the counts of the whole corpus.  The importance
 weight of a text is the ratio target / raw of its likelihoods, and the documents
 kept are the Gumbel top-k of the log weights: a sample without replacement in
 proportion to the weights.  By default k is the number of documents that are
-more likely target than not.
+more likely target than not.  Text of an unwanted kind that no label has is still rarer in the target
+than in the corpus, and loses weight by that.
 
-A bucket tells two kinds apart only when its counts differ significantly, and
-then by the cautious end of the difference, so that chance and the make-up of
-the sample weigh nothing.
+What a bucket says of two kinds is shrunk by how sure it is: the log of the ratio moves towards 0 by its
+own error, and counts less the nearer the two counts are to chance.
 """
 
 from __future__ import annotations
@@ -32,10 +32,12 @@ SLICE = 1 << 12
 LABELLED_ROWS = 12_000
 #: Strength of the corpus in a kind's smoothed model, in documents per bucket.
 PRIOR = 0.5
-#: Standard errors by which two counts must differ to count, and by which the difference is then cut.
-SIGNIFICANT, CAUTION = 5.0, 2.5
-#: Log ratios under this, after the cut, are the make-up of a kind (its languages and topics) rather than a sign of it.
-EFFECT = 0.7
+#: Share of raw text that is taken to be of no labelled kind: it has the model of the whole corpus.
+RAW_SHARE = 0.05
+#: Standard errors of a log ratio that it is shrunk by.
+CAUTION = 1.0
+#: A difference of so many standard errors, or a log ratio of such a size, has half its weight; both fall with the fourth power.
+HALF_SIGNIFICANT, HALF_EFFECT = 2.5, 2.0
 #: Bytes of the word-initial character n-grams.
 PREFIX_BYTES = (4, 5, 6, 7, 8)
 #: A word and its beginnings say much the same, so each of them has this share of a vote.
@@ -144,8 +146,14 @@ def _added(batches):
         yield _vector(kind, at, n)
 
 
+def _doubt(x: np.ndarray, half: float) -> np.ndarray:
+    """0 for nothing, 1/2 at ``half``, 1 for much more."""
+    x = np.minimum(np.abs(x) / half, 1e6) ** 4
+    return x / (1 + x)
+
+
 def log_ratios(raw: np.ndarray, target: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Per bucket, the log of other / target where their counts differ significantly, else 0."""
+    """Per bucket, the log of other / target, shrunk by how sure and how large it is."""
     p_raw = (raw + 1e-3) / (raw + 1e-3).sum()
     n, m = max(other.sum(), 1), max(target.sum(), 1)
     pooled = (other + target) / (n + m) + 1e-15
@@ -153,7 +161,8 @@ def log_ratios(raw: np.ndarray, target: np.ndarray, other: np.ndarray) -> np.nda
     ratio = np.log((other + PRIOR) / (n * p_raw + PRIOR)) - np.log((target + PRIOR) / (m * p_raw + PRIOR))
     error = np.sqrt(1 / (other + 0.5) + 1 / (target + 0.5))
     ratio = np.sign(ratio) * np.maximum(0, np.abs(ratio) - CAUTION * error)
-    ratio[(np.abs(z) <= SIGNIFICANT) | (np.abs(ratio) < EFFECT)] = 0.0
+    ratio *= _doubt(z, HALF_SIGNIFICANT)
+    ratio *= _doubt(ratio, HALF_EFFECT)
     ratio[: len(ratio) // 2] *= WORD_SHARE
     return ratio
 
@@ -235,7 +244,8 @@ def importance_weights(
 
     Null text is empty and has the weight of a text without n-grams.  Kinds
     without labelled rows are no part of the mixture; without target rows every
-    weight is 1.  ``row_id`` is the unique bigint column of that
+    weight is 1.  Long texts count whole.  Repeated rows are rows of their own; those with one doc_id
+    share their noise, and so their key where their texts are equal.  An empty table gives no rows.  ``row_id`` is the unique bigint column of that
     name of ``docs``, or else numbers the rows of the scan that weighs them.
     """
     rows = docs.select(
@@ -252,11 +262,15 @@ def importance_weights(
         vectors[kind][at : at + SLICE] = np.frombuffer(n, np.int64)
     present = [k for k in range(1, len(KINDS)) if share.get(k) and share.get(0)]
     shares = np.array([share.get(0, 1), *(share[k] for k in present)], float)
+    shares /= shares.sum()
     ratios = [log_ratios(vectors[-1], vectors[0], vectors[k]) for k in present]
+    if share.get(0):
+        shares = np.array([*(shares * (1 - RAW_SHARE)), RAW_SHARE])
+        ratios.append(log_ratios(vectors[-1], vectors[0], vectors[-1] - vectors[0]))
     id_type = dict(docs.dtypes)["doc_id"]
     return stored(
         rows.mapInArrow(
-            _weights(buckets, shares / shares.sum(), ratios),
+            _weights(buckets, shares, ratios),
             f"row_id long, doc_id {id_type}, log_weight double, p_target double, sample_key double",
         ),
         "weights",

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import hashlib
 import html
 import random
@@ -14,7 +15,7 @@ from streakline.llm import chat
 from streakline.llm.chat import escape, events_of, format_chats, read_back, unescape
 from streakline.llm.html_text import extract, features, labelled, labelled_pages, parse, trained
 from streakline.llm.queries import CONTROL_TEXT, op2_chat
-from streakline.llm.resampling import block_features, importance_weights, kth_largest, log_ratios, resample
+from streakline.llm.resampling import RAW_SHARE, block_features, importance_weights, kth_largest, labelled_sample, log_ratios, resample
 
 SF = "/root/testdata/sf0.001"
 
@@ -43,6 +44,56 @@ def test_held_out_labels(weights):
     assert share(lambda r: r["quality"] == 0) < 0.05
 
 
+def test_held_out_labels_of_a_small_table(spark):
+    """40 toxic and 30 poor labels to learn from."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    fitted = labels.filter(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(10)) < 7)
+    rows = resample(importance_weights(docs, fitted)).join(labels.join(fitted, "doc_id", "left_anti"), "doc_id").collect()
+    share = lambda keep: np.mean([r["kept"] for r in rows if keep(r)])
+    assert share(lambda r: r["quality"] == 1 and not r["toxic"]) > 0.95
+    assert share(lambda r: r["toxic"]) < 0.5  # 15 rows; 0.22 over eight such splits
+    assert share(lambda r: r["quality"] == 0) < 0.1
+
+
+def test_weights_are_ratios_of_the_models(spark):
+    """Every weight again, bucket by bucket, from sets of buckets and plain counts."""
+    rng = np.random.default_rng(3)
+    words = {0: "sun sea tree Hill road".split(), 1: "bad worse vile".split(), 2: "zz qq 11 ;;".split()}
+    kinds = [0] * 40 + [1] * 12 + [2] * 12
+    texts = [" ".join(rng.choice([*words[0], *words[k]], 12)) for k in kinds]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labelled = [k for k in range(64) if k % 3]
+    labels = spark.createDataFrame([(k, int(kinds[k] != 2), int(kinds[k] == 1)) for k in labelled], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in importance_weights(docs, labels, buckets=1 << 12).collect()}
+    sample = {r["doc_id"]: r["kind"] for r in labelled_sample(docs, labels)[0].collect()}
+
+    raw_texts = [t.encode() for t in texts]
+    row, bucket = block_features(np.frombuffer(b"".join(raw_texts), np.uint8), np.cumsum([0, *map(len, raw_texts)]), 1 << 12)
+    sets = [sorted(bucket[row == k].tolist()) for k in range(64)]
+    count = lambda keep: [sum(b in s for k, s in enumerate(sets) if keep(k)) for b in range(1 << 12)]
+    raw, target = count(lambda k: True), count(lambda k: sample.get(k) == 0)
+    others = [count(lambda k, kind=kind: sample.get(k) == kind) for kind in (1, 2)] + [[a - b for a, b in zip(raw, target)]]
+    share = [sum(kinds[k] == kind for k in labelled) / len(labelled) * (1 - RAW_SHARE) for kind in (0, 1, 2)] + [RAW_SHARE]
+    ratios = [log_ratios(np.array(raw, float), np.array(target, float), np.array(o, float)) for o in others]
+    for k, s in enumerate(sets):
+        mixture = share[0] + sum(p * math.exp(sum(r[b] for b in s)) for p, r in zip(share[1:], ratios))
+        assert got[k]["log_weight"] == pytest.approx(-math.log(mixture), rel=1e-9, abs=1e-9)
+        assert got[k]["p_target"] == pytest.approx(min(1, share[0] / mixture), rel=1e-9)
+
+
+def test_unlabelled_kinds_lose_weight(spark):
+    """No label says so, but the corpus has words that the target does not."""
+    rng = np.random.default_rng(5)
+    text = lambda words: " ".join(rng.choice(words, 30))
+    usual, strange = "sun sea tree hill road wind rain".split(), "krk grz plk vrt".split()
+    rows = [(k, text(usual)) for k in range(400)] + [(k, text(usual[:2] + strange)) for k in range(400, 480)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(200)], "doc_id long, quality int, toxic int")
+    weights = {r["doc_id"]: r["log_weight"] for r in importance_weights(docs, labels, buckets=1 << 12).collect()}
+    assert min(weights[k] for k in range(400)) > max(weights[k] for k in range(400, 480))
+
+
 def test_top_k(weights):
     table, _ = weights
     keys = sorted((r["sample_key"] for r in table.select("sample_key").collect()), reverse=True)
