@@ -65,12 +65,16 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(index, _read(spark, sf_dir, "benchmark")).drop("row")
 
 
+#: Bytes of about fifty words: repeats of this length are counted beside those that are removed.
+PASSAGE_BYTES = 300
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = remove_repeats(_read(spark, sf_dir, "documents"))
+    kept = remove_repeats(_read(spark, sf_dir, "documents"), also=(PASSAGE_BYTES,))
     length = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, run: n + run["end"] - run["start"])
     return kept.select(
         "doc_id", "n_bytes", length.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"),
+        F.sha2("kept", 256).alias("kept_sha256"), F.col(f"n_repeated_{PASSAGE_BYTES}").alias("n_repeated"),
     )
 
 

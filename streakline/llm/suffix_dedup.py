@@ -33,6 +33,8 @@ GROUP_CONTEXTS = 30_000
 SORT_CONTEXTS = 8_000
 BLOCK_BYTES = 1 << 19
 SECOND_BASE = 0xC2B2AE3D27D4EB4F
+#: What a row of a join side that holds runs or contexts, and each of them, takes in memory at most.
+RUN_BYTES = 64
 
 CLASS = ["gram", "context", "rel", "span"]
 
@@ -355,7 +357,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, group_contexts: int =
     n_rows, n_asked = by_row.agg(F.count("*"), F.sum("m")).first()
     if n_rows:
         contexts = (
-            rows.select("row_id", "text").join(small_side(by_row.drop("m"), 1, 24 * n_rows + 24 * n_asked), "row_id")
+            rows.select("row_id", "text").join(small_side(by_row.drop("m"), 1, RUN_BYTES * (n_rows + n_asked)), "row_id")
             .select("row_id", "wanted", "text").mapInArrow(_fetch(length), "row_id long, low int, gram long, rel int, span int, bytes binary")
         )
         hot = several.filter((F.col("contexts") > group_contexts) & (F.col("single") > 0)).select("gram").distinct()
@@ -411,30 +413,46 @@ def _removed(batches):
         yield pa.RecordBatch.from_arrays(
             [
                 rows.column(0), pa.array(np.diff(offsets)),
-                pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary()),
+                pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary()), *rows.columns[3:],
             ],
-            names=["doc_id", "n_bytes", "removed", "kept"],
+            names=["doc_id", "n_bytes", "removed", "kept", *rows.schema.names[3:]],
         )
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, group_contexts: int = GROUP_CONTEXTS) -> DataFrame:
+def _runs(rows: DataFrame, length: int, group_contexts: int) -> DataFrame:
+    """Stored maximal runs (row_id, runs) of the bytes that repeated strings of ``length`` bytes cover."""
+    return stored(
+        repeated_spans(rows, length, group_contexts).groupBy("row_id").agg(F.collect_list("a").alias("starts"), F.collect_list("b").alias("ends"))
+        .mapInArrow(_merged, "row_id long, runs array<struct<start: bigint, end: bigint>>"),
+        "runs",
+    )
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, group_contexts: int = GROUP_CONTEXTS, also: tuple[int, ...] = ()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, anything else): doc_id, n_bytes, removed (maximal byte runs), kept (the other bytes).
 
     A byte goes when a string of ``length`` bytes that covers it also starts
     anywhere else, in the same or another row; repeated rows repeat each other's
     strings.  Null text is empty.  ``docs`` is read once, numbered and stored.
+    For each length in ``also`` a column ``n_repeated_<length>`` says how many bytes strings of that length would remove;
+    nothing is removed by it.
     """
     rows = numbered_texts(docs)
-    spans = repeated_spans(rows, length, group_contexts)
-    runs = stored(
-        spans.groupBy("row_id").agg(F.collect_list("a").alias("starts"), F.collect_list("b").alias("ends"))
-        .mapInArrow(_merged, "row_id long, runs array<struct<start: bigint, end: bigint>>"),
-        "runs",
-    )
+    runs = _runs(rows, length, group_contexts)
+    for other in also:
+        covered = F.aggregate("runs", F.lit(0).cast("bigint"), lambda n, run: n + run["end"] - run["start"])
+        more = _runs(rows, other, group_contexts).select("row_id", covered.alias(f"n_repeated_{other}"))
+        runs = runs.join(more, "row_id", "full")
+    if also:
+        runs = stored(runs, "all-runs")
     n_rows, n_runs = runs.agg(F.count("*"), F.sum(F.size("runs"))).first()
     id_type = dict(docs.dtypes)["doc_id"]
+    counts = [F.coalesce(f"n_repeated_{other}", F.lit(0).cast("bigint")).alias(f"n_repeated_{other}") for other in also]
     return (
-        rows.join(small_side(runs, 1, 24 * n_rows + 16 * (n_runs or 0)), "row_id", "left")
-        .select("doc_id", "runs", "text")
-        .mapInArrow(_removed, f"doc_id {id_type}, n_bytes long, removed array<struct<start: bigint, end: bigint>>, kept binary")
+        rows.join(small_side(runs, 1, RUN_BYTES * (n_rows + (n_runs or 0))), "row_id", "left")
+        .select("doc_id", "runs", "text", *counts)
+        .mapInArrow(
+            _removed,
+            f"doc_id {id_type}, n_bytes long, removed array<struct<start: bigint, end: bigint>>, kept binary" + "".join(f", n_repeated_{o} long" for o in also),
+        )
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from streakline.session import scratch_path
 
 #: Largest estimated size of a broadcast side; beyond it the join shuffles.
-BROADCAST_BYTES = 24 << 20
+BROADCAST_BYTES = 32 << 20
 
 
 #: Rows and bytes per Arrow batch: texts are long, and both the executor and its Python workers hold whole batches.

@@ -105,6 +105,17 @@ def test_repeats_of_dense_strings(spark, length, contexts):
     assert runs(df, length, contexts) == sorted(((i, n, r, k) for i, (n, r, k) in want.items()), key=str)
 
 
+def test_repeats_of_another_length_are_counted(docs, odd):
+    for table in (docs, odd):
+        got = remove_repeats(table, 400, also=(60, 200)).collect()
+        plain = sorted(((r["doc_id"], bytes(r["kept"])) for r in remove_repeats(table, 400).collect()), key=str)
+        assert sorted(((r["doc_id"], bytes(r["kept"])) for r in got), key=str) == plain
+        if table is docs:
+            for other in (60, 200):
+                want = {i: sum(b - a for a, b in runs) for i, (_, runs, _) in brute.repeats(pairs(docs), other).items()}
+                assert {r["doc_id"]: r[f"n_repeated_{other}"] for r in got} == want
+
+
 def test_repeats_odd(docs, odd):
     got = {r["doc_id"]: r for r in remove_repeats(odd).collect()}
     assert len(got) == 10 and got[1]["n_bytes"] == 0 and got[6]["kept"] == b"" and got[7]["kept"] == b""
