@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +29,21 @@ TOKEN_LIMIT = 2048
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return short_batches(spark).read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``run`` under short Arrow batches, its result stored, so that the session is as before when the result is read."""
+
+    @wraps(run)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with short_batches(spark):
+            return stored(run(spark, sf_dir), run.__name__, "zstd")
+
+    return query
 
 
+@_query
 def op1_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(importance_weights(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))).drop("row_id")
 
@@ -37,6 +52,7 @@ def op1_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+@_query
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], rows.columns)
@@ -44,22 +60,27 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chats(events_of(rows)))
 
 
+@_query
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_read(spark, sf_dir, "pages"))
 
 
+@_query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_read(spark, sf_dir, "documents")).drop("row_id")
 
 
+@_query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_read(spark, sf_dir, "documents")).drop("row_id")
 
 
+@_query
 def op6_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff_scores(_read(spark, sf_dir, "documents"))
 
 
+@_query
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = build_index(_read(spark, sf_dir, "documents"))
     return contamination(index, _read(spark, sf_dir, "benchmark")).drop("row")
@@ -69,6 +90,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 PASSAGE_BYTES = 300
 
 
+@_query
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(_read(spark, sf_dir, "documents"), also=(PASSAGE_BYTES,))
     length = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, run: n + run["end"] - run["start"])
@@ -78,23 +100,28 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@_query
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(_read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+@_query
 def op11_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = stored(prefix_table(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")), "prefix-counts", "zstd")
     return table.select("doc_id", "n_bytes", token_count().alias("n_tokens"), (token_count() > TOKEN_LIMIT).alias("over_limit"))
 
 
+@_query
 def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+@_query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns, members = with_shared_starts(ordered_turns(_read(spark, sf_dir, "conversations")))
     return prefix_trie(stored(turns, "rebuilt"), members)

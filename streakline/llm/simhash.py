@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 
 from streakline.llm.components import components
 from streakline.llm.tables import partitions_for, stored
-from streakline.llm.textblocks import LOWER, WHITE, blocks, row_bounds, word_spans
+from streakline.llm.textblocks import LOWER, WHITE, blocks, mix, row_bounds, word_spans
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 #: Two segments: of two fingerprints at most three bits apart, one segment differs in at most one bit.
 SEGMENT_BITS = 32
-#: A variant with more members is split by the bytes of the rest of the fingerprint.
+#: A variant with more members is split by the bits that it leaves open.
 MEMBERS = 20_000
 VARIANTS_PER_PARTITION = 2_000_000
 
@@ -166,44 +166,59 @@ def _links(max_bits: int, most: int | None):
     return run
 
 
-def _octets():
-    """Members of a hot variant, once per octet outside the variant's segment: of these four, two linked members agree on one."""
+#: Low bits of a split variant's key: whose segment it is of (1), rounds of splitting (3), the piece chosen in each (2 each).
+PATH = (1 << 12) - 1
+ROUNDS = 4
+
+
+def _open_bits(path: int) -> np.ndarray:
+    """Bits of a fingerprint on which members of a variant with this path may still differ, the wildcard aside."""
+    bits = np.arange(32) + (32 if path & 1 else 0)  # a variant of the low segment leaves the high one open
+    for r in range(path >> 1 & 7):
+        bits = np.delete(bits, np.array_split(np.arange(len(bits)), 4)[path >> (4 + 2 * r) & 3])
+    return bits
+
+
+def _split(first: bool):
+    """Members of a hot variant, once for each quarter of the open bits: differing in three bits at most, two linked members agree on one."""
 
     def run(batches):
         for batch in batches:
-            low = batch.column(0).to_numpy() >> 32 < 32  # the variant is of the low segment
-            fp = batch.column(1).to_numpy().view(np.uint64)
-            for k in range(4):
-                shift = np.where(low, 32, 0).astype(np.uint64) + np.uint64(8 * k)
-                octet = ((fp >> shift) & np.uint64(255)).astype(np.int64) + 256 * k
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(octet), batch.column(1)], names=["key", "octet", "fp"])
+            key, fp = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy().view(np.uint64)
+            path = ((key >> np.uint64(32)) < 32).astype(np.int64) if first else (key & np.uint64(PATH)).astype(np.int64)
+            for p in np.unique(path).tolist():
+                own, rounds = path == p, p >> 1 & 7
+                for c, piece in enumerate(np.array_split(_open_bits(p), 4)):
+                    value = fp[own] & np.uint64(sum(1 << int(b) for b in piece))
+                    name = mix(mix(key[own] + np.uint64(c)) ^ value) & ~np.uint64(PATH)
+                    further = (p & 1) | (rounds + 1) << 1 | (p >> 4 & 0xFF) << 4 | c << (4 + 2 * rounds)
+                    yield pa.RecordBatch.from_arrays([pa.array((name | np.uint64(further)).view(np.int64)), pa.array(fp[own].view(np.int64))], names=["key", "fp"])
 
     return run
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, members: int = MEMBERS) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints ``fps`` (fp) that connect exactly those within ``max_bits`` of each other."""
+    """Edges (a, b) between distinct fingerprints ``fps`` (fp) that connect exactly those within ``max_bits`` of each other.
+
+    A variant of over ``members`` fingerprints is split by quarters of the bits that it leaves open, again and again; after ROUNDS of
+    it at most 2**12 fingerprints agree on all that is fixed, so every group is bounded.
+    """
     spark = fps.sparkSession
     parts = partitions_for(spark, fps.count() * 64, VARIANTS_PER_PARTITION)
-    schema = "a long, b long, key long"
-    found = stored(
-        fps.select("fp").mapInArrow(_variants(), "key long, fp long")
-        .repartition(parts, "key").sortWithinPartitions("key")
-        .mapInArrow(_links(max_bits, members), schema),
-        "links",
-    )
-    edges = found.filter("key is null")
-    hot = found.filter("key is not null").select("key", F.col("a").alias("fp"))
-    if not hot.isEmpty():
-        # members of one variant that agree on a further octet as well; at most 2**25 fingerprints share both
-        again = (
-            hot.mapInArrow(_octets(), "key long, octet long, fp long")
-            .select(F.xxhash64("key", "octet").alias("key"), "fp").distinct()
-            .repartition(parts, "key").sortWithinPartitions("key")
-            .mapInArrow(_links(max_bits, None), schema)
+    made, edges = fps.select("fp").mapInArrow(_variants(), "key long, fp long"), None
+    for turn in range(ROUNDS + 1):
+        found = stored(
+            made.repartition(parts, "key").sortWithinPartitions("key")
+            .mapInArrow(_links(max_bits, members if turn < ROUNDS else None), "a long, b long, key long"),
+            "links",
         )
-        edges = edges.union(stored(again, "links"))
-    return edges.select("a", "b").distinct()
+        here = found.filter("key is null").select("a", "b")
+        edges = here if edges is None else edges.union(here)
+        hot = found.filter("key is not null").select("key", F.col("a").alias("fp"))
+        if hot.isEmpty():
+            break
+        made = hot.mapInArrow(_split(turn == 0), "key long, fp long")
+    return edges.distinct()
 
 
 def simhash_components(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +19,23 @@ BROADCAST_BYTES = 32 << 20
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
-def short_batches(spark: SparkSession) -> SparkSession:
-    """The session, with Arrow batches of the sizes in BATCH from now on."""
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[SparkSession]:
+    """The session with Arrow batches of the sizes in BATCH; its own settings are back afterwards.
+
+    What is lazy is computed later, under whatever holds then: store results inside.
+    """
+    before = {key: spark.conf.get(key, None) for key in BATCH}
     for key, value in BATCH.items():
         spark.conf.set(key, value)
-    return spark
+    try:
+        yield spark
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:

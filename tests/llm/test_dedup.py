@@ -137,3 +137,48 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(61)}, **{k: 100 for k in range(100, 140)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_variant_of_many_unlinked_fingerprints(spark):
+    """50,000 fingerprints of one variant, four bits or more apart but for planted pairs: every round of splitting is used."""
+    rng = np.random.default_rng(7)
+    data = rng.permutation(1 << 26)[:50_000].astype(np.uint64)
+    high, at = np.zeros(len(data), np.uint64), 0
+    check = np.zeros(len(data), np.uint64)
+    for place in range(1, 32):  # extended Hamming code: 26 data bits on the places that are no powers of two
+        if place & (place - 1):
+            bit = data >> np.uint64(at) & np.uint64(1)
+            high |= bit << np.uint64(place)
+            check ^= bit * np.uint64(place)
+            at += 1
+    for k in range(5):
+        high |= (check >> np.uint64(k) & np.uint64(1)) << np.uint64(1 << k)
+    high |= np.bitwise_count(high).astype(np.uint64) & np.uint64(1)
+    assert np.bitwise_count(high[:300, None] ^ high[None, :300])[~np.eye(300, dtype=bool)].min() >= 4
+    fps = high << np.uint64(32) | np.uint64(77)
+    planted = [(int(fps[k]), int(fps[k]) ^ (1 << 40) ^ (1 << 3) ^ (1 << int(rng.integers(41, 64)))) for k in range(0, 50_000, 5_000)]
+    every = np.unique(np.concatenate((fps, np.array([b for _, b in planted], np.uint64))))
+    edges = links(spark.createDataFrame([(int(x),) for x in every.view(np.int64)], "fp long"), 3, 500)
+    parent = {int(x): int(x) for x in every}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges.collect():
+        parent[root(a % (1 << 64))] = root(b % (1 << 64))
+    groups = {}
+    for x in parent:
+        groups.setdefault(root(x), []).append(x)
+    joined = [g for g in groups.values() if len(g) > 1]
+    for a, b in planted:
+        assert root(a) == root(b)
+    for g in joined:  # whatever is joined hangs together by links of three bits at most
+        near = {g[0]}
+        while True:
+            more = {y for y in g if any((x ^ y).bit_count() <= 3 for x in near)} - near
+            if not more:
+                break
+            near |= more
+        assert near == set(g)

@@ -75,7 +75,7 @@ def test_stages_with_empty_table(spark):
 def test_registered_queries(spark):
     import __spark_entry__ as entry
 
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
