@@ -9,6 +9,8 @@ doc_id are kept or dropped one by one.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,41 +35,52 @@ def _only(docs: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
     return docs.join(small_side(gone, gone.count(), 16), row, "left_anti").drop(row)
 
 
+def _stage(run):
+    """``run`` under short Arrow batches; what it returns is read from stored tables without Python."""
+
+    @wraps(run)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with short_batches(spark):
+            return run(spark, docs, sf_dir)
+
+    return stage
+
+
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling towards the good labelled documents keeps."""
-    short_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     docs, row = _numbered(docs)
     return _only(docs, row, resample(importance_weights(docs, labels, row_id=row)).filter(~F.col("kept")))
 
 
+@_stage
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that with the smallest doc_id, of each group of equal texts."""
-    short_batches(spark)
     docs, row = _numbered(docs)
     return _only(docs, row, exact_groups(docs, row_id=row).filter(~F.col("kept")))
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that with the smallest doc_id, of each SimHash component."""
-    short_batches(spark)
     docs, row = _numbered(docs)
     return _only(docs, row, simhash_components(docs, row_id=row).filter(~F.col("kept")))
 
 
+@_stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark passages do not contaminate."""
-    short_batches(spark)
     docs, row = _numbered(docs)
     rows = docs.select(F.col(row).alias("doc_id"), "text")
     found = contamination(build_index(rows), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return _only(docs, row, found.filter("contaminated").select(F.col("doc_id").alias("row_id")))
 
 
+@_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the documents and their places in sequences."""
-    short_batches(spark)
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return stored(pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")), "packed")
 
 
 STAGES = [
