@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streakline.llm.tables import numbered_texts, small_side, stored
+from streakline.llm.tables import numbered, numbered_texts, small_side, stored
 from streakline.llm.textblocks import SpanHash, blocks
 
 LENGTH = 400
@@ -35,6 +35,8 @@ BLOCK_BYTES = 1 << 19
 SECOND_BASE = 0xC2B2AE3D27D4EB4F
 #: What a row of a join side that holds runs or contexts, and each of them, takes in memory at most.
 RUN_BYTES = 64
+#: Largest such side that is broadcast, since the other one holds the texts; beyond it the texts are shuffled.
+LARGEST_SIDE = 192 << 20
 
 CLASS = ["gram", "context", "rel", "span"]
 
@@ -357,7 +359,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, group_contexts: int =
     n_rows, n_asked = by_row.agg(F.count("*"), F.sum("m")).first()
     if n_rows:
         contexts = (
-            rows.select("row_id", "text").join(small_side(by_row.drop("m"), 1, RUN_BYTES * (n_rows + n_asked)), "row_id")
+            rows.select("row_id", "text").join(small_side(by_row.drop("m"), 1, RUN_BYTES * (n_rows + n_asked), LARGEST_SIDE), "row_id")
             .select("row_id", "wanted", "text").mapInArrow(_fetch(length), "row_id long, low int, gram long, rel int, span int, bytes binary")
         )
         hot = several.filter((F.col("contexts") > group_contexts) & (F.col("single") > 0)).select("gram").distinct()
@@ -428,6 +430,52 @@ def _runs(rows: DataFrame, length: int, group_contexts: int) -> DataFrame:
     )
 
 
+def _with_runs(rows: DataFrame, runs: DataFrame, how: str) -> DataFrame:
+    n_rows, n_runs = runs.agg(F.count("*"), F.sum(F.size("runs"))).first()
+    return rows.join(small_side(runs, 1, RUN_BYTES * (n_rows + (n_runs or 0)), LARGEST_SIDE), "row_id", how)
+
+
+def _cut_out(length: int):
+    """The runs of at least ``length`` bytes as rows of their own, with where they begin."""
+
+    def run(batches):
+        for rows, data, offsets in blocks(batches, "text"):
+            view = data.tobytes()
+            cut = [
+                (row, r["start"], view[o + r["start"] : o + r["end"]])
+                for row, o, runs in zip(rows.column(0).to_pylist(), offsets[:-1].tolist(), rows.column(rows.schema.get_field_index("runs")).to_pylist())
+                for r in runs
+                if r["end"] - r["start"] >= length
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c[0] for c in cut], pa.int64()), pa.array([c[1] for c in cut], pa.int64()), pa.array([c[2] for c in cut], pa.binary())],
+                names=["whole_id", "start", "text"],
+            )
+
+    return run
+
+
+def _runs_by_length(rows: DataFrame, lengths: list[int], group_contexts: int) -> dict[int, DataFrame]:
+    """:func:`_runs` for each length.  A repeated string lies inside a run of any shorter length, and so does the string it repeats:
+    after the shortest length only the runs of the one before are looked at.
+    """
+    out, pieces = {}, None
+    for k, length in enumerate(lengths):
+        if pieces is None:
+            out[length] = _runs(rows, length, group_contexts)
+        else:
+            found = _runs(pieces, length, group_contexts)
+            moved = F.transform("runs", lambda r: F.struct((r["start"] + F.col("start")).alias("start"), (r["end"] + F.col("start")).alias("end")))
+            back = found.join(pieces.select("row_id", "whole_id", "start"), "row_id").select(F.col("whole_id").alias("row_id"), "start", moved.alias("runs"))
+            out[length] = stored(back.groupBy("row_id").agg(F.flatten(F.array_sort(F.collect_list(F.struct("start", "runs")))["runs"]).alias("runs")), "runs")
+        if k + 1 < len(lengths):
+            whole, longer = rows.select("row_id", "text"), F.exists("runs", lambda r: r["end"] - r["start"] >= lengths[k + 1])
+            cut = _with_runs(whole, out[length].filter(longer), "inner").select("row_id", "runs", "text")
+            cut = cut.mapInArrow(_cut_out(lengths[k + 1]), "whole_id long, start long, text binary")
+            pieces = numbered(cut, "row_id")
+    return out
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, group_contexts: int = GROUP_CONTEXTS, also: tuple[int, ...] = ()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, anything else): doc_id, n_bytes, removed (maximal byte runs), kept (the other bytes).
 
@@ -438,18 +486,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group_contexts: int =
     nothing is removed by it.
     """
     rows = numbered_texts(docs)
-    runs = _runs(rows, length, group_contexts)
+    by_length = _runs_by_length(rows, sorted({length, *also}), group_contexts)
+    runs = by_length[length]
     for other in also:
         covered = F.aggregate("runs", F.lit(0).cast("bigint"), lambda n, run: n + run["end"] - run["start"])
-        more = _runs(rows, other, group_contexts).select("row_id", covered.alias(f"n_repeated_{other}"))
-        runs = runs.join(more, "row_id", "full")
+        runs = runs.join(by_length[other].select("row_id", covered.alias(f"n_repeated_{other}")), "row_id", "full")
     if also:
         runs = stored(runs, "all-runs")
-    n_rows, n_runs = runs.agg(F.count("*"), F.sum(F.size("runs"))).first()
     id_type = dict(docs.dtypes)["doc_id"]
     counts = [F.coalesce(f"n_repeated_{other}", F.lit(0).cast("bigint")).alias(f"n_repeated_{other}") for other in also]
     return (
-        rows.join(small_side(runs, 1, RUN_BYTES * (n_rows + (n_runs or 0))), "row_id", "left")
+        _with_runs(rows, runs, "left")
         .select("doc_id", "runs", "text", *counts)
         .mapInArrow(
             _removed,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from streakline.session import scratch_path
 
 #: Largest estimated size of a broadcast side; beyond it the join shuffles.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 24 << 20
 
 
 #: Rows and bytes per Arrow batch: texts are long, and both the executor and its Python workers hold whole batches.
@@ -57,9 +57,9 @@ def numbered_texts(docs: DataFrame, row_id: str | None = None) -> DataFrame:
     return docs.select(F.col(row_id).alias("row_id"), *texts) if row_id else numbered(docs.select(*texts), "row_id").select("row_id", "doc_id", "text")
 
 
-def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+def small_side(df: DataFrame, rows: int, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint when ``rows * row_bytes`` proves it small, else unchanged (sort-merge join)."""
-    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
+    return F.broadcast(df) if rows * row_bytes <= most else df
 
 
 def partitions_for(spark: SparkSession, rows: int, rows_per_partition: int) -> int:

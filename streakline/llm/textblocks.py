@@ -28,10 +28,11 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 
 
 def column_bytes(column) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of an Arrow string column and the offset of each row (null: empty)."""
+    """Bytes (UTF-8) of an Arrow string or binary column and the offset of each row (null: empty)."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = pc.fill_null(column.cast(pa.large_binary() if binary else pa.large_string()), b"" if binary else "")
     if len(column) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
