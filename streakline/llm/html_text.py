@@ -15,6 +15,7 @@ import math
 import random
 import re
 from collections.abc import Iterable
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -475,6 +476,12 @@ def trained(pages: list[tuple[str, list[str]]] | None = None) -> Model:
 TRAINING_PAGES, ROUNDS = 1200, 25
 
 
+@cache
+def _usual() -> Model:
+    """The default model, fitted once in a process."""
+    return trained()
+
+
 def _texts(model: Model):
     def run(batches):
         for batch in batches:
@@ -490,9 +497,11 @@ def _texts(model: Model):
 def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """page_id, url, text (content blocks joined by two line feeds, empty if none), n_chars for each row of ``pages`` (page_id, url, html, anything else).
 
-    Null html is an empty page.
+    Null html is an empty page, and so is one without any block: its text is empty.  Every row is a page of its own, whatever
+    its id; pages are read whole, each in one task; an empty table gives no rows.
+    The default model is fitted on TRAINING_PAGES made pages, on the driver, once in a process.
     """
     kinds = dict(pages.dtypes)
     return pages.select("page_id", "url", F.col("html").cast("string").alias("html")).mapInArrow(
-        _texts(model or trained()), f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long"
+        _texts(model or _usual()), f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long"
     )

@@ -403,5 +403,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> D
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, groups: int = GROUPS) -> DataFrame:
-    """Tokenise ``docs`` (doc_id, text, anything else), cut what is longer than ``capacity`` and pack the pieces."""
+    """Tokenise ``docs`` (doc_id, text, anything else), cut what is longer than ``capacity`` and pack the pieces.
+
+    doc_id, piece, start, length, ids_crc32, sequence_id, offset for each piece.  Null and empty texts are the closing id alone;
+    null and repeated ids are documents like any other; a long text is as many pieces as it needs; no rows give none.
+    """
     return pack(stored(tokenised_pieces(docs, vocabulary, capacity), "pieces"), capacity, groups)
