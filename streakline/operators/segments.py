@@ -25,13 +25,13 @@ Two physical forms, same result:
   first and last change values and lag values, its run count and the length of
   its last run.
 
-The range partitioner's range of a row is its partition number after the exchange.  That
+The range partitioner's range of a row follows from its partition and its place there in order.  That
 number is only good within one job, so the job that assigns it writes the rows
 with their ranges (and whatever was computed per range) to the shared folder,
 and everything else reads that table.  A stored table that already carries range
 numbers along its order (``ranges``; see :func:`cut_in_order`) is used as it is.
-Should the sampled bounds leave a range above ``rows_per_bucket``, the rows are
-cut again by ``order_by`` and a row number, so that equal keys are cut, too; then finer, if need be.  Helper columns begin with ``_sl_``; inputs must not use that prefix.
+Should a sketch leave a range above ``rows_per_bucket``, the rows are
+cut by the range partitioner, which adds a row number to ``order_by``, so that equal keys are cut, too.  Helper columns begin with ``_sl_``; inputs must not use that prefix.
 """
 
 from __future__ import annotations
@@ -48,8 +48,10 @@ from .cuts import cut_by_sketch
 
 #: Largest range (rows) of a partition that one window task handles; partitions above are cut.
 DEFAULT_ROWS_PER_BUCKET = 4_000_000
-#: Ranges are aimed at this part of ``rows_per_bucket``, since their sampled bounds are only about even.
+#: Ranges are aimed at this part of ``rows_per_bucket``, since the bounds of a sketch are only about even.
 AIM = 0.5
+#: Rows that a task of the range partitioner is aimed at when ranges are shorter than that.
+TASK_ROWS = 500_000
 
 _P = "_sl_"  # prefix of helper columns
 RANGE = f"{_P}range"
@@ -75,25 +77,19 @@ def cut_in_order(
     rows: int,
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     then: Callable[[DataFrame], DataFrame] = lambda cut: cut,
-    in_range: Column | None = None,
     store: Callable[[DataFrame], DataFrame] = lambda out: stored_table(out, "ranges"),
 ) -> DataFrame:
-    """``then(df with its range number)``, stored by ``store`` (again, should the ranges be too large); range numbers never decrease along ``(partition_by, order_by)``.
+    """``then(df with its range number)``, stored by ``store``; range numbers never decrease along ``(partition_by, order_by)``.
 
-    ``in_range`` counts a stored row's input rows (default one each), for a ``then`` that aggregates.
+    A task of the range partitioner holds many small ranges: it sorts its rows and numbers them, and every ``AIM * rows_per_bucket``
+    numbers are a range.  So tasks and the key samples that the driver gets follow TASK_ROWS, however short the ranges, and no range is too large.
     """
-    n, keys = math.ceil(rows / (AIM * rows_per_bucket)), [*partition_by, *order_by]
-    while True:
-        numbered = df if ROW not in keys else df.withColumn(ROW, F.monotonically_increasing_id())
-        cut = numbered.repartitionByRange(n, *keys).withColumn(RANGE, F.spark_partition_id()).drop(ROW)
-        out = store(then(cut))
-        largest = out.groupBy(RANGE).agg(F.sum(F.lit(1) if in_range is None else in_range).alias(f"{_P}n")).agg(F.max(f"{_P}n")).first()[0]
-        if (largest or 0) <= rows_per_bucket or (ROW in keys and n >= rows):
-            return out
-        if ROW in keys:
-            n = min(rows, 2 * n)
-        else:
-            keys.append(ROW)  # rows of equal keys have no order of their own, and any one will do
+    keys, per_range = [*partition_by, *order_by, ROW], max(1, int(AIM * rows_per_bucket))
+    shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(math.ceil(rows / max(TASK_ROWS, per_range)), min(math.ceil(rows / per_range), shuffles))
+    numbered = df.withColumn(ROW, F.monotonically_increasing_id())  # rows of equal keys have no order of their own, and any one will do
+    cut = numbered.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    return store(then(cut.withColumn(RANGE, F.expr(f"monotonically_increasing_id() div {per_range}")).drop(ROW)))
 
 
 def cut_and_store(
@@ -109,7 +105,7 @@ def cut_and_store(
         counted = F.sum(F.lit(1) if in_range is None else in_range).alias(f"{_P}n")
         if (out.groupBy(*partition_by, RANGE).agg(counted).agg(F.max(f"{_P}n")).first()[0] or 0) <= rows_per_bucket:
             return out
-    return cut_in_order(df, order_by, partition_by, rows=rows, rows_per_bucket=rows_per_bucket, then=then, in_range=in_range)
+    return cut_in_order(df, order_by, partition_by, rows=rows, rows_per_bucket=rows_per_bucket, then=then)
 
 
 def _join_ranges(big: DataFrame, small: DataFrame, part: Sequence[str]) -> DataFrame:

@@ -120,3 +120,20 @@ def test_entry_works_without_what_the_text_queries_need():
     )
     done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=120, env=os.environ)
     assert done.returncode == 0, done.stderr
+
+
+def test_short_ranges_share_tasks(spark):
+    """Thousands of ranges are cut by a few tasks, so neither tasks nor key samples grow with their number."""
+    df = spark.range(20_000).selectExpr("id % 3 as part", "(id * 7919) % 997 as k", "id")
+    tasks = []
+
+    def store(out):
+        tasks.append(out.rdd.getNumPartitions())
+        return segments.stored_table(out, "ranges")
+
+    cut = cut_in_order(df, ("k",), ("part",), rows=20_000, rows_per_bucket=20, store=store)
+    assert tasks == [8]  # the session's shuffle partitions
+    sizes = {r[RANGE]: r["count"] for r in cut.groupBy(RANGE).count().collect()}
+    assert max(sizes.values()) <= 20 and 2000 <= len(sizes) <= 2008 and sum(sizes.values()) == 20_000
+    ordered = [r[RANGE] for r in cut.orderBy("part", "k", RANGE).collect()]
+    assert ordered == sorted(ordered)
