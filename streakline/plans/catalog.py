@@ -38,6 +38,7 @@ from ..operators import (
     type_summary,
 )
 from ..operators.levels import bitmap_levels
+from ..operators.segments import stored_table
 from ..session import scratch_path
 from ..sinks import Versions, read_csv_report, write_bad_lines, write_csv, write_one_file, write_table
 from ..sources import lines_from_events, read_log_lines
@@ -201,11 +202,16 @@ def _thirds(df, time):
     return [df.filter((F.unix_micros(time) >= a) & (F.unix_micros(time) < b)) for a, b in zip(cuts, cuts[1:])]
 
 
+def _good_thirds(spark, sf_dir):
+    """The good lines in three parts by time; stored first, what the reports take of them, so that the log is parsed once and not for every pass over a part."""
+    good = _good(spark, sf_dir).select("timestamp", "arrival_id", "breakdown_type", "breakdown_level_int")
+    return _thirds(stored_table(good, "good"), "timestamp")
+
+
 def _merged(spark, sf_dir):
     """The log in three parts, fed last part first; the first two are merged to one."""
     states = RunStates(spark, scratch_path(spark, "run-states"))
-    good = _good(spark, sf_dir)
-    for name, part in reversed(list(zip("abc", _thirds(good, "timestamp")))):
+    for name, part in reversed(list(zip("abc", _good_thirds(spark, sf_dir)))):
         states.add(name, part)
     states.compact(["b", "a"], "ab")
     return states
@@ -284,7 +290,7 @@ def q_bad_lines_except(spark, sf_dir):
 
 def q_type_levels_bitmaps(spark, sf_dir):
     """Distinct levels of each type from bitmaps of three parts of the log."""
-    state = merge_bitmaps(*[level_bitmaps(part) for part in _thirds(_good(spark, sf_dir), "timestamp")])
+    state = merge_bitmaps(*[level_bitmaps(part) for part in _good_thirds(spark, sf_dir)])
     return bitmap_levels(state).select("breakdown_type", join_ints(F.col("levels")).alias("distinct_levels_str"))
 
 

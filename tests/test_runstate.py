@@ -86,3 +86,22 @@ def test_stored_states(spark, tmp_dir):
     states.compact(["1", "2"], "1-2")
     assert states.parts() == ["1-2", "3"]
     same()
+
+
+def test_the_log_is_parsed_once(spark, tmp_dir, monkeypatch):
+    """Every part of the merged reports, and each pass over it, reads stored good lines, not the log."""
+    from streakline.plans import catalog
+
+    spark.range(600).selectExpr(
+        "id as event_id", "timestamp_micros(1700000000000000 + id * 1000003) as ts", "concat('t', id div 3 % 2) as event_type",
+        "concat('{\"k\": ', id % 7, '}') as props").write.parquet(f"{tmp_dir}/events.parquet")
+    want = sorted(map(tuple, type_summary(span_table(catalog._good(spark, tmp_dir))).collect()))
+    read, real = [], RunStates.add
+
+    def add(self, name, good, **kw):
+        read.append(good.inputFiles())
+        real(self, name, good, **kw)
+
+    monkeypatch.setattr(RunStates, "add", add)
+    assert sorted(map(tuple, catalog.q_summary_merged(spark, tmp_dir).collect())) == want
+    assert len(read) == 3 and all(read) and not any("events.parquet" in f for files in read for f in files)
